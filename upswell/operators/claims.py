@@ -88,7 +88,7 @@ def explode_claims(parsed: DataFrame) -> DataFrame:
     claim = one.withColumn("c", F.from_json("raw", schemas.CLAIM)).withColumn("present", F.json_object_keys("raw"))
     return claim.select(
         "batch_id", F.col("provider").alias("extraction_provider"), "claim_pos", "present", "c.*",
-        (F.col("batch_id") * 1000 + F.col("claim_pos")).alias("ord"),
+        (F.shiftleft("batch_id", 24) + F.col("claim_pos")).alias("ord"),
     )
 
 
