@@ -1,4 +1,4 @@
 """Registered queries over the given tables, each with its SQL counterpart."""
 
-from catalog import news  # noqa: F401
+from catalog import events, news, scores  # noqa: F401
 from catalog.registry import QUERIES, Tables  # noqa: F401
