@@ -43,9 +43,9 @@ def drop_asset_and_tracking_links(links: DataFrame, col: str = "link") -> DataFr
     return links.filter(~U.has_asset_extension(c) & ~U.is_tracking(c))
 
 
-def final_site(pages: DataFrame) -> DataFrame:
+def final_site(pages: DataFrame, url: str = "url") -> DataFrame:
     return pages.withColumn(
-        "final_domain", F.coalesce(U.registrable_domain(F.col("final_url")), U.registrable_domain(F.col("url")))
+        "final_domain", F.coalesce(U.registrable_domain(F.col("final_url")), U.registrable_domain(F.col(url)))
     )
 
 
@@ -130,7 +130,7 @@ def homepage_candidates(links: DataFrame, pages: DataFrame) -> DataFrame:
 def homepage_confidence(candidates: DataFrame) -> DataFrame:
     """Score each fetched candidate: 40 for a page, 5 for https, 25 when its domain fits
     the name, 20 when its text does. Adds ``confidence, valid, reasons``."""
-    c = final_site(candidates).withColumn("_token", X.strongest_token(F.col("company_name")))
+    c = final_site(candidates, "link").withColumn("_token", X.strongest_token(F.col("company_name")))
     products = F.col("product_names") if "product_names" in candidates.columns else F.array().cast("array<string>")
     root = F.split(F.col("final_domain"), r"\.").getItem(0)
     fits = _name_in_domain(F.col("_token"), root)

@@ -54,7 +54,8 @@ def write_version(df: DataFrame, root: str, version: int, current: bool = True)
     """Write one version folder; ``current=False`` stores it without publishing it."""
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    if current and (current_version(spark, root) or -1) < version:
+    known = current_version(spark, root)
+    if current and (known is None or known < version):
         spark.range(version, version + 1).select(F.col("id").alias("version")).coalesce(1).write.mode("append").parquet(
             f"{root}/log"
         )
