@@ -33,14 +33,14 @@ def upsert_by_key(t: Tables):
 
 @query(
     "upsert_events", "SNK-1 SNK-2", "company_events",
-    """SELECT company_id, source_url, event_type, max(ingest_ord) AS ingest_ord FROM company_events GROUP BY 1, 2, 3""",
+    """SELECT company_id, source_url, event_type, arg_max(ingest_ord, (published_at >= TIMESTAMP '1998-01-01', ingest_ord)) AS ingest_ord FROM company_events GROUP BY 1, 2, 3""",
 )
 def upsert_events(t: Tables):
     keys = ["company_id", "source_url", "event_type"]
-    rows = t("company_events").select(*keys, "ingest_ord")
-    half = F.col("ingest_ord") <= rows.agg(F.max("ingest_ord")).first()[0] / 2
-    first = E.dedupe_events(rows.filter(half))
-    return B.upsert_by_key(first, rows.filter(~half), keys, [F.col("ingest_ord").desc()])
+    incoming = F.col("published_at") >= F.lit("1998-01-01").cast("timestamp")
+    first = E.dedupe_events(t("company_events").filter(~incoming)).select(*keys, "ingest_ord")
+    batch = t("company_events").filter(incoming).select(*keys, "ingest_ord")
+    return B.upsert_by_key(first, batch, keys, [F.col("ingest_ord").desc()])
 
 
 @query(

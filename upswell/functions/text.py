@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,10 @@ SPACE = (
     r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
+SPACE_CHARS = (
+    " \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 WORD = r"[\p{L}\p{N}_]"
 
 
@@ -23,6 +28,20 @@ def text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def strip(c: Column) -> Column:
+    """White space of any kind off both ends."""
+    return F.trim(c, F.lit(SPACE_CHARS))
+
+
+def once(value: Column, test: Callable[[Column], Column]) -> Column:
+    """A test that reads ``value`` many times, with the value computed one time.
+
+    Filters evaluate each mention of an expression anew; bound as an array element,
+    a lower-cased text is made once per row.
+    """
+    return F.exists(F.array(value), test)
+
+
 def squash(c: Column) -> Column:
     """Runs of white space become one blank; ends are trimmed."""
     return F.trim(F.regexp_replace(c, SPACE + "+", " "))
@@ -42,13 +61,32 @@ def whole_words(patterns: Iterable[str]) -> str:
     return f"(?<!{WORD})(?:{'|'.join(patterns)})(?!{WORD})"
 
 
+def _stem(pattern: str) -> str:
+    """The literal text a pattern must begin with."""
+    return re.match(r"(?:[a-z0-9&' .-](?![?*+]))+", pattern).group(0)
+
+
+def any_of(lowered: Column, terms: Iterable[str]) -> Column:
+    """Plain substring tests; byte search is far cheaper than one big alternation."""
+    return reduce(lambda a, b: a | b, [lowered.contains(t) for t in terms])
+
+
+def has_pattern(lowered: Column, patterns: Iterable[str]) -> Column:
+    """Whole-word match of any pattern. The regex runs only on texts that hold the
+    literal beginning of one of them."""
+    listed = list(patterns)
+    stems = dict.fromkeys(_stem(p) for p in listed)
+    return any_of(lowered, stems) & lowered.rlike(whole_words(listed))
+
+
 def has_phrase(lowered: Column, phrases: Iterable[str]) -> Column:
-    return lowered.rlike(whole_words(re.escape(p) for p in phrases))
+    listed = list(phrases)
+    return any_of(lowered, listed) & lowered.rlike(whole_words(re.escape(p) for p in listed))
 
 
 def contains_any(lowered: Column, terms: Iterable[str]) -> Column:
-    """Plain substring test against a short list, as one scan of the text."""
-    return lowered.rlike("|".join(re.escape(t) for t in terms))
+    """Substring test against a short list."""
+    return once(lowered, lambda x: any_of(x, terms))
 
 
 def normalize_name(c: Column) -> Column:
@@ -127,6 +165,6 @@ def is_populated(c: Column) -> Column:
 
 def strip_fences(c: Column) -> Column:
     """JSON text out of an optional fenced block."""
-    t = F.trim(F.regexp_replace(text_or_empty(c), rf"^{SPACE}+|{SPACE}+$", ""))
+    t = strip(text_or_empty(c))
     inner = F.regexp_replace(F.split(t, "```").getItem(1), "^json", "")
-    return F.when(F.startswith(t, F.lit("```")), F.regexp_replace(inner, rf"^{SPACE}+|{SPACE}+$", "")).otherwise(t)
+    return F.when(F.startswith(t, F.lit("```")), strip(inner)).otherwise(t)

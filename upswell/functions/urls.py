@@ -4,38 +4,33 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from upswell import config as C
-from upswell.functions.text import SPACE, contains_any, extract, null_if_blank, text_or_empty
+from upswell.functions.text import SPACE, contains_any, extract, null_if_blank, strip, text_or_empty
 
 HREF = r"""href=["'](https?://[^"']+)["']"""
 URL_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+# A scheme in front, or no scheme anywhere; then an optional user part; then the host.
+HOST_PATTERN = rf"(?s)^{SPACE}*(?:[a-z][a-z0-9+.\-]*://|(?!.*://))(?:[^/?#]*@)?([^:/?#]*)"
+REGISTRABLE_PATTERN = (
+    r"((?:[^.]*\.)?(?:" + "|".join(re.escape(x) for x in C.TWO_PART_SUFFIXES) + r")|[^.]*\.[^.]*|[^.]+)$"
+)
 
 
 def host(c: Column) -> Column:
     """Lower-cased host without user, port or path; the scheme may be missing."""
-    v = F.lower(_strip(c))
-    v = F.when(v.contains("://"), v).otherwise(F.concat(F.lit("https://"), v))
-    return extract(v, r"^[a-z][a-z0-9+.\-]*://(?:[^/?#]*@)?([^:/?#]*)", 1)
+    return null_if_blank(strip(F.regexp_extract(F.lower(c), HOST_PATTERN, 1)))
 
 
 def registrable(host_name: Column) -> Column:
     """Last two labels of a host, or three under a known two-part suffix."""
-    labels = F.split(host_name, r"\.")
-    n = F.size(labels)
-    last = lambda k: F.array_join(F.slice(labels, -k, k), ".")
-    return (
-        F.when(n <= 2, host_name)
-        .when(last(2).isin(C.TWO_PART_SUFFIXES), last(3))
-        .otherwise(last(2))
-    )
+    return extract(host_name, REGISTRABLE_PATTERN, 1)
 
 
 def registrable_domain(c: Column) -> Column:
@@ -52,9 +47,14 @@ def parent_domains(domain: Column) -> Column:
 
 
 def denylisted(domain: Column, denylist: Iterable[str] | None = None) -> Column:
-    """The domain, or a parent of it, is on the list."""
-    names = sorted(set(denylist)) if denylist is not None else sorted({d for ds in C.DENYLIST.values() for d in ds})
-    return F.coalesce(F.exists(parent_domains(F.lower(domain)), lambda d: d.isin(names)), F.lit(False))
+    """The domain, or a parent of it, is on the list: one set lookup per label count."""
+    names = set(denylist) if denylist is not None else {d for ds in C.DENYLIST.values() for d in ds}
+    by_labels: dict[int, list[str]] = {}
+    for name in sorted(names):
+        by_labels.setdefault(name.count(".") + 1, []).append(name)
+    low = F.lower(domain)
+    hits = [F.substring_index(low, ".", -k).isin(listed) for k, listed in sorted(by_labels.items())]
+    return F.coalesce(reduce(lambda a, b: a | b, hits), F.lit(False))
 
 
 def url_path(c: Column) -> Column:
@@ -88,7 +88,7 @@ def _decode(c: Column) -> Column:
 def canonical_url(c: Column) -> Column:
     """Scheme and host lower-cased, fragment and tracking keys dropped, the other
     query pairs sorted, trailing slashes of the path cut (an empty path is ``/``)."""
-    v = _strip(text_or_empty(c))
+    v = strip(text_or_empty(c))
     scheme = F.lower(F.regexp_extract(v, URL_PARTS, 1))
     netloc = F.lower(F.regexp_extract(v, URL_PARTS, 2))
     path = F.regexp_replace(F.regexp_extract(v, URL_PARTS, 3), "/+$", "")
@@ -128,7 +128,7 @@ def all_hrefs(html: Column) -> Column:
 
 def href_verdict(url: Column, http_hosts: Iterable[str] = ()) -> Column:
     """``safe`` for https or an allowed http host; otherwise why it is not."""
-    v = _strip(text_or_empty(url))
+    v = strip(text_or_empty(url))
     low = F.lower(v)
     scheme = F.regexp_extract(low, r"^([a-z][a-z0-9+.\-]*):", 1)
     dangerous = "^(?:" + "|".join(C.DANGEROUS_SCHEMES) + "):"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,8 +10,8 @@ from pyspark.sql import functions as F
 
 from upswell import config as C
 from upswell import schemas
-from upswell.functions.text import evidence_overlap, name_key, null_if_blank, squash, strip_fences, text_or_empty, whole_words
-from upswell.operators.common import with_row_index
+from upswell.functions.text import any_of, evidence_overlap, has_phrase, name_key, null_if_blank, squash, strip_fences, text_or_empty
+from upswell.operators.common import keep_first, with_row_index
 
 
 def number_articles(articles: DataFrame, size: int = C.CLAIM_BATCH_SIZE) -> DataFrame:
@@ -178,28 +177,24 @@ def group_claims(claims: DataFrame) -> DataFrame:
 
 def dedupe_companies(records: DataFrame) -> DataFrame:
     """One record per lower-cased name: the longest description, the first on a tie."""
-    from upswell.operators.common import keep_first
-
     keyed = records.withColumn("name_key", F.lower(squash(text_or_empty(F.col("company_name"))))).filter("name_key <> ''")
     length = F.length(text_or_empty(F.col("business_idea")))
     return keep_first(keyed, ["name_key"], [length.desc(), F.col("ord")]).drop("name_key")
 
 
-def _terms(low: Column, terms: list[str], substring: bool) -> Column:
-    if substring:
-        return low.rlike("|".join(re.escape(t) for t in terms))
-    return low.rlike(whole_words(re.escape(t) for t in terms))
-
-
 def region_of(location: Column, substring: bool = False) -> Column:
-    low = F.lower(text_or_empty(location))
-    return (
-        F.when(low == "", "Unknown")
-        .when(_terms(low, ["chennai"], substring), "India (Chennai)")
-        .when(_terms(low, C.INDIA_TERMS, substring), "India")
-        .when(_terms(low, C.USA_TERMS, substring), "USA")
-        .otherwise("Rest of World")
-    )
+    found = any_of if substring else has_phrase
+
+    def pick(low: Column) -> Column:
+        return (
+            F.when(low == "", "Unknown")
+            .when(found(low, ["chennai"]), "India (Chennai)")
+            .when(found(low, C.INDIA_TERMS), "India")
+            .when(found(low, C.USA_TERMS), "USA")
+            .otherwise("Rest of World")
+        )
+
+    return F.transform(F.array(F.lower(text_or_empty(location))), pick).getItem(0)
 
 
 def bucket_of(region: Column) -> Column:

@@ -116,10 +116,10 @@ def run_counters(articles: DataFrame, validated: DataFrame, gated: DataFrame) ->
     one = [
         articles.agg(F.count(F.lit(1)).alias("articles_fetched")),
         validated.agg(
-            F.count_if("accepted").alias("candidates_extracted"), F.count_if("not accepted").alias("validation_failures")
+            F.count_if("accepted").alias("candidates_extracted"), F.count_if(~F.col("accepted")).alias("validation_failures")
         ),
         gated.agg(
-            F.count_if("eligible").alias("companies_accepted"), F.count_if("not eligible").alias("companies_rejected")
+            F.count_if("eligible").alias("companies_accepted"), F.count_if(~F.col("eligible")).alias("companies_rejected")
         ),
     ]
     return side_by_side(one)

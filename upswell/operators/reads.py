@@ -49,7 +49,7 @@ def filter_companies(
         if wanted is not None:
             df = df.filter(F.col(column) == wanted)
     if investor is not None:
-        names = F.transform(F.split(F.lower("investors"), ","), F.trim)
+        names = F.transform(F.split(F.lower("investors"), ","), lambda n: F.trim(n))
         df = df.filter(F.array_contains(names, investor.strip().lower()))
     if text is not None:
         like = "%" + text.replace("\\", "\\\\").replace("%", r"\%").replace("_", r"\_") + "%"

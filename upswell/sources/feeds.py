@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from upswell import config as C
 from upswell import schemas
-from upswell.functions.text import SPACE, contains_any, null_if_blank, text_or_empty, whole_words
+from upswell.functions.text import any_of, has_pattern, null_if_blank, once, strip, text_or_empty
 from upswell.operators.common import keep_first
 
 ARTICLE_COLUMNS = ["title", "summary", "link", "published", "published_ts", "source_name", "source_ord", "item_ord"]
@@ -103,11 +103,15 @@ def load_articles(spark: SparkSession, sources: Sequence[Source] | None = None)
 
 def relevant(title: Column, summary: Column) -> Column:
     """Not empty, no noise phrase, and not a pure market headline."""
-    head = F.regexp_replace(text_or_empty(title), rf"^{SPACE}+|{SPACE}+$", "")
+    head = strip(text_or_empty(title))
     low_head = F.lower(head)
-    low_all = F.lower(F.concat(head, F.lit(" "), text_or_empty(summary)))
-    market_only = low_head.rlike(whole_words(C.MARKET_PATTERNS)) & ~contains_any(low_all, C.STARTUP_TERMS)
-    return (head != "") & ~low_all.rlike(whole_words(C.NOISE_PATTERNS)) & ~market_only
+    whole = F.lower(F.concat(head, F.lit(" "), text_or_empty(summary)))
+
+    def keep(text: Column) -> Column:
+        market_only = has_pattern(low_head, C.MARKET_PATTERNS) & ~any_of(text, C.STARTUP_TERMS)
+        return ~has_pattern(text, C.NOISE_PATTERNS) & ~market_only
+
+    return (head != "") & once(whole, keep)
 
 
 def filter_relevant_news(articles: DataFrame) -> DataFrame:
