@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from upswell import config as C
 
-# White space as the Unicode standard lists it, spelled out because the regex
-# engine's own class is ASCII only.
+# White space of any alphabet. The first form is one quick test per character and
+# needs a regex of its own; the second can stand inside a larger pattern.
+SPACES = r"(?U)[\s\x1C-\x1F]+"
 SPACE = (
     r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -44,7 +45,7 @@ def once(value: Column, test: Callable[[Column], Column]) -> Column:
 
 def squash(c: Column) -> Column:
     """Runs of white space become one blank; ends are trimmed."""
-    return F.trim(F.regexp_replace(c, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(c, SPACES, " "))
 
 
 def null_if_blank(c: Column) -> Column:

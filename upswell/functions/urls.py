@@ -13,6 +13,7 @@ from upswell import config as C
 from upswell.functions.text import SPACE, contains_any, extract, null_if_blank, strip, text_or_empty
 
 HREF = r"""href=["'](https?://[^"']+)["']"""
+HEAD_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?"
 URL_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
 
 
@@ -85,34 +86,31 @@ def _decode(c: Column) -> Column:
     return F.coalesce(F.try_url_decode(c), c)
 
 
-def canonical_url(c: Column) -> Column:
-    """Scheme and host lower-cased, fragment and tracking keys dropped, the other
-    query pairs sorted, trailing slashes of the path cut (an empty path is ``/``)."""
-    v = strip(text_or_empty(c))
-    scheme = F.lower(F.regexp_extract(v, URL_PARTS, 1))
-    netloc = F.lower(F.regexp_extract(v, URL_PARTS, 2))
-    path = F.regexp_replace(F.regexp_extract(v, URL_PARTS, 3), "/+$", "")
-    path = F.coalesce(null_if_blank(path), F.lit("/"))
-    pairs = F.filter(
-        F.split(F.regexp_extract(v, URL_PARTS, 4), "&"), lambda p: p.rlike("^[^=]*=.")
-    )
+def _sorted_query(query: Column) -> Column:
+    pairs = F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]*=."))
     decoded = F.transform(
         pairs,
         lambda p: F.struct(
-            _decode(F.regexp_extract(p, "^([^=]*)=", 1)).alias("k"),
-            _decode(F.regexp_extract(p, "^[^=]*=(.*)$", 1)).alias("v"),
+            _decode(F.substring_index(p, "=", 1)).alias("k"),
+            _decode(F.regexp_extract(p, "(?s)=(.*)$", 1)).alias("v"),
         ),
     )
     kept = F.filter(decoded, lambda p: ~F.lower(p["k"]).isin(C.TRACKING_QUERY_KEYS))
-    query = F.array_join(
+    return F.array_join(
         F.transform(F.array_sort(kept), lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&"
     )
-    out = F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
-        F.when(netloc != "", F.concat(F.lit("//"), netloc)).otherwise(F.lit("")),
-        path,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-    )
+
+
+def canonical_url(c: Column) -> Column:
+    """Scheme and host lower-cased, fragment and tracking keys dropped, the other
+    query pairs sorted, trailing slashes of the path cut (an empty path is ``/``)."""
+    whole = F.substring_index(strip(text_or_empty(c)), "#", 1)
+    base = F.substring_index(whole, "?", 1)
+    head = F.regexp_extract(base, HEAD_PATTERN, 0)
+    path = F.rtrim(F.substr(base, F.length(head) + 1), F.lit("/"))
+    path = F.coalesce(null_if_blank(path), F.lit("/"))
+    query = F.when(whole.contains("?"), _sorted_query(F.substr(whole, F.length(base) + 2))).otherwise(F.lit(""))
+    out = F.concat(F.lower(head), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
     return F.when(text_or_empty(c) == "", F.lit("")).otherwise(out)
 
 

@@ -13,12 +13,12 @@ from upswell.operators.common import keep_first
 
 def extract_amounts(df: DataFrame, text: str = "evidence_text") -> DataFrame:
     """Add ``amount_original`` and ``currency`` from the first money-like piece."""
-    found = df.withColumn("_match", M.amount_match(F.col(text)))
-    return (
-        found.withColumn("amount_original", M.amount_value(F.col("_match")))
-        .withColumn("currency", F.when(F.col("amount_original").isNotNull(), M.amount_currency(F.col("_match"))))
-        .drop("_match")
-    )
+    parts = F.col("_parts")
+    found = df.withColumn("_parts", M.amount_parts(F.col(text)))
+    value = M.amount_value(parts)
+    return found.withColumns(
+        {"amount_original": value, "currency": F.when(value.isNotNull(), M.amount_currency(parts))}
+    ).drop("_parts")
 
 
 def extract_amounts_v1(df: DataFrame, text: str = "funding_amount") -> DataFrame:

@@ -103,15 +103,14 @@ def load_articles(spark: SparkSession, sources: Sequence[Source] | None = None)
 
 def relevant(title: Column, summary: Column) -> Column:
     """Not empty, no noise phrase, and not a pure market headline."""
-    head = strip(text_or_empty(title))
-    low_head = F.lower(head)
-    whole = F.lower(F.concat(head, F.lit(" "), text_or_empty(summary)))
+    head = F.lower(strip(text_or_empty(title)))
+    both = F.struct(head.alias("head"), F.concat(head, F.lit(" "), F.lower(text_or_empty(summary))).alias("text"))
 
-    def keep(text: Column) -> Column:
-        market_only = has_pattern(low_head, C.MARKET_PATTERNS) & ~any_of(text, C.STARTUP_TERMS)
-        return ~has_pattern(text, C.NOISE_PATTERNS) & ~market_only
+    def keep(a: Column) -> Column:
+        market_only = has_pattern(a["head"], C.MARKET_PATTERNS) & ~any_of(a["text"], C.STARTUP_TERMS)
+        return (a["head"] != "") & ~has_pattern(a["text"], C.NOISE_PATTERNS) & ~market_only
 
-    return (head != "") & once(whole, keep)
+    return once(both, keep)
 
 
 def filter_relevant_news(articles: DataFrame) -> DataFrame:
