@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from upswell.session import shared_folder
+from upswell.session import shared_folder, spread
 
 NOW = "2001-08-01"
 
@@ -286,6 +286,8 @@ def _expand(sql: str, dialect: str) -> str:
 # Inputs that stand for a landed table but take several joins to derive; they are
 # written once per query, so that each later scan reads only the columns it needs.
 LANDED = {"crawl"}
+# Tables with costly work per row, given here as one file each.
+WIDE = {"documents", "orders", "pages"}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, cache: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -302,7 +304,8 @@ def load(spark: SparkSession, sf_dir: str, name: str, cache: dict[str, DataFrame
                 df = spark.read.schema(df.schema).parquet(path)
             seen[name] = df
         else:
-            seen[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            seen[name] = spread(df) if name in WIDE else df
     return seen[name]
 
 

@@ -51,3 +51,13 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute once, store in the shared folder, cut the lineage there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when a scan gives fewer tasks than the session can run.
+
+    One file with one row group is one task however large the machine. A table of
+    many files already has enough tasks and passes through unchanged.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
