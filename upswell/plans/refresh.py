@@ -34,6 +34,13 @@ MERGED_FIELDS = [
 ]
 
 
+# Columns a run computes anew, whatever an earlier run stored.
+MEASURED = [
+    "extraction_confidence", "best_source_tier", "data_confidence", "data_completeness", "days_since_verified",
+    "latest_funding_stage", "latest_funding_amount_usd", "latest_funding_date", "total_disclosed_funding_usd",
+]
+
+
 @dataclass
 class RefreshInputs:
     """Landed and stored frames of one run. Either ``responses`` (batch_id, provider,
@@ -160,7 +167,7 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
         F.col("hiring_status").alias("_hs"), F.col("hiring_confidence").alias("_hf"),
         F.col("needs_review").alias("_review"), "extraction_confidence",
     )
-    rows = companies.drop("extraction_confidence", "best_source_tier", "data_confidence", "data_completeness", "days_since_verified")
+    rows = companies.drop(*MEASURED)
     rows = rows.join(touched, "company_id", "inner").withColumns(
         {
             "canonical_name": F.col("_name"), "homepage_confidence": F.col("_hc"), "hiring_status": F.col("_hs"),
