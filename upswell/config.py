@@ -1,8 +1,7 @@
 """Fixed values of the data model, and the small config frames made from them.
 
 Every operator that uses one of these takes it as an argument, so a caller can
-pass another list or frame. All of them are hand-kept lists with a known,
-small size; only these are ever broadcast by hint.
+pass another list or frame.
 """
 
 from __future__ import annotations
@@ -10,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 SCORE_VERSION = "v2"
 
@@ -330,24 +328,35 @@ class EligibilityConfig:
     stale_exclude_days: int = STALE_EXCLUDE_DAYS
 
 
-def _frame(spark: SparkSession, rows, ddl: str) -> DataFrame:
-    return spark.createDataFrame(rows, T._parse_datatype_string(ddl))
+def _literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{v!r}D" if isinstance(v, float) else str(v)
+
+
+def _frame(spark: SparkSession, rows, columns: str) -> DataFrame:
+    """A frame of literals. The planner knows its exact size, so it broadcasts it by its
+    own size check; no hint is needed anywhere."""
+    values = ", ".join("(" + ", ".join(_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
 
 
 def weights_frame(spark: SparkSession, weights: dict[str, float] | None = None) -> DataFrame:
-    return _frame(spark, list((weights or WEIGHTS).items()), "component string, weight double")
+    return _frame(spark, [(c, float(w)) for c, w in (weights or WEIGHTS).items()], "component, weight")
 
 
 def rates_frame(spark: SparkSession) -> DataFrame:
     rows = [(c, r, RATES_DATE) for c, r in RATES_PER_USD.items()]
-    return _frame(spark, rows, "currency string, per_usd double, as_of string").selectExpr(
+    return _frame(spark, rows, "currency, per_usd, as_of").selectExpr(
         "currency", "per_usd", "cast(as_of as date) as as_of"
     )
 
 
 def tiers_frame(spark: SparkSession) -> DataFrame:
     rows = [(d, 2) for d in TIER_2_DOMAINS] + [(d, 3) for d in TIER_3_DOMAINS]
-    return _frame(spark, rows, "domain string, tier int")
+    return _frame(spark, rows, "domain, tier")
 
 
 def denylist_frame(spark: SparkSession) -> DataFrame:
@@ -356,25 +365,25 @@ def denylist_frame(spark: SparkSession) -> DataFrame:
     for category, domains in DENYLIST.items():
         for d in domains:
             seen.setdefault(d, category)
-    return _frame(spark, list(seen.items()), "domain string, category string")
+    return _frame(spark, list(seen.items()), "domain, category")
 
 
 def event_values_frame(spark: SparkSession) -> DataFrame:
-    return _frame(spark, EVENT_VALUES, "event_type string, base int, component string")
+    return _frame(spark, EVENT_VALUES, "event_type, base, component")
 
 
 def stage_thresholds_frame(spark: SparkSession) -> DataFrame:
     rows = [(s, float(lo), p) for s, steps in STAGE_THRESHOLDS.items() for lo, p in steps]
-    return _frame(spark, rows, "stage string, min_usd double, points int")
+    return _frame(spark, rows, "stage, min_usd, points")
 
 
 def quality_rules_frame(spark: SparkSession) -> DataFrame:
-    return _frame(spark, QUALITY_RULES, "metric string, op string, bound double")
+    return _frame(spark, QUALITY_RULES, "metric, op, bound")
 
 
 def regions_frame(spark: SparkSession) -> DataFrame:
-    return _frame(spark, [(r,) for r in REGIONS], "region_bucket string")
+    return _frame(spark, [(r,) for r in REGIONS], "region_bucket")
 
 
 def bands_frame(spark: SparkSession) -> DataFrame:
-    return _frame(spark, CONFIDENCE_BANDS, "band string, lo int, hi int")
+    return _frame(spark, CONFIDENCE_BANDS, "band, lo, hi")

@@ -11,6 +11,7 @@ from upswell.session import materialise
 
 # Distinct values kept per cohort to cut it into slices; a fixed bound.
 SPLITTERS = 255
+SALTS = 64
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -67,9 +68,12 @@ def cohort_ranks(df: DataFrame, cohort: Sequence[str], value: str) -> DataFrame:
         .groupBy(*cohort)
         .agg(F.collect_list(value).alias("_cuts"))
     )
-    sliced = counts.join(cuts, cohort).withColumn(
+    # each cohort's cut list goes to SALTS places, so a large cohort is not one join task
+    placed = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
+    sliced = salted.join(placed, [*cohort, "_salt"]).withColumn(
         "_slice", F.size(F.filter("_cuts", lambda s: s <= F.col(value)))
-    ).drop("_cuts")
+    ).drop("_cuts", "_salt")
     totals = sliced.groupBy(*cohort, "_slice").agg(F.sum("n_equal").alias("_n"))
     before = Window.partitionBy(*cohort).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

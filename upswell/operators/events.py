@@ -32,7 +32,7 @@ def convert_currency(df: DataFrame, rates: DataFrame) -> DataFrame:
         F.col("as_of").alias("conversion_rate_date"),
     )
     usable = F.when(F.col("amount_original").isNotNull(), F.upper("currency"))
-    out = df.join(F.broadcast(known), usable == F.col("_cur"), "left").drop("_cur")
+    out = df.join(known, usable == F.col("_cur"), "left").drop("_cur")
     return out.withColumn("amount_usd", F.bround(F.col("amount_original") / F.col("currency_conversion_rate"), 2))
 
 

@@ -33,9 +33,9 @@ def candidate_links_v1(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def union_denylists(denylist: DataFrame, links: DataFrame, col: str = "link") -> DataFrame:
-    """Links per denylist category. The list side is config-sized and broadcast."""
+    """Links per denylist category. The list side is config-sized."""
     site = links.select(F.explode(U.parent_domains(U.host(F.col(col)))).alias("domain"))
-    return site.join(F.broadcast(denylist), "domain").groupBy("category").agg(F.count(F.lit(1)).alias("n_links"))
+    return site.join(denylist, "domain").groupBy("category").agg(F.count(F.lit(1)).alias("n_links"))
 
 
 def drop_asset_and_tracking_links(links: DataFrame, col: str = "link") -> DataFrame:

@@ -130,7 +130,7 @@ def classify_source_tiers(sources: DataFrame, tiers: DataFrame, url: str = "sour
     ]
     known = tiers.select(F.col("domain").alias("source_domain"), F.col("tier").alias("_tier"))
     keyed = sources.withColumn("source_domain", registrable_domain(F.col(url)))
-    out = keyed.join(F.broadcast(known), "source_domain", "left")
+    out = keyed.join(known, "source_domain", "left")
     tier, label = F, F
     for name, text in flags:
         if name in sources.columns:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from upswell import config as C
 from upswell.functions import scores as S
 from upswell.functions.money import amount_points_v1, decimal_sum, stage_points_v1
-from upswell.operators.common import cohort_ranks
+from upswell.operators.common import cohort_ranks, spread_nulls
 
 
 def _on(event_date: str | None = None) -> Column:
@@ -120,6 +120,7 @@ def funding_rollup(events: DataFrame) -> DataFrame:
 def peer_percentile(
     df: DataFrame, amount: str = "funding_amount_usd", stage: str = "funding_stage",
     region: str = "region_bucket", min_peers: int = C.MIN_PEERS, exclude_equal: bool = True,
+    row_id: str = "company_id",
 ) -> DataFrame:
     """Add ``n_peers`` and ``peer_percentile`` (NULL below ``min_peers``).
 
@@ -139,8 +140,9 @@ def peer_percentile(
         "_stage", "_region", "_amount", peers.cast("int").alias("n_peers"),
         F.when(peers >= min_peers, F.bround(100.0 * below / peers).cast("int")).alias("peer_percentile"),
     )
+    # most companies may have no amount; their missing keys must not meet in one task
     match = (
-        (df[stage] == ranks["_stage"])
+        (spread_nulls(F.when(has_amount, df[stage]), df[row_id]) == ranks["_stage"])
         & (F.coalesce(df[region], F.lit("")) == ranks["_region"])
         & (df[amount] == ranks["_amount"])
     )
@@ -158,7 +160,7 @@ def stage_fallback_score(
     )
     reached = F.filter("_steps", lambda s: s["min_usd"] <= F.col(amount))
     points = F.coalesce(F.array_max(F.transform(reached, lambda s: s["points"])), F.lit(10))
-    out = df.join(F.broadcast(steps), df[stage] == F.col("_stage"), "left")
+    out = df.join(steps, df[stage] == F.col("_stage"), "left")
     score = F.when(F.col("_steps").isNull() | F.col(amount).isNull() | (F.col(amount) <= 0), 0).otherwise(points)
     return out.withColumn(name, score).drop("_stage", "_steps")
 

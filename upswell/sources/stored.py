@@ -43,5 +43,5 @@ def load_weights(stored: DataFrame | None, defaults: DataFrame) -> DataFrame:
         "component", F.col("weight").cast("double").alias("weight")
     )
     empty = rows.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
-    fallback = defaults.join(F.broadcast(empty), F.lit(True), "left_semi")
+    fallback = defaults.join(empty, F.lit(True), "left_semi")
     return rows.unionByName(fallback.select("component", "weight"))
