@@ -11,8 +11,8 @@ from catalog.registry import Tables, query
 from upswell import config as C
 from upswell.operators import pages as W
 
-_HREF = """href=["''](https?://[^"'']+)["'']"""
-_RAW = f"regexp_extract_all(html, '{_HREF}', 1)"
+HREF_SQL = """href=["''](https?://[^"'']+)["'']"""
+_RAW = f"regexp_extract_all(html, '{HREF_SQL}', 1)"
 LINKS_SQL = f""", links AS (SELECT page_id, label, site, url, raw, ord - 1 AS link_ord, regexp_replace(raw, '(?s)[?].*$', '') AS link
     FROM (SELECT page_id, label, site, url, unnest({_RAW}) AS raw, generate_subscripts({_RAW}, 1) AS ord FROM site_pages))"""
 
@@ -114,11 +114,16 @@ def link_safety_audit(t: Tables):
     return W.link_safety_audit(t("site_pages"))
 
 
+EMAIL_LINKED = r"(?i)mailto:([\p{L}\p{N}_.\-+]+@[\p{L}\p{N}_\-]+\.[\p{L}\p{N}_.\-]+)"
+EMAIL_BARE = (
+    r"(?i)(?:^|[^\p{L}\p{N}_])([\p{L}\p{N}_][\p{L}\p{N}_.\-+]*@[\p{L}\p{N}_\-]+\.[a-z]{2,})(?:[^\p{L}\p{N}_]|$)"
+)
+
+
 @query(
     "extract_page_facts", "TXT-7", "site_pages",
     rf"""SELECT page_id, nullif(regexp_extract(html, 'https?://(?:www\.)?linkedin\.com/in/[\p{{L}}\p{{N}}_\-/]+', 0), '') AS founder_linkedin,
-      coalesce(nullif(regexp_extract(html, '(?i)mailto:([\p{{L}}\p{{N}}_.\-+]+@[\p{{L}}\p{{N}}_\-]+\.[\p{{L}}\p{{N}}_.\-]+)', 1), ''),
-        nullif(regexp_extract(html, '(?i)(?:^|[^\p{{L}}\p{{N}}_])([\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_.\-+]*@[\p{{L}}\p{{N}}_\-]+\.[a-z]{{2,}})(?:[^\p{{L}}\p{{N}}_]|$)', 1), '')) AS contact_email,
+      coalesce(nullif(regexp_extract(html, '{EMAIL_LINKED}', 1), ''), nullif(regexp_extract(html, '{EMAIL_BARE}', 1), '')) AS contact_email,
       md5({D.strip_tags('html')}) AS about_md5 FROM site_pages""",
 )
 def extract_page_facts(t: Tables):
@@ -253,7 +258,7 @@ def best_careers_page(t: Tables):
 
 
 def _explode(source: str, html: str, out: str) -> str:
-    raw = f"regexp_extract_all({html}, '{_HREF}', 1)"
+    raw = f"regexp_extract_all({html}, '{HREF_SQL}', 1)"
     return f""", {out} AS (SELECT group_key, company_name, regexp_replace(raw, '(?s)[?].*$', '') AS link, ord - 1 AS link_ord
       FROM (SELECT group_key, company_name, unnest({raw}) AS raw, generate_subscripts({raw}, 1) AS ord FROM {source}))"""
 

@@ -8,8 +8,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog.news import ARTICLES_SQL, RELEVANT_SQL
+from catalog import duck as D
+from catalog.news import ARTICLES_SQL, REGION_SQL, RELEVANT_SQL
+from catalog.pages import EMAIL_BARE, EMAIL_LINKED, HREF_SQL
 from catalog.registry import Tables, query
+from catalog.scores import V1_POINTS, V1_SCORE
+from upswell import config as C
 from upswell.operators import claims as K
 from upswell.operators.tables import read_current
 from upswell.plans.legacy import run_v1_refresh as run_v1
@@ -66,7 +70,38 @@ def run_news_refresh(t: Tables):
     return rows.select("link", (F.col("fetched_at") == later).alias("is_new"))
 
 
-@query("run_v1_refresh", "PIPE-2 AGG-2 TXT-7 TXT-9 AMT-2 SCR-8 SCR-9", "startups site_articles crawl")
+_V1_HOST = "lower(regexp_extract(raw, '^https?://(?:www[.])?([^/]+)', 1))"
+
+
+def _first_link(source: str, out: str) -> str:
+    """First link of ``source(ord, html)`` that the older list allows."""
+    raw = f"regexp_extract_all(html, '{HREF_SQL}', 1)"
+    return f""", {out} AS (SELECT ord, arg_min(regexp_replace(raw, '(?s)[?].*$', ''), i) AS homepage FROM (SELECT ord, unnest({raw}) AS raw, generate_subscripts({raw}, 1) AS i FROM {source})
+      WHERE {_V1_HOST} <> '' AND NOT {D.denylisted(_V1_HOST, C.DENYLIST_V1)} GROUP BY ord)"""
+
+
+_ALL = "coalesce(h.html, '') || ' ' || coalesce(a.html, '') || ' ' || CASE WHEN coalesce(a.html, '') = '' THEN coalesce(m.html, '') ELSE '' END"
+V1_RUN_SQL = (
+    ", recs AS (SELECT s.*, a.link AS source_url FROM startups s LEFT JOIN site_articles a ON a.page_id = s.ord)"
+    ", arts AS (SELECT link, min(summary) AS html FROM site_articles GROUP BY 1), ok AS (SELECT url, html FROM crawl WHERE status_code = 200)"
+    ", sums AS (SELECT ord, html FROM recs JOIN arts ON link = source_url)" + _first_link("sums", "h1")
+    + ", bodies AS (SELECT ord, html FROM recs JOIN ok ON url = source_url WHERE ord NOT IN (SELECT ord FROM h1))" + _first_link("bodies", "h2")
+    + f""", homes AS (SELECT *, regexp_replace(homepage, '/+$', '') AS base FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2)),
+    facts AS (SELECT homes.ord, homepage, {_ALL} AS whole, c.html AS careers FROM homes LEFT JOIN ok h ON h.url = homepage LEFT JOIN ok a ON a.url = base || '/about'
+      LEFT JOIN ok m ON m.url = base || '/team' LEFT JOIN ok c ON c.url = base || '/careers'),
+    found AS (SELECT ord, homepage, coalesce(nullif(regexp_extract(whole, '{EMAIL_LINKED}', 1), ''), nullif(regexp_extract(whole, '{EMAIL_BARE}', 1), '')) AS contact_email,
+      CASE WHEN {D.contains_any('lower(whole)', C.HIRING_PHRASES_V1)} OR coalesce(careers, '') <> '' THEN 'Likely hiring' ELSE 'Unknown' END AS hiring_status FROM facts),
+    located AS (SELECT r.* EXCLUDE (hiring_status, contact_email, homepage), r.region AS location, f.homepage, f.contact_email, coalesce(f.hiring_status, 'Unknown') AS hiring_status FROM recs r LEFT JOIN found f USING (ord)),
+    points AS ({V1_POINTS.replace('FROM startups)', 'FROM located)')})"""
+)
+_FILLED = " + ".join(f"CASE WHEN coalesce({f}, '') <> '' THEN 1 ELSE 0 END" for f in C.CONFIDENCE_FIELDS_V1)
+
+
+@query(
+    "run_v1_refresh", "PIPE-2 AGG-2 TXT-7 TXT-9 AMT-2 SCR-8 SCR-9", "startups site_articles crawl",
+    V1_RUN_SQL + f""" SELECT company_name, {REGION_SQL} AS region, usd AS funding_amount_usd, homepage, hiring_status, contact_email, {V1_SCORE} AS momentum_score,
+      CAST(round_even(100.0::DOUBLE * ({_FILLED}) / 8, 0) AS INT) AS data_confidence FROM points""",
+)
 def run_v1_refresh(t: Tables):
     """Records named by customer, each citing a page of the crawl."""
     sites = t("site_articles").select(F.col("page_id").alias("ord"), F.col("link").alias("source_url"))
@@ -74,7 +109,7 @@ def run_v1_refresh(t: Tables):
         "company_name", "business_idea", "industry", "funding_stage", "funding_amount", "investors", "founder_name",
         "year_founded", F.col("region").alias("location"), "ord",
     ).join(sites, "ord", "left")
-    articles = t("site_articles").dropDuplicates(["link"])
+    articles = t("site_articles").groupBy("link").agg(F.min("summary").alias("summary"))
     out = run_v1(records, articles, t("crawl"))
     return out.select("company_name", "region", "funding_amount_usd", "homepage", "hiring_status", "contact_email", "momentum_score", "data_confidence")
 

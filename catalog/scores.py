@@ -328,14 +328,14 @@ def previous_rank(t: Tables):
     return rows.select("company_id", "regional_rank", "previous_regional_rank", "rank_change")
 
 
-_v1 = f"""SELECT *, CASE WHEN regexp_matches(lower(coalesce(funding_stage, '')), 'pre-seed|preseed|pre seed') THEN 20 WHEN contains(lower(coalesce(funding_stage, '')), 'seed') THEN 40
+V1_POINTS = f"""SELECT *, CASE WHEN regexp_matches(lower(coalesce(funding_stage, '')), 'pre-seed|preseed|pre seed') THEN 20 WHEN contains(lower(coalesce(funding_stage, '')), 'seed') THEN 40
     WHEN contains(lower(coalesce(funding_stage, '')), 'series a') THEN 60 WHEN contains(lower(coalesce(funding_stage, '')), 'series b') THEN 80
     WHEN regexp_matches(lower(coalesce(funding_stage, '')), 'series [cdef]|growth|late stage') THEN 100 ELSE 0 END AS p1,
     CASE WHEN coalesce(usd, 0) = 0 THEN 0 WHEN usd >= 100000000 THEN 100 WHEN usd >= 20000000 THEN 90 WHEN usd >= 5000000 THEN 70 WHEN usd >= 1000000 THEN 50 ELSE 30 END AS p2,
     CASE WHEN coalesce(investors, '') <> '' THEN 100 ELSE 0 END AS p3, CASE WHEN hiring_status = 'Likely hiring' THEN 100 ELSE 0 END AS p4
   FROM (SELECT *, CASE WHEN regexp_matches(funding_amount, '(?i)\\$\\s*([\\d,]+(?:\\.\\d+)?)\\s*([kmb])\\b') THEN CAST(trunc(CAST(replace(regexp_extract(funding_amount, '(?i)\\$\\s*([\\d,]+(?:\\.\\d+)?)\\s*([kmb])\\b', 1), ',', '') AS DOUBLE)
       * CASE lower(regexp_extract(funding_amount, '(?i)\\$\\s*([\\d,]+(?:\\.\\d+)?)\\s*([kmb])\\b', 2)) WHEN 'k' THEN 1e3 WHEN 'm' THEN 1e6 ELSE 1e9 END) AS BIGINT) END AS usd FROM startups)"""
-V1_SQL = f""", points AS ({_v1})"""
+V1_SQL = f""", points AS ({V1_POINTS})"""
 V1_SCORE = D.clamp("0.0::DOUBLE + p1 * 0.35::DOUBLE + p2 * 0.3::DOUBLE + p3 * 0.15::DOUBLE + p4 * 0.2::DOUBLE")
 
 
@@ -355,4 +355,28 @@ _f1 = " + ".join(f"CASE WHEN coalesce({f}, '') <> '' THEN 1 ELSE 0 END" for f in
 
 @query("data_confidence_v1", "SCR-9", "startups", f"SELECT ord, CAST(round_even(100.0::DOUBLE * ({_f1}) / 8, 0) AS INT) AS data_confidence FROM startups")
 def data_confidence_v1(t: Tables):
-    return P.data_confidence_v1(t("startups").withColumnRenamed("year_founded", "year_founded")).select("ord", "data_confidence")
+    return P.data_confidence_v1(t("startups")).select("ord", "data_confidence")
+
+
+_SHARE = " UNION ALL ".join(
+    f"SELECT '{c}' AS component, count(*) FILTER (WHERE event_type IN ({D.quoted(t for t, _, k in C.EVENT_VALUES if k == c)})) * 1.0::DOUBLE / count(*) AS weight FROM company_events"
+    for c in ("recent_verified_events", "traction", "market_expansion")
+)
+_DEFAULTS = "SELECT unnest([" + D.quoted(C.WEIGHTS) + "]) AS component"
+
+
+@query(
+    "weights_diff", "SET-3", "company_events",
+    f""", shares AS ({_SHARE} UNION ALL SELECT 'no_component', count(*) FILTER (WHERE event_type IN ('layoffs', 'other')) * 1.0::DOUBLE / count(*) FROM company_events), d AS ({_DEFAULTS})
+    SELECT component, 'missing' AS problem FROM d WHERE component NOT IN (SELECT component FROM shares)
+    UNION ALL SELECT component, 'unexpected' FROM shares WHERE component NOT IN (SELECT component FROM d)
+    UNION ALL SELECT '*', 'sum is not 1' FROM (SELECT sum(weight) AS s FROM shares) WHERE abs(s - 1) > 1e-6""",
+)
+def weights_diff(t: Tables):
+    """Weights taken from how often each component has events, against the stored ones."""
+    values = C.event_values_frame(t.spark).select("event_type", "component")
+    rows = t("company_events").join(values, "event_type", "left").withColumn("component", F.coalesce("component", F.lit("no_component")))
+    counts = rows.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    total = rows.agg(F.count(F.lit(1)).alias("total")).withColumn("_k", F.lit(1))
+    weights = counts.withColumn("_k", F.lit(1)).join(total, "_k").select("component", (F.col("n") / F.col("total")).alias("weight"))
+    return G.weights_diff(weights, C.weights_frame(t.spark))
