@@ -208,6 +208,20 @@ SELECT url AS link, CASE WHEN page_id % 2 = 0 THEN '<p>News <a href="https://' |
   site, page_id FROM {site_pages}
 """
 
+# A whole run: documents that have a page of the same number name that page's site and
+# link to it; their claims are about the site's company.
+INPUTS["run_numbered"] = """
+SELECT n.batch_id, n.source_index, n.title, n.summary || CASE WHEN s.site IS NULL THEN '' ELSE ' <a href="https://' || s.site || '?ref=n">' || s.label || '</a>' END AS summary,
+  n.link, n.source_name, n.published_ts
+FROM {numbered} n LEFT JOIN {site_pages} s ON s.page_id = n.batch_id * 8 + n.source_index - 1
+"""
+
+INPUTS["run_claims"] = """
+SELECT c.batch_id, c.source_index, coalesce(s.label, c.company_name) AS company_name, c.business_idea, c.industry, c.location, c.event_type, c.value, c.investors,
+  c.evidence_excerpt, c.confidence, c.status, c.batch_id * 16777216 + c.ord % 8 AS ord
+FROM {claims} c LEFT JOIN {site_pages} s ON s.page_id = c.ord
+"""
+
 INPUTS["candidates"] = """
 SELECT 'k' || cast(c_custkey AS string) AS candidate_id,
   CASE c_custkey % 5 WHEN 0 THEN 'Other Spelling ' || cast(c_custkey AS string) WHEN 1 THEN 'Alias ' || cast(c_custkey AS string) || ', Inc.'

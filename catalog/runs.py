@@ -9,10 +9,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from catalog import duck as D
-from catalog.news import ARTICLES_SQL, REGION_SQL, RELEVANT_SQL
-from catalog.pages import EMAIL_BARE, EMAIL_LINKED, HREF_SQL
+from catalog.identity import RESOLVED_SQL
+from catalog.news import ARTICLES_SQL, ATTACHED_SQL, BUCKET_SQL, GROUPS_SQL, REGION_SQL, RELEVANT_SQL, VALIDATED_SQL
+from catalog.pages import EMAIL_BARE, EMAIL_LINKED, ENRICH_SQL, HREF_SQL
 from catalog.registry import Tables, query
-from catalog.scores import V1_POINTS, V1_SCORE
+from catalog.scores import SCORED_SQL, V1_POINTS, V1_SCORE
 from upswell import config as C
 from upswell.operators import claims as K
 from upswell.operators.tables import read_current
@@ -117,7 +118,7 @@ def run_v1_refresh(t: Tables):
 def refresh_inputs(t: Tables) -> RefreshInputs:
     """Articles numbered the way the stored answers number them; answers, pages, known
     companies, aliases and history all come from the given tables."""
-    articles = t("numbered").withColumn("source_ord", F.lit(0)).withColumn(
+    articles = t("run_numbered").withColumn("source_ord", F.lit(0)).withColumn(
         "item_ord", (F.col("batch_id") * 8 + F.col("source_index") - 1).cast("int")
     ).drop("batch_id", "source_index")
     return RefreshInputs(
@@ -133,7 +134,7 @@ def refresh_inputs(t: Tables) -> RefreshInputs:
 
 def quoted_responses(t: Tables):
     """Answers whose quotes come from the cited document."""
-    c = t("claims")
+    c = t("run_claims")
     fields = ["company_name", "business_idea", "industry", "location", "event_type", "value", "investors", "evidence_excerpt", "source_index", "status"]
     row = F.to_json(F.struct(*fields, F.col("confidence").cast("int").alias("confidence")), {"ignoreNullFields": "false"})
     parts = F.sort_array(F.collect_list(F.struct("ord", row.alias("raw"))))
@@ -145,19 +146,79 @@ def quoted_responses(t: Tables):
     return body.select("batch_id", F.lit("model-a").alias("provider"), content.alias("content"))
 
 
-@query("run_ranking_refresh", "PIPE-1 SNK-7 JOIN-4", "")
+_RUN_ATTACHED = ATTACHED_SQL.replace("claims c", "run_claims c").replace("numbered n", "run_numbered n").replace(
+    "USING (batch_id, source_index))", "USING (batch_id, source_index) WHERE c.batch_id % 14 <> 0)"
+)
+_RUN_ENRICH = ENRICH_SQL.replace("site_groups", "g").replace("site_articles", "run_numbered").replace("signals", "careers_signals")
+_RUN_RESOLVED = RESOLVED_SQL.replace("known_companies", "companies")
+_F_AMT = D.amount("money_text")
+_RUN_FACTS = f""", claimed AS (SELECT k.*, i.company_id, i.primary_domain AS own_domain, {D.registrable_domain('k.source_url')} AS domain,
+      coalesce(nullif(evidence_excerpt, ''), nullif(value, ''), '') AS money_text, {D.statement_class('evidence_excerpt')} AS statement_class FROM keyed k JOIN identified i ON i.candidate_id = k.group_key),
+  typed AS (SELECT *, CASE WHEN coalesce(domain = own_domain, false) THEN 1 WHEN domain IN ({D.quoted(C.TIER_2_DOMAINS)}) THEN 2 ELSE 3 END AS source_tier,
+      event_type IN ('funding_round_completed', 'funding_round_announced') AND statement_class IN ('valuation', 'tam', 'fund_size') AS wrong,
+      {_F_AMT} AS amount_original, CASE WHEN {_F_AMT} IS NOT NULL THEN {D.currency('money_text')} END AS currency FROM claimed),
+  valued AS (SELECT *, CASE WHEN wrong THEN CASE WHEN statement_class = 'valuation' THEN 'valuation_report' ELSE 'other' END ELSE event_type END AS final_type,
+      CASE WHEN wrong THEN 'ambiguous' ELSE status END AS final_status, CASE WHEN NOT wrong THEN round_even(amount_original / {D.rate('currency')}, 2) END AS usd FROM typed),
+  new_facts AS (SELECT * FROM (SELECT *, CASE WHEN final_type IN ('funding_round_completed', 'funding_round_announced') THEN {D.stage('value')} END AS stage,
+      row_number() OVER (PARTITION BY company_id, source_url, final_type ORDER BY ord DESC) AS n FROM valued) WHERE n = 1),
+  history AS (SELECT company_id, event_type, verification_status, published_at, amount_usd, funding_stage, source_url, source_tier, title, evidence_text, ingest_ord FROM company_events
+    UNION ALL SELECT company_id, final_type, final_status, published_at, usd, stage, source_url, source_tier, company_name, evidence_excerpt, ord FROM new_facts)"""
+
+
+def _take(name: str, conf: str) -> str:
+    new, old = f"i.{name}", f"k.{name}"
+    return f"({D.populated(new)} AND (NOT {D.populated(old)} OR {new} = {old} OR {conf} >= 50))"
+
+
+_OFFERS = [("homepage", "i.homepage_confidence"), ("primary_domain", "i.homepage_confidence"), ("description", "60"), ("industry", "60"), ("region_bucket", "70"), ("hiring_status", "i.hiring_confidence")]
+_MERGED = ", ".join(f"CASE WHEN {_take(n, c)} THEN i.{n} ELSE k.{n} END AS {n}" for n, c in _OFFERS if n != "hiring_status")
+_ANY = " OR ".join(_take(n, c) for n, c in _OFFERS)
+_RUN_ROWS = f""", touched AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY first_ord) AS nth FROM identified) WHERE nth = 1),
+  known_rows AS (SELECT k.company_id, i.company_name AS canonical_name, {_MERGED}, k.founded_year, k.founders, k.headquarters_country, i.homepage_confidence, i.hiring_status, i.hiring_confidence,
+      k.moat_confidence, k.company_status, i.match_type = 'needs_review' AS entity_resolution_needs_review, CASE WHEN {_ANY} THEN 0 ELSE k.days_since_verified END AS days_since_verified, i.extraction_confidence
+    FROM touched i JOIN companies k ON k.company_id = i.matched_id),
+  new_rows AS (SELECT company_id, company_name AS canonical_name, homepage, primary_domain, description, industry, region_bucket, founded_year, NULL AS founders, NULL AS headquarters_country, homepage_confidence,
+      hiring_status, hiring_confidence, 0 AS moat_confidence, 'operating' AS company_status, match_type = 'needs_review' AS entity_resolution_needs_review, 0 AS days_since_verified, extraction_confidence
+    FROM touched WHERE matched_id IS NULL),
+  run_rows AS (SELECT * FROM known_rows UNION ALL BY NAME SELECT * FROM new_rows),
+  run_history AS (SELECT * FROM history WHERE company_id IN (SELECT company_id FROM run_rows))"""
+_RUN_SCORED = (
+    SCORED_SQL.replace("avg(extraction_confidence) AS extraction_confidence FROM company_events", "1 AS one FROM company_events")
+    .replace("best_source_tier, extraction_confidence, coalesce", "best_source_tier, coalesce")
+    .replace("FROM company_events", "FROM run_history").replace("companies c", "run_rows c")
+)
+RUN_SQL = (
+    VALIDATED_SQL.replace(ATTACHED_SQL, _RUN_ATTACHED) + ", acc AS (SELECT * FROM checked WHERE len(errors) = 0)"
+    + GROUPS_SQL.replace("FROM attached", "FROM acc") + ", g AS (SELECT group_key, company_name, source_url0 AS source_url FROM grouped)" + _RUN_ENRICH
+    + f""", candidates AS (SELECT group_key AS candidate_id, company_name, NULL::VARCHAR AS headquarters_country, description, industry, founded_year, extraction_confidence, first_ord, homepage, homepage_confidence,
+      primary_domain, coalesce(hiring_status, 'unknown') AS hiring_status, coalesce(hiring_confidence, 0) AS hiring_confidence, {BUCKET_SQL.format('(' + REGION_SQL + ')')} AS region_bucket
+    FROM grouped LEFT JOIN homes USING (group_key) LEFT JOIN hiring USING (group_key))"""
+    + _RUN_RESOLVED + _RUN_FACTS + _RUN_ROWS + _RUN_SCORED
+)
+RUN_INPUTS = "run_claims run_numbered crawl companies aliases company_events"
+
+
+@query(
+    "run_ranking_refresh", "PIPE-1 SNK-7 JOIN-4", RUN_INPUTS,
+    RUN_SQL + """ SELECT company_id, canonical_name, region_bucket, data_confidence, independent_sources, funding_amount_usd, hiring_status, primary_domain,
+      len(reasons) = 0 AS eligible, array_to_string(reasons, '; ') AS reasons FROM gated""",
+)
 def run_ranking_refresh(t: Tables):
     result = run_ranking(refresh_inputs(t), t.now, "run-1")
     return result.gated.select(
-        "company_id", "canonical_name", "region_bucket", "data_confidence", "independent_sources", "eligible",
-        F.array_join("reasons", "; ").alias("reasons"),
+        "company_id", "canonical_name", "region_bucket", "data_confidence", "independent_sources", "funding_amount_usd",
+        "hiring_status", "primary_domain", "eligible", F.array_join("reasons", "; ").alias("reasons"),
     )
 
 
-@query("record_run", "SNK-7 AGG-22", "")
+@query(
+    "record_run", "SNK-7 AGG-22", RUN_INPUTS,
+    RUN_SQL + """ SELECT 'run-1' AS run_id, (SELECT count(*) FROM run_numbered) AS articles_fetched, (SELECT count(*) FROM acc) AS candidates_extracted,
+      count(*) FILTER (WHERE len(reasons) = 0) AS companies_accepted, count(*) FILTER (WHERE len(reasons) > 0) AS companies_rejected FROM gated""",
+)
 def record_run(t: Tables):
     result = run_ranking(refresh_inputs(t), t.now, "run-1")
-    return result.run.select("run_id", "run_status", "published", "articles_fetched", "candidates_extracted", "companies_accepted", "companies_rejected")
+    return result.run.select("run_id", "articles_fetched", "candidates_extracted", "companies_accepted", "companies_rejected")
 
 
 def fresh_folder(t: Tables, name: str) -> str:

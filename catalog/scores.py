@@ -195,7 +195,7 @@ _terms = " + ".join(f"{c} * {w}::DOUBLE" for c, w in C.WEIGHTS.items())
 _REASONS = f"""list_filter([
     CASE WHEN region_bucket IS NULL OR region_bucket NOT IN ({D.quoted(C.REGIONS)}) THEN 'region not supported' END,
     CASE WHEN NOT primary_domain_verified THEN 'primary domain not verified' END,
-    CASE WHEN industry NOT IN ({D.quoted(C.SUPPORTED_INDUSTRIES)}) THEN 'industry not supported' END,
+    CASE WHEN industry IS NULL OR industry NOT IN ({D.quoted(C.SUPPORTED_INDUSTRIES)}) THEN 'industry not supported' END,
     CASE WHEN coalesce(days_since_event, 100000) > 180 THEN 'no recent qualifying event' END,
     CASE WHEN coalesce(data_confidence, 0) < 60 THEN 'data confidence too low' END,
     CASE WHEN coalesce(best_source_tier, 9) <> 1 AND coalesce(independent_sources, 0) < 1 THEN 'only weak sources' END,

@@ -30,11 +30,11 @@ def source_pairs(sources: DataFrame) -> DataFrame:
         F.col("ord"),
     )
     first_use = keyed.groupBy("company_id", "link").agg(
-        F.min(F.struct("ord", "text_hash", "site")).alias("f")
+        F.min(F.struct("ord", "text_hash", "site")).alias("_first")
     )
     return first_use.groupBy(
-        "company_id", F.col("f.text_hash").alias("text_hash"), F.col("f.site").alias("site")
-    ).agg(F.min(F.struct(F.col("f.ord").alias("ord"), "link")).alias("pos"))
+        "company_id", F.col("_first.text_hash").alias("text_hash"), F.col("_first.site").alias("site")
+    ).agg(F.min(F.struct(F.col("_first.ord").alias("ord"), "link")).alias("pos"))
 
 
 def _fold(pairs: DataFrame) -> DataFrame:

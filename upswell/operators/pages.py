@@ -168,9 +168,9 @@ def best_homepage(scored: DataFrame) -> DataFrame:
         F.struct("link", "confidence", "final_domain"), F.struct(-F.col("confidence"), F.length("link"), F.col("link_ord"), F.col("link"))
     )
     return (
-        scored.filter("valid").groupBy("group_key").agg(best.alias("b")).select(
-            "group_key", F.col("b.link").alias("homepage"), F.col("b.confidence").alias("homepage_confidence"),
-            F.col("b.final_domain").alias("primary_domain"),
+        scored.filter("valid").groupBy("group_key").agg(best.alias("_best")).select(
+            "group_key", F.col("_best.link").alias("homepage"), F.col("_best.confidence").alias("homepage_confidence"),
+            F.col("_best.final_domain").alias("primary_domain"),
         )
     )
 
@@ -237,10 +237,10 @@ def best_careers_page(scored: DataFrame) -> DataFrame:
         F.struct("hiring_status", "hiring_confidence", "open_role_count"),
         F.struct(rank, F.col("hiring_confidence"), -F.col("path_ord")),
     )
-    return scored.groupBy("group_key").agg(best.alias("b")).select(
-        "group_key", F.col("b.hiring_status").alias("hiring_status"),
-        F.col("b.hiring_confidence").alias("hiring_confidence"),
-        F.col("b.open_role_count").alias("verified_open_role_count"),
+    return scored.groupBy("group_key").agg(best.alias("_best")).select(
+        "group_key", F.col("_best.hiring_status").alias("hiring_status"),
+        F.col("_best.hiring_confidence").alias("hiring_confidence"),
+        F.col("_best.open_role_count").alias("verified_open_role_count"),
     )
 
 

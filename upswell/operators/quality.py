@@ -71,9 +71,9 @@ def missingness_by_field(df: DataFrame, fields: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), *[F.count_if(is_populated(F.col(f))).alias(f) for f in fields]
     )
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("filled")) for f in fields])
-    return one.select("_n", F.explode(pairs).alias("p")).select(
-        F.col("p.field").alias("field"),
-        S.percent(F.col("_n") - F.col("p.filled"), F.col("_n")).alias("pct_missing"),
+    return one.select("_n", F.explode(pairs).alias("_pair")).select(
+        F.col("_pair.field").alias("field"),
+        S.percent(F.col("_n") - F.col("_pair.filled"), F.col("_n")).alias("pct_missing"),
     )
 
 

@@ -42,7 +42,7 @@ def resolve_entities(candidates: DataFrame, companies: DataFrame, aliases: DataF
         .groupBy(F.col("normalized_name").alias("_n"))
         .agg(
             F.count(F.lit(1)).alias("n_same_name"),
-            F.min(F.struct("company_id", "headquarters_country", "description")).alias("m"),
+            F.min(F.struct("company_id", "headquarters_country", "description")).alias("_known"),
         )
     )
     out = (
@@ -51,12 +51,12 @@ def resolve_entities(candidates: DataFrame, companies: DataFrame, aliases: DataF
         .join(by_name, spread_nulls(c["_name"], c["candidate_id"]) == by_name["_n"], "left")
     )
     same_hq = F.coalesce(
-        (F.col("headquarters_country") == F.col("m.headquarters_country")) & (F.col("headquarters_country") != ""),
+        (F.col("headquarters_country") == F.col("_known.headquarters_country")) & (F.col("headquarters_country") != ""),
         F.lit(False),
     )
     single = (F.col("n_same_name") == 1) & F.col("domain_id").isNull() & F.col("alias_id").isNull()
     similar = F.coalesce(
-        F.when(single, jaccard(F.col("description"), F.col("m.description"))) >= 0.2, F.lit(False)
+        F.when(single, jaccard(F.col("description"), F.col("_known.description"))) >= 0.2, F.lit(False)
     )
     ambiguous = F.col("_name").isin(C.AMBIGUOUS_NAMES)
     kind = (
@@ -73,7 +73,7 @@ def resolve_entities(candidates: DataFrame, companies: DataFrame, aliases: DataF
         out.withColumn(
             "matched_id",
             F.when(kind == "domain", F.col("domain_id")).when(kind == "alias", F.col("alias_id"))
-            .when(kind == "name", F.col("m.company_id")),
+            .when(kind == "name", F.col("_known.company_id")),
         )
         .withColumn(
             "resolution_confidence",
@@ -86,7 +86,7 @@ def resolve_entities(candidates: DataFrame, companies: DataFrame, aliases: DataF
         )
         .withColumn("needs_review", kind == "needs_review")
         .drop(
-            "_domain", "_name", "_d", "_a", "_n", "_hq", "_sim", "domain_id", "alias_id", "n_same_name", "m",
+            "_domain", "_name", "_d", "_a", "_n", "_hq", "_sim", "domain_id", "alias_id", "n_same_name", "_known",
         )
     )
 

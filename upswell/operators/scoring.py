@@ -108,12 +108,12 @@ def funding_rollup(events: DataFrame) -> DataFrame:
     )
     newest = F.max(F.struct("published_at", "amount_usd", "funding_stage"))
     total = decimal_sum(F.col("amount_usd"))
-    return rounds.groupBy("company_id").agg(newest.alias("r"), total.alias("t")).select(
+    return rounds.groupBy("company_id").agg(newest.alias("_last"), total.alias("_total")).select(
         "company_id",
-        F.col("r.funding_stage").alias("latest_funding_stage"),
-        F.col("r.amount_usd").alias("latest_funding_amount_usd"),
-        F.to_date("r.published_at").alias("latest_funding_date"),
-        F.nullif("t", F.lit(0.0)).alias("total_disclosed_funding_usd"),
+        F.col("_last.funding_stage").alias("latest_funding_stage"),
+        F.col("_last.amount_usd").alias("latest_funding_amount_usd"),
+        F.to_date("_last.published_at").alias("latest_funding_date"),
+        F.nullif("_total", F.lit(0.0)).alias("total_disclosed_funding_usd"),
     )
 
 

@@ -64,8 +64,8 @@ def write_version(df: DataFrame, root: str, version: int, current: bool = True)
 def to_fields(rows: DataFrame, fields: Sequence[str], confidence: str = "confidence", tier: str = "tier") -> DataFrame:
     """Wide company rows as ``company_id, field, value, confidence, tier``."""
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
-    return rows.select("company_id", F.explode(pairs).alias("p"), F.col(confidence).alias("confidence"), F.col(tier).alias("tier")).select(
-        "company_id", "p.field", "p.value", "confidence", "tier"
+    return rows.select("company_id", F.explode(pairs).alias("_pair"), F.col(confidence).alias("confidence"), F.col(tier).alias("tier")).select(
+        "company_id", "_pair.field", "_pair.value", "confidence", "tier"
     )
 
 
@@ -230,7 +230,7 @@ def check_constraints(events: DataFrame) -> DataFrame:
     )
     pairs = F.array(*[F.struct(F.lit(c).alias("rule"), F.col(f"`{c}`").alias("violations")) for c in rules.columns])
     doubled = events.groupBy(*key).count().filter("count > 1").agg(F.count(F.lit(1)).alias("violations"))
-    return rules.select(F.explode(pairs).alias("p")).select("p.rule", "p.violations").unionByName(
+    return rules.select(F.explode(pairs).alias("_pair")).select("_pair.rule", "_pair.violations").unionByName(
         doubled.select(F.lit("key not unique").alias("rule"), "violations")
     )
 

@@ -83,7 +83,7 @@ def offered_fields(found: DataFrame) -> DataFrame:
         )
         for name, conf, tier in MERGED_FIELDS
     ]
-    rows = found.select("company_id", "first_ord", F.explode(F.array(*parts)).alias("p")).select("company_id", "first_ord", "p.*")
+    rows = found.select("company_id", "first_ord", F.explode(F.array(*parts)).alias("_offer")).select("company_id", "first_ord", "_offer.*")
     known = rows.withColumn("_empty", F.col("new_value").isNull())
     return keep_first(known, ["company_id", "field"], [F.col("_empty"), F.col("first_ord")]).drop("_empty", "first_ord")
 
@@ -94,8 +94,8 @@ def merge_companies(found: DataFrame, companies: DataFrame, now: Column) -> tupl
     tier = F.col("best_source_tier") if "best_source_tier" in companies.columns else F.lit(None).cast("int")
     stored = companies.select(
         "company_id", F.col("data_confidence").alias("existing_confidence"), tier.alias("existing_tier"),
-        F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).cast("string").alias("existing_value")) for n in names])).alias("p"),
-    ).select("company_id", "p.field", "p.existing_value", "existing_confidence", "existing_tier")
+        F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).cast("string").alias("existing_value")) for n in names])).alias("_pair"),
+    ).select("company_id", "_pair.field", "_pair.existing_value", "existing_confidence", "existing_tier")
     offers = offered_fields(found.filter("matched_id is not null"))
     decided = B.preserve_fields(
         offers.join(stored, ["company_id", "field"], "inner").withColumn("clearly_newer", F.lit(False))

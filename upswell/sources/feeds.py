@@ -54,17 +54,17 @@ def scan_feed_items(spark: SparkSession, path: str, per_feed_cap: int = C.FEED_I
 
 
 def search_hits(raw: DataFrame, hits_per_query: int = C.HITS_PER_QUERY, source_ord: int = 1000) -> DataFrame:
-    hit = raw.select("query_ord", F.posexplode("hits").alias("pos", "hit")).filter(F.col("pos") < hits_per_query)
-    link = F.coalesce(null_if_blank(F.col("hit.url")), F.concat(F.lit(C.ITEM_URL_PREFIX), F.col("hit.objectID")))
+    hit = raw.select("query_ord", F.posexplode("hits").alias("_pos", "_hit")).filter(F.col("_pos") < hits_per_query)
+    link = F.coalesce(null_if_blank(F.col("_hit.url")), F.concat(F.lit(C.ITEM_URL_PREFIX), F.col("_hit.objectID")))
     return normalize_published(
-        hit.filter(text_or_empty(F.col("hit.title")) != "").select(
-            F.col("hit.title").alias("title"),
-            F.col("hit.title").alias("summary"),
+        hit.filter(text_or_empty(F.col("_hit.title")) != "").select(
+            F.col("_hit.title").alias("title"),
+            F.col("_hit.title").alias("summary"),
             link.alias("link"),
-            text_or_empty(F.col("hit.created_at")).alias("published"),
+            text_or_empty(F.col("_hit.created_at")).alias("published"),
             F.lit(C.SEARCH_SOURCE_NAME).alias("source_name"),
             (F.lit(source_ord) + F.col("query_ord")).alias("source_ord"),
-            F.col("pos").alias("item_ord"),
+            F.col("_pos").alias("item_ord"),
         )
     ).select(ARTICLE_COLUMNS)
 
