@@ -18,6 +18,8 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self._seen: dict[str, DataFrame] = {}
+        # clocks in the SQL checks are UTC
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __call__(self, name: str) -> DataFrame:
         return inputs.load(self.spark, self.sf_dir, name, self._seen)
