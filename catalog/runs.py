@@ -53,6 +53,18 @@ def apply_extractor(t: Tables):
     return parsed.select("batch_id", F.size("records").cast("long").alias("n_claims"), "provider")
 
 
+@query(
+    "pack_company_batches", "TXT-11 PIPE-2", "startups",
+    """, placed AS (SELECT *, row_number() OVER (ORDER BY company_name) - 1 AS i FROM startups)
+    SELECT CAST(i // 6 AS BIGINT) AS batch_id, CAST(count(*) AS INT) AS n_companies, md5(string_agg(CAST(i % 6 + 1 AS VARCHAR) || '. COMPANY: ' || company_name || chr(10) || '   DESCRIPTION: ' || business_idea
+      || chr(10) || '   WEBSITE TEXT: ' || CASE WHEN ord % 2 = 0 THEN '(none found)' ELSE 'we are ' || company_name END, chr(10) || chr(10) ORDER BY i)) AS prompt_md5 FROM placed GROUP BY 1""",
+)
+def pack_company_batches(t: Tables):
+    about = F.when(F.col("ord") % 2 == 0, "").otherwise(F.concat(F.lit("we are "), "company_name"))
+    numbered = K.number_companies(t("startups").withColumn("about_text", about))
+    return K.pack_company_batches(numbered).select("batch_id", "n_companies", F.md5("prompt").alias("prompt_md5"))
+
+
 @query(
     "run_news_refresh", "PIPE-3", "articles",
     ARTICLES_SQL + f""", top AS (SELECT * FROM firsts WHERE {RELEVANT_SQL} ORDER BY firsts.published_ts DESC NULLS LAST, source_ord, item_ord, link LIMIT 60),

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from upswell.operators import tables as B
+from upswell.plans.legacy import run_v1_refresh
 from upswell.plans.refresh import RefreshInputs, run_ranking_refresh, store_refresh
 
 COMPANY = (
@@ -91,3 +92,31 @@ def test_refresh_and_second_run(spark, tmp_path):
 def test_all_batches_failed(spark):
     with pytest.raises(RuntimeError):
         run_ranking_refresh(_inputs(spark, answer="no json"), F.to_date(F.lit("2026-02-21")))
+
+
+def test_older_refresh_with_refiner(spark):
+    records = spark.createDataFrame(
+        [("Acme", "robots", "AI", "Series A", "$8M", "Alpha", "Austin, Texas", "https://news.x/1", 1), ("acme", "robots for all", "AI", "Seed", None, None, None, "https://news.x/1", 2), ("Beta", "pay", "FinTech", None, "$8 million", None, "Mumbai", "https://news.x/2", 3)],
+        "company_name string, business_idea string, industry string, funding_stage string, funding_amount string, investors string, location string, source_url string, ord long",
+    )
+    articles = spark.createDataFrame([("https://news.x/1", '<a href="https://acme.com?x=1">a</a>')], "link string, summary string")
+    pages = spark.createDataFrame(
+        [("https://acme.com", 200, "We are hiring"), ("https://acme.com/about", 200, "write to hi@acme.com")], "url string, status_code int, html string"
+    )
+
+    def refine(prompt):
+        n = prompt.count("COMPANY:")
+        return json.dumps([{"founder_name": "F", "year_founded": "2020", "unique_moat": None}] * n), "rules"
+
+    got = {r.company_name: r for r in run_v1_refresh(records, articles, pages, refiner=refine).collect()}
+    assert set(got) == {"acme", "Beta"}
+    acme, beta = got["acme"], got["Beta"]
+    assert (acme.homepage, acme.contact_email, acme.hiring_status, acme.founder_name) == ("https://acme.com", "hi@acme.com", "Likely hiring", "F")
+    assert (acme.momentum_score, acme.data_confidence) == (34, 75)
+    assert (beta.region, beta.funding_amount_usd, beta.hiring_status, beta.momentum_score) == ("India", None, "Unknown", 0)
+
+
+def test_run_rows(spark):
+    opened = B.open_run(spark, "r1", F.lit("2026-02-21").cast("timestamp"))
+    closed = opened.withColumns({"finished_at": F.col("started_at"), "run_status": F.lit("success"), "published": F.lit(True)})
+    assert [r.run_status for r in B.run_states(opened.unionByName(closed)).collect()] == ["success"]

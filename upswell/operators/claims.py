@@ -45,6 +45,41 @@ def pack_batches(numbered: DataFrame, summary_chars: int | None = None) -> DataF
     )
 
 
+def number_companies(companies: DataFrame, size: int = C.COMPANY_BATCH_SIZE) -> DataFrame:
+    """Give each company its batch and its 1-based place in it, in name order."""
+    rows = with_row_index(companies, [F.col("company_name")])
+    return rows.withColumn("batch_id", F.floor(F.col("row_index") / size)).withColumn(
+        "place", (F.col("row_index") % size + 1).cast("int")
+    ).drop("row_index")
+
+
+def pack_company_batches(numbered: DataFrame) -> DataFrame:
+    """One text per batch of companies: name, description and the text of its own site."""
+    about = F.coalesce(null_if_blank(F.col("about_text")), F.lit("(none found)"))
+    line = F.concat(
+        F.col("place").cast("string"), F.lit(". COMPANY: "), text_or_empty(F.col("company_name")),
+        F.lit("\n   DESCRIPTION: "), text_or_empty(F.col("business_idea")), F.lit("\n   WEBSITE TEXT: "), about,
+    )
+    lines = F.sort_array(F.collect_list(F.struct("place", line.alias("line"))))
+    return numbered.groupBy("batch_id").agg(
+        F.count(F.lit(1)).cast("int").alias("n_companies"),
+        F.array_join(F.transform(lines, lambda s: s["line"]), "\n\n").alias("prompt"),
+    )
+
+
+def attach_refined(numbered: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Founder, founding year and moat by place in the answer. An answer that failed or
+    has another length than its batch adds nothing."""
+    sizes = numbered.groupBy("batch_id").agg(F.max("place").alias("_size"))
+    good = parsed.filter(~F.col("failed")).join(sizes, "batch_id").filter(F.size("records") == F.col("_size"))
+    one = good.select("batch_id", F.posexplode("records").alias("_pos", "_raw"))
+    facts = one.select(
+        "batch_id", (F.col("_pos") + 1).alias("place"),
+        F.from_json("_raw", "founder_name string, year_founded string, unique_moat string").alias("_facts"),
+    ).select("batch_id", "place", "_facts.*")
+    return numbered.join(facts, ["batch_id", "place"], "left").drop("batch_id", "place")
+
+
 Extractor = Callable[[str], tuple[str | None, str]]
 
 

@@ -121,8 +121,14 @@ def field_provenance(decided: DataFrame, run_date: Column) -> DataFrame:
     )
 
 
-def write_field_provenance(rows: DataFrame, root: str) -> None:
-    rows.write.mode("append").partitionBy("run_date").parquet(root)
+def append_run(rows: DataFrame, root: str, version: int, *partitions: str) -> None:
+    """Add one run's rows to a log-like table. Each run has a folder of its own, so a run
+    that is repeated after a failure replaces its rows instead of doubling them."""
+    rows.write.mode("overwrite").partitionBy(*partitions).parquet(f"{root}/run_version={version}")
+
+
+def write_field_provenance(rows: DataFrame, root: str, version: int) -> None:
+    append_run(rows, root, version, "run_date")
 
 
 def snapshot_rows(ranked: DataFrame, run_ts: Column) -> DataFrame:
@@ -133,8 +139,21 @@ def snapshot_rows(ranked: DataFrame, run_ts: Column) -> DataFrame:
     )
 
 
-def append_snapshots(snapshots: DataFrame, root: str) -> None:
-    snapshots.write.mode("append").partitionBy("run_date", "region_bucket").parquet(root)
+def append_snapshots(snapshots: DataFrame, root: str, version: int) -> None:
+    append_run(snapshots, root, version, "run_date", "region_bucket")
+
+
+def open_run(spark: SparkSession, run_id: str, started_at: Column) -> DataFrame:
+    """The row of a run that has begun; the closed row has the same id."""
+    return spark.range(1).select(
+        F.lit(run_id).alias("run_id"), started_at.alias("started_at"), F.lit(None).cast("timestamp").alias("finished_at"),
+        F.lit("running").alias("run_status"), F.lit(False).alias("published"),
+    )
+
+
+def run_states(rows: DataFrame) -> DataFrame:
+    """One row per run: the closed one where there is one."""
+    return keep_first(rows, ["run_id"], [F.col("finished_at").desc_nulls_last()])
 
 
 def record_run(counters: DataFrame, run_id: str, started_at: Column, finished_at: Column, status: Column, published: Column, report: Column | None = None) -> DataFrame:
@@ -213,9 +232,12 @@ def publish_ranking(companies: DataFrame, ranked: DataFrame, publish: bool) -> D
     Companies that dropped out lose their rank."""
     if not publish:
         return companies
-    cols = ["momentum_score", "regional_rank", "why_ranked", "score_version", "rank_change"]
-    new = ranked.select("company_id", *[c for c in cols if c in ranked.columns])
-    return companies.drop(*cols).join(new, "company_id", "left")
+    names = {
+        "momentum_score": "momentum_score", "regional_rank": "regional_rank", "why_ranked": "why_ranked",
+        "score_version": "score_version", "rank_change": "rank_change_since_previous_snapshot",
+    }
+    new = ranked.select("company_id", *[F.col(c).alias(n) for c, n in names.items() if c in ranked.columns])
+    return companies.drop(*names.values()).join(new, "company_id", "left")
 
 
 def check_constraints(events: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from upswell.operators import scoring as P
 from upswell.operators.common import keep_first
 from upswell.operators.events import extract_amounts_v1
 from upswell.operators.tables import upsert_by_key
+from upswell.session import materialise
 
 
 def first_homepage(records: DataFrame, articles: DataFrame, pages: DataFrame) -> DataFrame:
@@ -55,12 +56,20 @@ def page_facts_v1(homepages: DataFrame, pages: DataFrame) -> DataFrame:
 
 def run_v1_refresh(
     records: DataFrame, articles: DataFrame, pages: DataFrame, startups: DataFrame | None = None,
-    weights: dict[str, float] | None = None, substring_regions: bool = False,
+    weights: dict[str, float] | None = None, substring_regions: bool = False, refiner: K.Extractor | None = None,
 ) -> DataFrame:
-    """Score one record per company name and merge it into ``startups`` by name."""
+    """Score one record per company name and merge it into ``startups`` by name.
+
+    ``refiner`` is the user's function for founder, year and moat, called per batch of
+    companies; without it those fields stay as they came.
+    """
     best = K.dedupe_companies(records).withColumn("name_key", F.lower(F.trim("company_name")))
     facts = page_facts_v1(first_homepage(best, articles, pages), pages)
     rows = best.join(facts, "name_key", "left").withColumn("hiring_status", F.coalesce("hiring_status", F.lit("Unknown")))
+    if refiner is not None:
+        numbered = materialise(K.number_companies(rows.drop("founder_name", "year_founded", "unique_moat")))
+        answers = materialise(K.parse_responses(K.apply_extractor(K.pack_company_batches(numbered), refiner)))
+        rows = K.attach_refined(numbered, answers)
     for c in ("founder_name", "year_founded"):
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))

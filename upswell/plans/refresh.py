@@ -223,9 +223,9 @@ def store_refresh(result: RefreshResult, root: str, version: int) -> None:
     B.write_version(result.events, f"{root}/events", version)
     B.write_version(result.ranked, f"{root}/ranking", version, current=result.publish)
     if result.publish:
-        B.append_snapshots(result.snapshots, f"{root}/snapshots")
-    B.write_field_provenance(result.provenance, f"{root}/provenance")
-    result.run.write.mode("append").parquet(f"{root}/runs")
+        B.append_snapshots(result.snapshots, f"{root}/snapshots", version)
+    B.write_field_provenance(result.provenance, f"{root}/provenance", version)
+    B.append_run(result.run, f"{root}/runs", version)
 
 
 def previous_publication(runs: DataFrame, reports: DataFrame) -> DataFrame:
