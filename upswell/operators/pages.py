@@ -11,6 +11,7 @@ from upswell import config as C
 from upswell.functions import text as X
 from upswell.functions import urls as U
 from upswell.operators.common import keep_first
+from upswell.session import materialise
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -261,11 +262,13 @@ def enrich_companies(groups: DataFrame, articles: DataFrame, pages: DataFrame) -
         return best_homepage(homepage_confidence(homepage_candidates(links, pages)))
 
     summaries = attach_articles(named, articles).withColumnRenamed("article_summary", "html")
-    first = resolve(extract_links(summaries))
+    # both results are one narrow row per company and are read more than once; stored,
+    # the page bodies behind them are joined a single time
+    first = materialise(resolve(extract_links(summaries)))
     rest = named.join(first, "group_key", "left_anti")
     article_page = pages.select(F.col("url").alias("source_url"), "html")
     second = resolve(extract_links(rest.join(article_page, "source_url", "inner")))
-    homepages = first.unionByName(second)
+    homepages = materialise(first.unionByName(second))
     hiring = best_careers_page(careers_signal(careers_pages(homepages, pages)))
     out = named.join(homepages, "group_key", "left").join(hiring, "group_key", "left")
     return out.withColumn("hiring_status", F.coalesce("hiring_status", F.lit("unknown"))).withColumn(

@@ -25,7 +25,7 @@ def first_homepage(records: DataFrame, articles: DataFrame, pages: DataFrame) ->
         return keep_first(found, ["name_key"], [F.col("link_ord")]).select("name_key", F.col("link").alias("homepage"))
 
     summaries = W.attach_articles(named, articles).withColumnRenamed("article_summary", "html")
-    by_summary = first(summaries)
+    by_summary = materialise(first(summaries))
     bodies = pages.filter("status_code = 200").select(F.col("url").alias("source_url"), "html")
     by_page = first(named.join(by_summary, "name_key", "left_anti").join(bodies, "source_url", "inner"))
     return by_summary.unionByName(by_page)
