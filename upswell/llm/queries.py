@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from upswell.llm import exact_dedup, mixing, sharding
+from upswell.llm import exact_dedup, language, mixing, packing, repetition, sharding, toxicity, url_filter
 
 QUERIES = {
+    "op1_language_id": language.op1,
+    "op3_packing": packing.op3,
+    "op4_url_filter": url_filter.op4,
     "op5_mixing": mixing.op5,
     "op6_sharding": sharding.op6,
     "op7_exact_dedup": exact_dedup.op7,
+    "op8_repetition": repetition.op8,
+    "op9_toxicity": toxicity.op9,
 }
 SQL = {
     "op5_mixing": mixing.OP5_SQL,
