@@ -1,9 +1,8 @@
 """URL filter: rules by host and path, and logistic regression where no rule fits.
 
 The model looks at hashed character n-grams of host and path. It is fitted on a small table of
-labelled URLs (at most ``labelled_rows`` of each verdict, chosen by a hash of the URL); unless the caller
-has one, the rules label it: URLs that a rule decides, from the table that is to be judged. Every URL is
-judged; the model decides only where no rule fits.
+labelled URLs: the one in ``url_labels`` or the caller's, of which at most ``labelled_rows`` of each verdict count, chosen by a
+hash. Every URL is judged by the rules and the model; the model decides where no rule fits.
 
 Cases: a null URL or one without ``://`` has an empty host and path, no rule, and the model judges its
 empty text (the intercept and nothing else); an empty path starts with no rule's path; labels of
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from upswell.llm import grams
 from upswell.llm.linear import fit_logistic, probability
+from upswell.llm.url_labels import LABELLED
 
 BITS = 12
 LONGEST = 4
@@ -92,9 +92,8 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence =
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parsed = parsed.withColumn("rule", rule).withColumn("by_rule", verdict)
     if labelled is None:
-        known = parsed.select("host", "path", F.col("by_rule").alias("verdict"))
-    else:
-        known = labelled.select(host.alias("host"), path.alias("path"), "verdict")
+        labelled = spark.createDataFrame(list(LABELLED), "url string, verdict string")
+    known = labelled.select(host.alias("host"), path.alias("path"), "verdict")
     texts, blocked = [], []
     for v in ("allow", "block"):
         few = known.filter(F.col("verdict") == v).select("host", "path").distinct().orderBy(F.xxhash64("host", "path"), "host", "path").limit(labelled_rows).collect()
