@@ -1,4 +1,8 @@
-"""A training corpus from raw documents: the stages, each a function of (spark, docs, sf_dir)."""
+"""A training corpus from raw documents: the stages, each a function of (spark, docs, sf_dir).
+
+What a stage returns is written as Parquet and read again as the next one's documents. All stages
+but the last return the columns of the documents.
+"""
 
 from __future__ import annotations
 
@@ -9,26 +13,48 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from upswell.llm import exact_dedup, mixing  # noqa: E402
+from upswell.llm import exact_dedup, jaccard_join, language, mixing, packing  # noqa: E402
 from upswell.llm.common import store  # noqa: E402
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose language is found with less than one half of the probability, go."""
+    return language.accepted(docs)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per text: of equal texts the longest, then the one with the smallest doc_id."""
+    return exact_dedup.kept_rows(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest doc_id, of each class of near copies (five words, 0.8)."""
+    return jaccard_join.one_of_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: rows repeated or left out whole."""
     return mixing.mix(docs)
 
 
-def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per text."""
-    return exact_dedup.kept_rows(docs)
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of at most 2048 tokens."""
+    return packing.packed(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies), ("mixing", mix_sources)]
+STAGES = [
+    ("language id", keep_known_languages),
+    ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+#: Language models, near copies and tokens are beyond SQL: tests/llm compares every stage with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; what each one returns is written once and read by the next."""
+    """All stages over the documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from upswell.llm import exact_dedup, language, mixing, packing, repetition, sharding, toxicity, url_filter
+from upswell.llm import exact_dedup, jaccard_join, language, mixing, packing, repetition, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": language.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_exact_dedup": exact_dedup.op7,
     "op8_repetition": repetition.op8,
     "op9_toxicity": toxicity.op9,
+    "op10_jaccard_join": jaccard_join.op10,
 }
 SQL = {
     "op5_mixing": mixing.OP5_SQL,
