@@ -7,8 +7,8 @@ region. The join therefore has two steps, both exact.
 1. Cells. Sets within the threshold differ in at most ``d`` shingles, ``d`` known from their sizes. The
    universe of shingles is hashed into more than ``d`` parts, so two such sets agree completely in at least one part. Sets that agree
    in a part are joined to the first of them, and connected sets form a cell. No link leaves a cell. Sizes are
-   classed so that sets of one or of neighbouring classes meet. Parts that are empty do not count, unless a
-   set has more empty parts than were added for that.
+   classed so that sets of one or of neighbouring classes meet. Parts that are empty do not count; a (small) set that has more
+   empty parts than were added for that also meets others by the few of its smallest hashes of which linked sets share one.
 2. Regions. Within a cell, pivots are chosen and every document goes to the region of its nearest pivot, and
    also into each region whose pivot is at most two thresholds further away than its nearest one: of any linked pair, one region then
    holds both. Regions are joined recursively; distances to pivots link documents, and bound the distance of
@@ -100,14 +100,15 @@ def size_classes(percent: int, upto: int) -> np.ndarray:
 def parts_for(percent: int, low: int, high: int) -> tuple[int, int, int]:
     """(difference allowed, parts, empty parts provided for) for sets of sizes from low to below high."""
     differ = 2 * (high - 1) * (100 - percent) // (100 + percent)
-    spare = 0
-    while True:
+    best = (-1e9, 0)
+    for spare in range(0, 2 * low + 2):
         parts = differ + 1 + spare
-        empty = parts * exp(-low / parts)
-        need = ceil(empty + 4 * sqrt(empty)) if parts > 1 else 0
-        if need <= spare:
-            return differ, parts, spare
-        spare += max(1, (need - spare) // 2)
+        empty = parts * exp(-low / parts) if parts > 1 else 0.0
+        room = (spare - empty) / sqrt(empty + 1e-3)  # in standard deviations
+        best = max(best, (room, spare), key=lambda x: x[0])
+        if room >= 4:
+            break
+    return differ, differ + 1 + best[1], best[1]
 
 
 def part_keys(value: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +118,7 @@ def part_keys(value: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     bounds = size_classes(percent, int(sizes.max()) + 1)
     cls = np.searchsorted(bounds, sizes, side="right") - 1
-    scrambled = octets.mix(value ^ np.uint64(0x1F2E3D4C5B6A7988))
+    scrambled = octets.mix(value ^ np.uint64(0x1F2E3D4C5B6A7988))  # values ascend within a set
     high = value >> np.uint64(32)
     rows = np.repeat(np.arange(len(sizes)), sizes)
     keys, owners = [], []
@@ -145,11 +146,17 @@ def part_keys(value: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.
         filled[slot] = True
         owner = np.repeat(np.arange(len(sizes)), parts)
         number = np.arange(total) - first[owner]
-        empties = np.bincount(owner[~filled], minlength=len(sizes))
-        emit = filled | (empties > spare)[owner]
+        thin = use & (np.bincount(owner[~filled], minlength=len(sizes)) > spare)
         tag = octets.mix((group[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1))
-        keys.append(octets.mix(sums + tag)[emit])
-        owners.append(owner[emit])
+        keys.append(octets.mix(sums + tag)[filled])
+        owners.append(owner[filled])
+        # of two sets that may agree in empty parts only, the smallest hashes must have one in common
+        least = np.where(thin, sizes - -(-percent * sizes // 100) + 1, 0)
+        begin = np.cumsum(least) - least
+        of = np.repeat(np.arange(len(sizes)), least)
+        at = offsets[:-1][of] + np.arange(len(of)) - begin[of]
+        keys.append(octets.mix(scrambled[at] + octets.mix(group[of].astype(np.uint64) << np.uint64(40))))
+        owners.append(of)
     return np.concatenate(keys), np.concatenate(owners)
 
 
