@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from upswell.llm import exact_dedup, jaccard_join, language, mixing, packing, repetition, sharding, toxicity, url_filter
+from upswell.llm import exact_dedup, jaccard_join, language, mixing, packing, repeats, repetition, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": language.op1,
+    "op2_repeats": repeats.op2,
     "op3_packing": packing.op3,
     "op4_url_filter": url_filter.op4,
     "op5_mixing": mixing.op5,
