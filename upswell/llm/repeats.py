@@ -230,7 +230,14 @@ def intervals(common: np.ndarray, before: np.ndarray, least: int) -> Iterator[tu
     ``before``: the byte before each suffix, or a negative number where there is none, which differs from all.
     """
     MIXED = -2
+    # stretches in which all have one left neighbour hold no such interval
+    differs = np.ones(len(before), bool)
+    differs[1:] = before[1:] != before[:-1]
+    alone = np.concatenate([[0], np.cumsum(before < 0)])
+    changes = np.cumsum(differs)
     for a, b in _deep(common, least):
+        if alone[b + 1] == alone[a - 1] and changes[b] == changes[a - 1]:
+            continue
         stack: list[list[int]] = []  # depth, first, left neighbour of all so far
         for i in range(a, b + 2):
             depth = int(common[i]) if i <= b else 0
