@@ -39,7 +39,9 @@ from upswell.llm.common import rows_of, store, text_key
 from upswell.llm.components import components
 
 #: Shingles that one task holds at once in the second step, about.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
+#: Bytes of text that are described together.
+DESCRIBE_BYTES = 2_000_000
 PIVOTS = 8
 LEAF = 24
 #: Pivots that a cell of many blocks is first compared with.
@@ -177,7 +179,7 @@ def _describe(width: int, percent: int, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in octets.chunks(whole, "text"):
+            for batch in octets.chunks(whole, "text", DESCRIBE_BYTES):
                 data, offsets = octets.octets(batch.column("text"))
                 value, at = shingles(data, offsets, width)
                 prints = fingerprints(value, at)
