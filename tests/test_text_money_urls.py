@@ -144,3 +144,16 @@ def test_relevance(spark):
     df = spark.createDataFrame(rows, "title string, summary string, want boolean")
     got = df.select("title", "want", relevant(F.col("title"), F.col("summary")).alias("got")).collect()
     assert [(r.title, r.got) for r in got] == [(r.title, r.want) for r in got]
+
+
+def test_amounts_in_sentences(column):
+    """What follows the number (comma, full stop, bracket, line end) is not a currency."""
+    texts = ["raised $4,200,000, led by X", "raised $50, the", "$5 million.", "(€3.5m) and", "₹ 10 crore\nnext", "5,000,000 EUR, x", "none here", None]
+
+    def read(c):
+        parts = M.amount_parts(c)
+        return F.struct(M.amount_value(parts).alias("v"), M.amount_currency(parts).alias("c"))
+
+    assert [tuple(r) for r in column(read, texts)] == [
+        (4.2e6, "USD"), (50.0, "USD"), (5e6, "USD"), (3.5e6, "EUR"), (1e8, "INR"), (5e6, "EUR"), (None, None), (None, None),
+    ]
