@@ -30,7 +30,7 @@ PUBLISHED_SQL = """coalesce(
     FROM (SELECT *, row_number() OVER (PARTITION BY source_name ORDER BY item_ord) AS n FROM feed_raw) WHERE n <= 25""",
 )
 def scan_feed_items(t: Tables):
-    items = S.feed_items(t("feed_raw"))
+    items = S.feed_items(t("feed_raw"), C.FEED_ITEM_CAP)
     return items.select(
         "title", F.md5("summary").alias("summary_md5"), "link", "published", stamp("published_ts"), "source_name", "item_ord"
     )
@@ -66,7 +66,7 @@ def search_raw(t: Tables):
     FROM documents WHERE doc_id % 25 < 20 AND doc_id % 6 <> 0 AND split_part(text, chr(10), 1) <> ''""",
 )
 def scan_search_hits(t: Tables):
-    return S.search_hits(search_raw(t)).select("title", "summary", "link", stamp("published_ts"), "source_name")
+    return S.search_hits(search_raw(t), C.HITS_PER_QUERY).select("title", "summary", "link", stamp("published_ts"), "source_name")
 
 
 ARTICLES_SQL = """, firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY source_ord, item_ord) AS n FROM articles WHERE link <> '') WHERE n = 1)"""

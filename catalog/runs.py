@@ -79,7 +79,7 @@ def run_news_refresh(t: Tables):
     )
     # a refreshed link carries a later clock, so it can be told from a stored one
     later = F.lit("2001-02-01 00:00:01").cast("timestamp")
-    rows = run_news(t("articles"), stored, later, keep_days=14)
+    rows = run_news(t("articles"), stored, later, top_k=C.NEWS_TOP_K, keep_days=14)
     return rows.select("link", (F.col("fetched_at") == later).alias("is_new"))
 
 

@@ -101,7 +101,8 @@ def test_feed_files(spark, tmp_path):
         "\n".join('{"source_name":"A","source_ord":0,"item_ord":%d,"title":"t%d","description":"d","link":"u%d","published":"Wed, 02 Oct 2002 13:00:00 GMT"}' % (i, i, i) for i in range(30))
     )
     (tmp_path / "h.json").write_text('{"query":"q","query_ord":0,"hits":[{"title":"T","url":null,"objectID":"7","created_at":"2024-01-01T00:00:00Z"},{"title":"","url":"x"}]}')
-    items = S.scan_feed_items(spark, str(tmp_path / "f.json"))
+    assert S.scan_feed_items(spark, str(tmp_path / "f.json")).count() == 30
+    items = S.scan_feed_items(spark, str(tmp_path / "f.json"), 25)
     assert items.count() == 25 and items.filter("summary = 'd' and published_ts is not null").count() == 25
     hits = S.scan_search_hits(spark, str(tmp_path / "h.json")).collect()
     assert [(h.link, h.summary) for h in hits] == [("https://news.ycombinator.com/item?id=7", "T")]

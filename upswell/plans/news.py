@@ -11,12 +11,14 @@ from upswell.sources.feeds import dedupe_links, filter_relevant_news, latest_new
 
 
 def run_news_refresh(
-    articles: DataFrame, news: DataFrame, now: Column, top_k: int = C.NEWS_TOP_K, keep_days: int = C.NEWS_KEEP_DAYS
+    articles: DataFrame, news: DataFrame, now: Column, top_k: int | None = None, keep_days: int = C.NEWS_KEEP_DAYS
 ) -> DataFrame:
-    """Newest relevant headlines merged into the stored news by link; old ones dropped.
+    """Relevant headlines (the newest ``top_k``, or all) merged into the stored news by link; old ones dropped.
 
     ``news`` has ``link, title, source_name, published_ts, fetched_at``.
     """
-    top = latest_news(filter_relevant_news(dedupe_links(articles)), top_k)
+    top = filter_relevant_news(dedupe_links(articles))
+    if top_k is not None:
+        top = latest_news(top, top_k)
     batch = top.select("link", "title", "source_name", "published_ts", now.alias("fetched_at"))
     return prune_older_than(upsert_by_key(news, batch, ["link"]), "fetched_at", now, keep_days)

@@ -30,13 +30,15 @@ def normalize_published(df: DataFrame, col: str = "published") -> DataFrame:
     return df.withColumn("published_ts", published_time(F.col(col)))
 
 
-def cap_per_feed(items: DataFrame, cap: int = C.FEED_ITEM_CAP) -> DataFrame:
-    """The first ``cap`` entries of each feed, in feed order."""
+def cap_per_feed(items: DataFrame, cap: int | None = None) -> DataFrame:
+    """The first ``cap`` entries of each feed, in feed order; all without a cap."""
+    if cap is None:
+        return items
     w = Window.partitionBy("source_name").orderBy("item_ord")
     return items.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") <= cap).drop("_nth")
 
 
-def feed_items(raw: DataFrame, per_feed_cap: int = C.FEED_ITEM_CAP) -> DataFrame:
+def feed_items(raw: DataFrame, per_feed_cap: int | None = None) -> DataFrame:
     capped = cap_per_feed(raw, per_feed_cap)
     return normalize_published(
         capped.select(
@@ -49,12 +51,14 @@ def feed_items(raw: DataFrame, per_feed_cap: int = C.FEED_ITEM_CAP) -> DataFrame
     ).select(ARTICLE_COLUMNS)
 
 
-def scan_feed_items(spark: SparkSession, path: str, per_feed_cap: int = C.FEED_ITEM_CAP) -> DataFrame:
+def scan_feed_items(spark: SparkSession, path: str, per_feed_cap: int | None = None) -> DataFrame:
     return feed_items(spark.read.schema(schemas.FEED_ITEM).json(path), per_feed_cap)
 
 
-def search_hits(raw: DataFrame, hits_per_query: int = C.HITS_PER_QUERY, source_ord: int = 1000) -> DataFrame:
-    hit = raw.select("query_ord", F.posexplode("hits").alias("_pos", "_hit")).filter(F.col("_pos") < hits_per_query)
+def search_hits(raw: DataFrame, hits_per_query: int | None = None, source_ord: int = 1000) -> DataFrame:
+    hit = raw.select("query_ord", F.posexplode("hits").alias("_pos", "_hit"))
+    if hits_per_query is not None:
+        hit = hit.filter(F.col("_pos") < hits_per_query)
     link = F.coalesce(null_if_blank(F.col("_hit.url")), F.concat(F.lit(C.ITEM_URL_PREFIX), F.col("_hit.objectID")))
     return normalize_published(
         hit.filter(text_or_empty(F.col("_hit.title")) != "").select(
@@ -69,7 +73,7 @@ def search_hits(raw: DataFrame, hits_per_query: int = C.HITS_PER_QUERY, source_o
     ).select(ARTICLE_COLUMNS)
 
 
-def scan_search_hits(spark: SparkSession, path: str, hits_per_query: int = C.HITS_PER_QUERY) -> DataFrame:
+def scan_search_hits(spark: SparkSession, path: str, hits_per_query: int | None = None) -> DataFrame:
     return search_hits(spark.read.schema(schemas.SEARCH_RESPONSE).json(path), hits_per_query)
 
 
