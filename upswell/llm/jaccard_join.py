@@ -5,10 +5,13 @@ each other are all at distance 1 from any pivot: pivots alone would replicate th
 region. The join therefore has two steps, both exact.
 
 1. Cells. Sets within the threshold differ in at most ``d`` shingles, ``d`` known from their sizes. The
-   universe of shingles is hashed into more than ``d`` parts, so two such sets agree completely in at least one part. Sets that agree
-   in a part are joined to the first of them, and connected sets form a cell. No link leaves a cell. Sizes are
-   classed so that sets of one or of neighbouring classes meet. Parts that are empty do not count; a (small) set that has more
-   empty parts than were added for that also meets others by the few of its smallest hashes of which linked sets share one.
+   universe of shingles is hashed into more than ``d / 2`` parts, so two such sets differ in at most one shingle in at least one part.
+   Each part has three thirds: one difference leaves two thirds that agree completely. Sets that agree in two thirds of a part
+   with ``STRONG`` shingles or more are joined to the first of them. Fewer shingles may agree by a short common passage: there two sets are
+   joined only if the counts of their shingles by bucket do not differ by more than ``d`` altogether, as they cannot in linked sets.
+   Connected sets form a cell; no link leaves a cell. Sizes are
+   classed so that sets of one or of neighbouring classes meet. Thirds that are empty do not count; a (small) set that has more
+   parts with such thirds than were added for that also meets others by the pairs of its smallest hashes, of which linked sets share one.
 2. Regions. Within a cell, pivots are chosen and every document goes to the region of its nearest pivot, and
    also into each region whose pivot is at most two thresholds further away than its nearest one: of any linked pair, one region then
    holds both. Regions are joined recursively; distances to pivots link documents, and bound the distance of
@@ -44,6 +47,11 @@ BLOCK = 1_000_000
 DESCRIBE_BYTES = 2_000_000
 PIVOTS = 8
 LEAF = 24
+#: Shingles by which an agreement is taken without a look at the counts by bucket.
+STRONG = 6
+BUCKETS = 128
+#: Rows of agreements by few shingles in a task, about.
+WEAK_ROWS = 50_000
 #: Pivots that a cell of many blocks is first compared with.
 FIRST_PIVOTS = 64
 
@@ -82,8 +90,19 @@ def fingerprints(value: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def as_bytes(pairs: np.ndarray) -> list[bytes]:
-    data = np.ascontiguousarray(pairs).tobytes()
-    return [data[i : i + 16] for i in range(0, len(data), 16)]
+    data, width = np.ascontiguousarray(pairs).tobytes(), pairs.shape[1] * pairs.itemsize
+    return [data[i : i + width] for i in range(0, len(data), width)]
+
+
+def histograms(value: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of shingles of every set by bucket of their hashes, 255 at most: sums of differences bound how much sets differ."""
+    n = len(offsets) - 1
+    bucket = (octets.mix(value ^ np.uint64(0x2B7E151628AED2A6)) % np.uint64(BUCKETS)).astype(np.int64)
+    counts = np.bincount(np.repeat(np.arange(n), np.diff(offsets)) * BUCKETS + bucket, minlength=n * BUCKETS)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(n, BUCKETS)
+
+
+LINK = "a long, b long"
 
 
 # --- step 1: cells --------------------------------------------------------------------------
@@ -100,28 +119,45 @@ def size_classes(percent: int, upto: int) -> np.ndarray:
 
 @cache
 def parts_for(percent: int, low: int, high: int) -> tuple[int, int, int]:
-    """(difference allowed, parts, empty parts provided for) for sets of sizes from low to below high."""
+    """(difference allowed, parts, parts with empty thirds provided for) for sets of sizes from low to below high."""
     differ = 2 * (high - 1) * (100 - percent) // (100 + percent)
+    need = differ // 2 + 1
     best = (-1e9, 0)
     for spare in range(0, 2 * low + 2):
-        parts = differ + 1 + spare
-        empty = parts * exp(-low / parts) if parts > 1 else 0.0
+        parts = need + spare
+        empty = parts * min(1.0, 3 * exp(-2 * low / (3 * parts)))
         room = (spare - empty) / sqrt(empty + 1e-3)  # in standard deviations
         best = max(best, (room, spare), key=lambda x: x[0])
         if room >= 4:
             break
-    return differ, differ + 1 + best[1], best[1]
+    return differ, need + best[1], best[1]
+
+
+def smallest_pairs(scrambled: np.ndarray, offsets: np.ndarray, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key for every two of the smallest hashes of each of the rows: linked sets of three shingles or more share two of these."""
+    keys, owners = [], []
+    for row in rows.tolist():
+        own = np.sort(scrambled[offsets[row] : offsets[row + 1]])
+        own = own[: len(own) - -(-percent * len(own) // 100) + 2]
+        a, b = np.triu_indices(len(own), 1)
+        keys.append(octets.mix(own[a] ^ octets.mix(own[b] + np.uint64(1))))
+        owners.append(np.full(len(a), row))
+    return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
 def part_keys(value: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the parts of every set and the row of each: equal keys, equal parts (of sets that may be linked)."""
+    """Keys of every set and the row of each: equal keys, two equal thirds of a part (of sets that may be linked).
+
+    Odd keys stand for less than ``STRONG`` shingles.
+    """
     sizes = np.diff(offsets)
     if not len(value):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     bounds = size_classes(percent, int(sizes.max()) + 1)
     cls = np.searchsorted(bounds, sizes, side="right") - 1
-    scrambled = octets.mix(value ^ np.uint64(0x1F2E3D4C5B6A7988))  # values ascend within a set
-    high = value >> np.uint64(32)
+    scrambled = octets.mix(value ^ np.uint64(0x1F2E3D4C5B6A7988))
+    place = octets.mix(value ^ np.uint64(0x77A1C3E592B4D6F8))
+    high, third = place >> np.uint64(32), ((place & np.uint64(0xFFFFFFFF)) * np.uint64(3) >> np.uint64(32)).astype(np.int64)
     rows = np.repeat(np.arange(len(sizes)), sizes)
     keys, owners = [], []
     for step in (0, 1):  # as the larger of a pair, and as the smaller one of the next class
@@ -140,24 +176,26 @@ def part_keys(value: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.
         mine = use[rows]
         of = rows[mine]
         part = (high[mine] * parts[of].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        slot = first[of] + part
+        slot = 3 * (first[of] + part) + third[mine]
         total = int(parts.sum())
-        sums = np.zeros(total, np.uint64)
+        sums = np.zeros(3 * total, np.uint64)
         np.add.at(sums, slot, scrambled[mine])
-        filled = np.zeros(total, bool)
-        filled[slot] = True
+        sums = sums.reshape(total, 3)
+        filled = np.bincount(slot, minlength=3 * total).reshape(total, 3)
         owner = np.repeat(np.arange(len(sizes)), parts)
         number = np.arange(total) - first[owner]
-        thin = use & (np.bincount(owner[~filled], minlength=len(sizes)) > spare)
-        tag = octets.mix((group[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1))
-        keys.append(octets.mix(sums + tag)[filled])
-        owners.append(owner[filled])
-        # of two sets that may agree in empty parts only, the smallest hashes must have one in common
-        least = np.where(thin, sizes - -(-percent * sizes // 100) + 1, 0)
-        begin = np.cumsum(least) - least
-        of = np.repeat(np.arange(len(sizes)), least)
-        at = offsets[:-1][of] + np.arange(len(of)) - begin[of]
-        keys.append(octets.mix(scrambled[at] + octets.mix(group[of].astype(np.uint64) << np.uint64(40))))
+        bare = np.zeros(total, bool)
+        for left_out in range(3):
+            many = filled[:, (left_out + 1) % 3] + filled[:, (left_out + 2) % 3]
+            full = many > 0
+            bare |= ~full
+            tag = octets.mix((group[owner].astype(np.uint64) << np.uint64(40)) + (4 * number + left_out + 1).astype(np.uint64))
+            kept = sums[:, (left_out + 1) % 3] + sums[:, (left_out + 2) % 3]
+            keys.append((octets.mix(kept + tag) & ~np.uint64(1) | (many < STRONG).astype(np.uint64))[full])
+            owners.append(owner[full])
+        thin = np.flatnonzero(use & (np.bincount(owner[bare], minlength=len(sizes)) > spare))
+        key, of = smallest_pairs(scrambled, offsets, thin, percent)
+        keys.append(octets.mix(key + octets.mix(group[of].astype(np.uint64) << np.uint64(40))) | np.uint64(1))
         owners.append(of)
     return np.concatenate(keys), np.concatenate(owners)
 
@@ -175,7 +213,7 @@ def stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _describe(width: int, percent: int, parts: int):
-    """Rows of three kinds: 0 a document (doc_id, text_key, set), 1 keys of one part of the shuffle, 2 edges found in the batch."""
+    """Rows of three kinds: 0 a document (doc_id, text_key, set, counts by bucket), 1 keys of one part of the shuffle, 2 edges found in the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -192,8 +230,12 @@ def _describe(width: int, percent: int, parts: int):
                 keep = np.repeat(pick, sizes)
                 some = np.concatenate([[0], np.cumsum(sizes[once])]).astype(np.int64)
                 key, owner = part_keys(value[keep], some, percent)
-                key, owner, pairs = stars(key, node[once][owner])
-                part = (key % np.uint64(parts)).astype(np.int64)
+                owner = node[once][owner]
+                weak = key % np.uint64(2) == 1
+                few, of_few = key[weak], owner[weak]
+                key, owner, pairs = stars(key[~weak], owner[~weak])
+                key, owner = np.concatenate([key, few]), np.concatenate([owner, of_few])
+                part = ((key >> np.uint64(1)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part.astype(np.int32), kind="stable")
                 key, owner, part = key[order], owner[order], part[order]
                 n, used = batch.num_rows, np.flatnonzero(np.bincount(part, minlength=parts)) if len(part) else np.zeros(0, np.int64)
@@ -209,7 +251,7 @@ def _describe(width: int, percent: int, parts: int):
                         pa.concat_arrays([batch.column("text_key"), pa.nulls(m + e, pa.int64())]),
                         pa.array([*sizes.tolist(), *used.tolist(), *[0] * e], pa.int64()),
                         pa.array([*as_bytes(prints), *packed, *[pairs.tobytes()] * e], pa.binary()),
-                        pa.array([None] * n + owners + [None] * e, pa.binary()),
+                        pa.array([*as_bytes(histograms(value, at)), *owners, *[None] * e], pa.binary()),
                         pa.concat_arrays([pa.array(node, pa.int64()), pa.nulls(m + e, pa.int64())]),
                     ],
                     ["kind", "doc_id", "text_key", "number", "data", "owners", "node"],
@@ -226,13 +268,73 @@ def _edges_of(pairs: np.ndarray) -> pa.RecordBatch:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between sets that share a key; all rows of a key are in this task."""
+    """Edges between sets that share a strong key, and (set, key) where sets share a weak one; all rows of a key are in this task."""
     keys, nodes = [], []
     for batch in batches:
         keys += [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("data")]
         nodes += [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("owners")]
     if keys:
-        yield _edges_of(stars(np.concatenate(keys), np.concatenate(nodes))[2])
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        del keys, nodes
+        weak = key % np.uint64(2) == 1
+        pairs = stars(key[~weak], node[~weak])[2]
+        key, node = key[weak], node[weak]
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[new], node[new]
+        same = key[1:] == key[:-1]
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(key) else np.zeros(0, bool)
+        members = np.stack([node[shared], key[shared].view(np.int64)], axis=1)
+        for rows, kind in ((pairs, False), (members, True)):
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0], pa.int64()), pa.array(rows[:, 1], pa.int64()), pa.array([kind] * len(rows), pa.bool_())], ["a", "b", "weak"])
+
+
+def _weak_edges(percent: int):
+    """Edges between sets of one weak key whose counts by bucket differ as little as those of linked sets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("key")
+        key, node, root, n = (table.column(c).to_numpy() for c in ("key", "node", "root", "n"))
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+
+        def near(i, j) -> np.ndarray:
+            """Whether sets i and j may be linked."""
+            apart = np.abs(counts[i] - counts[j]).sum(axis=1, dtype=np.int64)
+            return (apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)) | (root[i] == root[j])
+
+        cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
+        two = cuts[:-1][np.diff(cuts) == 2]
+        two = two[near(two, two + 1)]
+        found = [np.stack([node[two], node[two + 1]], axis=1)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a < 3:
+                continue
+            rest, open_ = np.arange(a, b), []
+            while len(rest):
+                at = open_.pop() if open_ else None
+                if at is None:
+                    at, rest = rest[0], rest[1:]
+                hit = near(np.full(len(rest), at), rest)
+                found.append(np.stack([np.full(hit.sum(), node[at]), node[rest[hit]]], axis=1))
+                open_ += rest[hit].tolist()
+                rest = rest[~hit]
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return run
+
+
+def weak_links(members: DataFrame, strong: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges of weak agreements. ``members``: (node, key); ``strong``: components (node, root); ``sets``: node, n, counts."""
+    rooted = members.join(strong, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = store(rooted, "weak-members")
+    open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    rows = store(rooted.join(open_keys, "key", "left_semi"), "weak-open")
+    bins = max(1, ceil(rows.count() / WEAK_ROWS))
+    dealt = rows.join(sets, "node").select(F.pmod(F.xxhash64("key"), F.lit(bins)).alias("bin"), "key", "node", "root", "n", "counts")
+    return dealt.groupBy("bin").applyInArrow(_weak_edges(percent), LINK)
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,9 +482,6 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return store(rows.mapInArrow(_describe(width, percent, parts), DESCRIBED), "shingles")
 
 
-LINK = "a long, b long"
-
-
 def _join(rows: DataFrame, by: list[str], width: int, percent: int) -> DataFrame:
     return rows.groupBy(*by).applyInArrow(_join_cells(width, percent), LINK)
 
@@ -426,9 +525,13 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90, block: int = BLO
     rows = described(docs, width, percent)
     sets = rows.filter("kind = 0").select("doc_id", "text_key", F.col("number").alias("n"), "node")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = rows.filter("kind = 1").select("number", "data", "owners").repartition(parts, "number").drop("number").mapInArrow(_meet, LINK)
+    met = rows.filter("kind = 1").select("number", "data", "owners").repartition(parts, "number").drop("number").mapInArrow(_meet, f"{LINK}, weak boolean")
+    met = store(met, "met")
     local = rows.filter("kind = 2").select("data").mapInArrow(_unpack, LINK)
-    cells = store(components(met.unionByName(local)), "cells")
+    strong = store(met.filter("NOT weak").drop("weak").unionByName(local), "strong")
+    counted = rows.filter("kind = 0 AND number > 0").groupBy("node").agg(F.max("number").alias("n"), F.max("owners").alias("counts"))
+    members = met.filter("weak").select(F.col("a").alias("node"), F.col("b").alias("key"))
+    cells = store(components(strong.unionByName(weak_links(members, components(strong), counted, percent))), "cells")
 
     one = sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.max("n").alias("n"))
     members = one.join(cells, "node").select(F.col("root").alias("cell"), "node", "n", F.col("one.doc_id").alias("m_id"), F.col("one.text_key").alias("m_key"))
