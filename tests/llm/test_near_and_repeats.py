@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from upswell.llm import jaccard_join, repeats
@@ -125,6 +126,35 @@ def test_pairs_within_the_difference_share_a_key():
                 assert set(keys[owner == 0]) & set(keys[owner == 1]), (size, percent, len(b))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_weak_agreements_keep_linked_pairs_connected(percent):
+    """Groups of two, of many and of few sets under one key: linked pairs end up in one class, sets far apart do not."""
+    rng = np.random.default_rng(4)
+    sets, keys = [], []
+    for key, many in enumerate((2, 2, 12, 40)):
+        base = set(rng.integers(0, 2**63, 200).tolist())
+        for i in range(many):
+            own = list(base)[int(rng.integers(0, 30)) :] if i % 3 else rng.integers(0, 2**63, 200).tolist()
+            sets.append(sorted(set(own) | set(rng.integers(0, 2**63, 4).tolist())))
+            keys.append(key)
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    counts = jaccard_join.histograms(np.array([v for x in sets for v in x], np.uint64), offsets)
+    nodes = np.arange(len(sets))
+    rows = pa.table({"key": keys, "node": nodes, "root": nodes, "n": [len(x) for x in sets], "counts": jaccard_join.as_bytes(counts)})
+    found = jaccard_join._weak_edges(percent)(rows.take(pa.array(rng.permutation(len(sets)))))
+    group = list(nodes)
+    for a, b in zip(found["a"].to_pylist(), found["b"].to_pylist()):
+        group = [group[a] if g == group[b] else g for g in group]
+    for i in nodes:
+        for j in nodes[:i]:
+            common = len(set(sets[i]) & set(sets[j]))
+            if keys[i] == keys[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                assert group[i] == group[j]
+            if keys[i] != keys[j]:
+                assert group[i] != group[j]
+    assert len(set(group)) > 10
+
+
 # --- repeated passages ----------------------------------------------------------------------
 
 
