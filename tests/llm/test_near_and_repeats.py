@@ -96,6 +96,17 @@ def test_cells_of_many_blocks(spark):
     assert classes_of(spark, rows, 3, 90, block=150) == sorted(components(rows, 3, 90))
 
 
+@pytest.mark.parametrize("guests", [range(4, 10), range(4, 5)])
+def test_guests_are_compared_with_rows_that_are_no_pivots(guests):
+    """Hosts of the main class 0 to 3, a connected larger class 4 to 9 of guests; 4 is near to 3."""
+    sets = [[*range(20), 100 + i] for i in range(4)] + [[*range(20), 104]] + [[*range(50, 70), 200 + i] for i in range(5)]
+    value, offsets = np.array([v for x in sets for v in x], np.uint64), np.arange(11) * 21
+    cell = jaccard_join.Cell(value, offsets, 90)
+    cell.parent[:4], cell.parent[4:] = 0, 4
+    cell.scan(np.array(guests), np.arange(10))
+    assert cell.root(9) == cell.root(0)
+
+
 def test_repeated_rows_and_an_empty_table(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (3, None), (3, None)]
     assert classes_of(spark, rows, 3, 90) == [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 0, 3), (3, 0, 3)]

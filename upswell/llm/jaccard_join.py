@@ -418,12 +418,14 @@ class Cell:
     def scan(self, pivots: np.ndarray, rows: np.ndarray) -> None:
         """Compare pivots (a part of rows) with the rows that sizes and the triangle inequality leave.
 
-        Pivots that are connected with the class that is largest at the start are left out: of a link between two
-        classes, one end is outside of it and finds the other.
+        Where all rows are pivots, those that are connected with the class that is largest at the start are left out: of a
+        link between two classes, one end is outside of it and finds the other. Where some rows are no pivots, nothing is left
+        out: the other end may be among these.
         """
-        roots = self.roots(rows)
-        kinds, many = np.unique(roots, return_counts=True)
-        anchor = int(kinds[many.argmax()]) if many.max() > 1 else -1
+        anchor = -1
+        if len(pivots) == len(rows):
+            kinds, many = np.unique(self.roots(rows), return_counts=True)
+            anchor = int(kinds[many.argmax()]) if many.max() > 1 else -1
         marks = np.zeros((0, len(rows)))
         place = np.searchsorted(rows, pivots)
         for p, at in zip(pivots.tolist(), place.tolist()):
