@@ -148,6 +148,26 @@ def test_shards_are_equal_in_bytes(spark, rows):
     assert sharding.shard(sharding.measured(frame(spark, []))).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [1, sharding.ROUNDS])
+def test_shards_keep_all_rows_beside_a_giant(spark, monkeypatch, rounds):
+    """Many short rows with a giant inside; also where the rounds are used up before every range is small."""
+    monkeypatch.setattr(sharding, "ROUNDS", rounds)
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 1777, F.repeat(F.lit("x"), 4000)).otherwise(F.lit("short text")).alias("text"))
+    measured = sharding.measured(docs)
+    points, counts = sharding.splitters_for(measured, 128)
+    per = {r.range: (r.n, r.bytes) for r in counts.collect()}
+    assert sum(n for n, _ in per.values()) == 4000
+    giant = sum(p <= (1777, *[2**62] * 3) for p in points) - 1
+    assert per[giant] == (1, 4001)
+    if rounds > 1:
+        assert max(n for n, _ in per.values()) <= 2 * 4000 / 128
+    out = sharding.shard(measured).collect()
+    assert sorted(r.doc_id for r in out) == list(range(4000))
+    for k in range(16):
+        mine = [r for r in out if r.shard == k]
+        assert abs(sum(r["size"] for r in mine) - (3999 * 11 + 4001) / 16) <= 4001 and sorted(r.slot for r in mine) == list(range(len(mine)))
+
+
 # --- exact dedup ----------------------------------------------------------------------------
 
 

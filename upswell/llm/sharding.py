@@ -7,6 +7,8 @@ samples of their own. The ranges' totals give each range its exact offset, and r
 range are ordered by key, so a row's place on the line of all bytes is exact: a shard is an equal part of that line
 and its bytes differ from the mean by less than one document, whatever the sample was.
 
+A row of more bytes than a range should have is a range of its own from the start.
+
 Splitters are searched in two steps of about the square root of their number. No range is
 larger than about ``range_rows`` rows unless its rows share one key; rows with one doc_id are told apart by the
 hash and size, and identical rows by a salt, so a key that holds a third of all rows is cut too.
@@ -74,6 +76,12 @@ def _range_of(splitters: list, key: Column) -> Column:
     return F.when(block == 0, 0).otherwise((block - 1) * width + below(inside))
 
 
+def _counted(keyed: DataFrame, points: list) -> tuple[DataFrame, DataFrame]:
+    """Rows with their range, and the exact rows and bytes of every range of these points."""
+    ranged = keyed.withColumn("range", _range_of(points, F.col("key")))
+    return ranged, store(ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")), "shard-ranges")
+
+
 def splitters_for(rows: DataFrame, ranges: int) -> tuple[list, DataFrame]:
     """Sampled splitters, subdivided until no range is overfull, and the exact rows and bytes of every range.
 
@@ -85,23 +93,30 @@ def splitters_for(rows: DataFrame, ranges: int) -> tuple[list, DataFrame]:
         return [], rows.limit(0).select(F.lit(0).alias("range"), F.lit(0).alias("n"), F.lit(0).alias("bytes"))
     keyed = rows.withColumn("key", _key())
     first = _draw(keyed, SAMPLES_PER_RANGE * ranges / size)
-    points = sorted({tuple(r.key) for r in _quantiles(first, ranges, []).collect()})
+    points = {tuple(r.key) for r in _quantiles(first, ranges, []).collect()}
+    # fewer than ``ranges`` rows are that long; salts are distinct, so the key with the next salt ends such a row's range
+    for r in keyed.filter(F.col("size") > size / ranges).select("key").collect():
+        points |= {tuple(r.key), (*r.key[:-1], r.key[-1] + 1)}
+    points = sorted(points)
+    ranged, counts = _counted(keyed, points)
     for _ in range(ROUNDS):
-        ranged = keyed.withColumn("range", _range_of(points, F.col("key")))
-        counts = store(ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")), "shard-ranges")
         full = counts.filter(((F.col("n") > OVERFULL * n / ranges) | (F.col("bytes") > OVERFULL * size / ranges)) & (F.col("n") > 1))
-        found = {r.range: r.parts for r in full.select("range", F.ceil(F.greatest(F.col("n") * ranges / n, F.col("bytes") * ranges / size)).alias("parts")).collect()}
+        found = {r.range: r for r in full.withColumn("parts", F.ceil(F.greatest(F.col("n") * ranges / n, F.col("bytes") * ranges / size))).collect()}
         if not found:
             break
-        # samples of the overfull ranges alone: as many rows as bytes, since either may be what is too much
-        share = F.create_map(*[F.lit(x) for k, v in found.items() for x in (k, float(SAMPLES_PER_RANGE * v))])
-        inside = ranged.filter(F.col("range").isin(list(found))).join(counts.select("range", F.col("n").alias("range_n")), "range")
+        # samples of the overfull ranges alone: as many by rows as by bytes, since either may be what is too much
+        by_rows, by_bytes = (
+            F.element_at(F.create_map(*[F.lit(x) for k, r in found.items() for x in (k, SAMPLES_PER_RANGE * r.parts / r[of])]), F.col("range")) for of in ("n", "bytes")
+        )
+        inside = ranged.filter(F.col("range").isin(list(found)))
         u = (F.xxhash64("doc_id", "salt", F.lit(29)) % 1000003 + 1000003) % 1000003 / F.lit(1000003.0)
-        drawn = inside.filter(u < F.element_at(share, F.col("range")) / F.col("range_n")).withColumn("weight", F.lit(1.0))
-        more = {tuple(r.key) for r in _quantiles(drawn, max(found.values()), ["range"]).collect()}
+        chance = by_rows + by_bytes * F.col("size")
+        drawn = inside.filter(u < chance).withColumn("weight", F.greatest(F.lit(1.0), chance))
+        more = {tuple(r.key) for r in _quantiles(drawn, 2 * max(r.parts for r in found.values()), ["range"]).collect()}
         if not more - set(points):
             break
         points = sorted({*points, *more})
+        ranged, counts = _counted(keyed, points)
     return points, counts
 
 
