@@ -236,6 +236,28 @@ def test_kept_bytes(spark):
         assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed
 
 
+@pytest.mark.parametrize("hot", [0, 2000])
+def test_groups_hold_every_occurrence(spark, hot):
+    """Each window that repeats, also within copies of a document, has a group with all its places and nothing else."""
+    rows = [r for r in passage_rows(7, docs=20) if r[0] != 108]
+    rows += [(200 + i, rows[3][1] + rows[4][1]) for i in range(5)]
+    texts = {d: (t or "").encode() for d, t in rows}
+    places = {}
+    for d, data in texts.items():
+        for p in range(len(data) - 99):
+            places.setdefault(data[p : p + 100], set()).add((d, p))
+    found = {}
+    for r in repeats.Repeats(repeats.numbered(frame(spark, rows)), hot=hot).groups().collect():
+        found.setdefault((r.repeat, r.length), []).append((r.doc, r.start))
+    whole = set()
+    for (_, length), own in found.items():
+        assert len(own) == len(set(own)) > 1 and len({texts[d][p : p + length] for d, p in own}) == 1
+        whole |= {frozenset((d, p + k) for d, p in own) for k in range(length - 99)}
+    again = [x for x in places.values() if len(x) > 1]
+    lost = sum(frozenset(x) not in whole for x in again)
+    assert again and lost == 0, f"{lost} of {len(again)} windows"
+
+
 def test_suffix_array_and_intervals():
     rnd = random.Random(2)
     texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(1, 60))) for _ in range(12)]

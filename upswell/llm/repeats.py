@@ -15,6 +15,8 @@ A suffix array of the whole corpus fits nowhere, and most of a corpus repeats no
 An anchor with more than ``HOT`` different contexts (a common phrase in ever new surroundings) is not gathered:
 hashes of its windows are grouped in Spark, where the earliest of each is a combined minimum.
 
+``spans`` needs only the earliest of equal contexts; ``groups`` adds the copies of each to the groups it is in.
+
 Order: doc_id (null first), then the row's place in the table, then the start. Equal hashes of 64 bits count as equal bytes in step 1.
 
 Cases: a null or empty text has no bytes and nothing removed; a text shorter than ``width`` is left alone; a very long
@@ -47,8 +49,9 @@ _PLACE = np.uint64((1 << 34) - 1)
 FIRST = -(2**63)
 
 ANCHORS = "kind int, number long, data binary"
-#: what anchors that met say: a span to remove (many 0), or a context (first window, number of windows) of an anchor with ``many`` different ones
-SPANS = "uid long, doc long, anchor long, start long, stop long, many long"
+#: what anchors that met say: a span to remove (many 0), the context of which such spans are copies (many -1; an earliest of some batch,
+#: perhaps also a span), or a context (first window, number of windows) of an anchor with ``many`` different ones
+SPANS = "uid long, doc long, anchor long, ctx long, start long, stop long, many long"
 COLUMNS = np.dtype([("h", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("uid", "<i8"), ("start", "<i8"), ("n", "<i2")])
 
 
@@ -103,8 +106,13 @@ def earliest(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return t, lead
 
 
+def copied(lead: np.ndarray) -> np.ndarray:
+    """Whether a row of ``earliest`` is the first of its context and others follow."""
+    return lead & ~np.append(lead[1:], True)
+
+
 def _anchors(width: int, parts: int):
-    """Rows of kind 1: contexts of one part of the shuffle; of kind 0: contexts repeated within the batch."""
+    """Rows of kind 1: contexts of one part of the shuffle; of kind 0: contexts repeated within the batch; of kind 2: the first of each of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -114,14 +122,14 @@ def _anchors(width: int, parts: int):
                 t["h"], t["ctx"], t["start"], t["n"] = h, ctx, start, n
                 t["doc"], t["uid"] = np.asarray(batch.column("doc"))[row], np.asarray(batch.column("uid"))[row]
                 t, lead = earliest(t)
-                again, t = t[~lead], t[lead]
+                again, source, t = t[~lead], t[copied(lead)], t[lead]
                 part = (t["h"] % np.uint64(parts)).astype(np.int64)
                 order = np.lexsort((t["start"], t["uid"], t["doc"], part))
                 t, part = t[order], part[order]
                 used = np.unique(part)
                 cut = np.searchsorted(part, [*used, parts])
-                data = [_packed(t[a:b]) for a, b in zip(cut, cut[1:])] + [_packed(again)] * (len(again) > 0)
-                kind = [1] * len(used) + [0] * (len(data) - len(used))
+                data = [_packed(t[a:b]) for a, b in zip(cut, cut[1:])] + [_packed(again), _packed(source)] * (len(again) > 0)
+                kind = [1] * len(used) + [0, 2] * (len(again) > 0)
                 yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array([*used.tolist(), *[0] * (len(data) - len(used))], pa.int64()), pa.array(data, pa.binary())], ["kind", "number", "data"])
 
     return run
@@ -143,16 +151,16 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _span_batch(t: np.ndarray, width: int, many: np.ndarray) -> pa.RecordBatch:
     stop = np.where(many > 0, t["n"], t["start"] + t["n"] + width - 1)
-    columns = [t["uid"], t["doc"], t["h"].view(np.int64), t["start"], stop, many]
+    columns = [t["uid"], t["doc"], t["h"].view(np.int64), t["ctx"].view(np.int64), t["start"], stop, many]
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns], SPANS.replace(" long", "").split(", "))
 
 
 def _again(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x in batch.column("data"):
+            for kind, x in zip(batch.column("kind").to_pylist(), batch.column("data")):
                 t = _unpacked(x.as_py())
-                yield _span_batch(t, width, np.zeros(len(t), np.int64))
+                yield _span_batch(t, width, np.full(len(t), 0 if kind == 0 else -1))
 
     return run
 
@@ -160,12 +168,13 @@ def _again(width: int):
 def _meet(width: int):
     def run(table: pa.Table) -> pa.Table:
         t, lead = earliest(np.concatenate([_unpacked(x.as_py()) for x in table.column("data")]))
-        again, t = t[~lead], t[lead]
+        again, source, t = t[~lead], t[copied(lead)], t[lead]
         new = np.ones(len(t), bool)
         new[1:] = t["h"][1:] != t["h"][:-1]
         per = np.diff(np.append(np.flatnonzero(new), len(t)))
         many = np.repeat(per, per)
-        return pa.Table.from_batches([_span_batch(again, width, np.zeros(len(again), np.int64)), _span_batch(t[many > 1], width, many[many > 1])])
+        known = [_span_batch(x, width, np.full(len(x), k)) for x, k in ((again, 0), (source, -1))]
+        return pa.Table.from_batches([*known, _span_batch(t[many > 1], width, many[many > 1])])
 
     return run
 
@@ -262,11 +271,13 @@ def _deep(common: np.ndarray, least: int) -> list[tuple[int, int]]:
 
 
 GROUPS = "repeat string, length long, uid long, doc long, start long"
+#: Groups of contexts without their copies: where in which context an occurrence is.
+OWN_GROUPS = GROUPS + ", anchor long, ctx long, shift long"
 
 
 def repeat_groups(table: pa.Table, width: int) -> pa.Table:
-    """Maximal repeats within the contexts of a table (uid, doc, start, n, data), each with all its occurrences; the earliest comes first."""
-    uid, doc, start, n = (table.column(c).to_numpy() for c in ("uid", "doc", "start", "n"))
+    """Maximal repeats within the contexts of a table (uid, doc, anchor, ctx, start, n, data), each with all its occurrences there; the earliest comes first."""
+    uid, doc, anchor, ctx, start, n = (table.column(c).to_numpy() for c in ("uid", "doc", "anchor", "ctx", "start", "n"))
     data, offsets = octets.octets(table.column("data"))
     of = np.repeat(np.arange(len(n)), n)
     place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
@@ -286,12 +297,12 @@ def repeat_groups(table: pa.Table, width: int) -> pa.Table:
     at = np.concatenate(at) if at else np.zeros(0, np.int64)
     name = uuid.uuid4().hex
     names = pa.array([f"{name}-{i}" for i in range(len(sizes))], pa.string()).take(pa.array(np.repeat(np.arange(len(sizes)), sizes).astype(np.int64)))
-    out = [np.repeat(np.array(lengths, np.int64), sizes) if sizes else at, uid[row][at], doc[row][at], begin[at]]
-    return pa.table([names, *[pa.array(x, pa.int64()) for x in out]], names=["repeat", "length", "uid", "doc", "start"])
+    out = [np.repeat(np.array(lengths, np.int64), sizes) if sizes else at, uid[row][at], doc[row][at], begin[at], anchor[row][at], ctx[row][at], (begin - start[row])[at]]
+    return pa.table([names, *[pa.array(x, pa.int64()) for x in out]], names=OWN_GROUPS.replace(" long", "").replace(" string", "").split(", "))
 
 
 def _cut_out(width: int):
-    """Contexts (uid, doc, anchor, many, start, n) with their bytes."""
+    """Contexts (uid, doc, anchor, ctx, many, start, n) with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -299,18 +310,21 @@ def _cut_out(width: int):
                 data, offsets = octets.octets(batch.column("text"))
                 asked = batch.column("asked")
                 row, flat = np.asarray(pa.compute.list_parent_indices(asked), np.int64), pa.compute.list_flatten(asked)
-                anchor, start, n, many = (np.asarray(flat.field(c)) for c in ("anchor", "start", "stop", "many"))
+                anchor, ctx, start, n, many = (np.asarray(flat.field(c)) for c in ("anchor", "ctx", "start", "stop", "many"))
                 text = data.tobytes()
                 pieces = [text[a : a + k] for a, k in zip((offsets[:-1][row] + start).tolist(), (n + width - 1).tolist())]
                 rows = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("uid").take(rows), batch.column("doc").take(rows), *[pa.array(x, pa.int64()) for x in (anchor, start, n, many)], pa.array(pieces, pa.binary())],
-                    ["uid", "doc", "anchor", "start", "n", "many", "data"],
+                    [batch.column("uid").take(rows), batch.column("doc").take(rows), *[pa.array(x, pa.int64()) for x in (anchor, ctx, start, n, many)], pa.array(pieces, pa.binary())],
+                    ["uid", "doc", "anchor", "ctx", "start", "n", "many", "data"],
                 )
 
     return run
 
 
+WINDOWS = "uid long, doc long, anchor long, ctx long, start long, h long, shift long"
+
+
 def _windows(width: int):
     """Hash of every window of a context."""
 
@@ -325,8 +339,8 @@ def _windows(width: int):
                 h = octets.Stretches(data.astype(np.uint64))(p, p + width)
                 rows = pa.array(of)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("uid").take(rows), batch.column("doc").take(rows), pa.array(np.asarray(batch.column("start"))[of] + place, pa.int64()), pa.array(h.view(np.int64), pa.int64())],
-                    ["uid", "doc", "start", "h"],
+                    [*[batch.column(c).take(rows) for c in ("uid", "doc", "anchor", "ctx")], *[pa.array(x, pa.int64()) for x in (np.asarray(batch.column("start"))[of] + place, h.view(np.int64), place)]],
+                    WINDOWS.replace(" long", "").split(", "),
                 )
 
     return run
@@ -356,26 +370,47 @@ class Repeats:
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // MEET_BYTES))
         found = store(texts.select("uid", "doc", "text").mapInArrow(_anchors(width, parts), ANCHORS), "anchors")
         met = found.filter("kind = 1").select("number", "data").groupBy("number").applyInArrow(_meet(width), SPANS)
-        self.met = store(met.unionByName(found.filter("kind = 0").select("data").mapInArrow(_again(width), SPANS)), "met")
-        asked = self.met.filter("many > 0").groupBy("uid").agg(F.collect_list(F.struct("anchor", "start", "stop", "many")).alias("asked"))
-        cut = texts.select("uid", "doc", "text").join(asked, "uid").mapInArrow(_cut_out(width), "uid long, doc long, anchor long, start long, n long, many long, data binary")
+        self.met = store(met.unionByName(found.filter("kind <> 1").select("kind", "data").mapInArrow(_again(width), SPANS)), "met")
+        asked = self.met.filter("many > 0").groupBy("uid").agg(F.collect_list(F.struct("anchor", "ctx", "start", "stop", "many")).alias("asked"))
+        cut = texts.select("uid", "doc", "text").join(asked, "uid").mapInArrow(_cut_out(width), "uid long, doc long, anchor long, ctx long, start long, n long, many long, data binary")
         self.open = store(cut, "contexts")
 
     def groups(self) -> DataFrame:
-        """Maximal repeats within contexts: repeat (a name), length, and uid, doc and start of every occurrence, for anchors that are not hot."""
+        """Maximal repeats within contexts: repeat (a name), length, and uid, doc and start of every occurrence.
+
+        Every window that occurs more than once has a group that holds all its occurrences at one distance from its own. Equal
+        contexts are groups as a whole; contexts of hot anchors give groups of single windows instead of maximal repeats.
+        """
+        named = ["repeat", "length", "uid", "doc", "start"]
+        copies = store(self.met.filter("many <= 0").select("anchor", "ctx", "uid", "doc", "start", "stop").distinct(), "copies")
+        windows = self._hot_windows()
+        again = windows.groupBy("h").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h")
+        hot = windows.join(again, "h").select(F.concat(F.lit("w"), F.hex("h")).alias("repeat"), F.lit(self.width).cast("long").alias("length"), "uid", "doc", "start", "anchor", "ctx", "shift")
+        # an occurrence in a context that has copies is one in each of them; the copies of a context include itself
+        at = copies.select("anchor", "ctx", F.col("uid").alias("c_uid"), F.col("doc").alias("c_doc"), F.col("start").alias("c_start"))
+        own = self._own_groups().unionByName(hot).join(at, ["anchor", "ctx"], "left")
+        own = own.select("repeat", "length", F.coalesce("c_uid", "uid").alias("uid"), F.coalesce("c_doc", "doc").alias("doc"), F.coalesce(F.col("c_start") + F.col("shift"), "start").alias("start"))
+        whole = copies.select(F.concat(F.lit("c"), F.hex("anchor"), F.lit("-"), F.hex("ctx")).alias("repeat"), (F.col("stop") - F.col("start")).alias("length"), "uid", "doc", "start")
+        return own.unionByName(whole).select(named)
+
+    def _own_groups(self) -> DataFrame:
+        """Maximal repeats of the earliest of equal contexts, for anchors that are not hot."""
         cold = self.open.filter(F.col("many") <= self.hot)
         bins = max(1, (cold.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // SORT_BYTES)
-        rows = cold.select(F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin"), "uid", "doc", "start", "n", "data")
+        rows = cold.select(F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin"), "uid", "doc", "anchor", "ctx", "start", "n", "data")
         width = self.width
-        return rows.groupBy("bin").applyInArrow(lambda t: repeat_groups(t, width), GROUPS)
+        return rows.groupBy("bin").applyInArrow(lambda t: repeat_groups(t, width), OWN_GROUPS)
+
+    def _hot_windows(self) -> DataFrame:
+        return store(self.open.filter(F.col("many") > self.hot).mapInArrow(_windows(self.width), WINDOWS), "hot-windows")
 
     def spans(self) -> DataFrame:
         """uid, start and stop of every repeat that starts earlier elsewhere; spans may overlap."""
         order = F.struct("doc", "uid", "start")
-        groups = store(self.groups(), "repeats")
+        groups = store(self._own_groups().select("repeat", "length", "uid", "doc", "start"), "repeats")
         first = groups.groupBy("repeat").agg(F.min(order).alias("first"))
         later = groups.join(first, "repeat").filter(order > F.col("first")).select("uid", "start", (F.col("start") + F.col("length")).alias("stop"))
-        windows = store(self.open.filter(F.col("many") > self.hot).mapInArrow(_windows(self.width), "uid long, doc long, start long, h long"), "hot-windows")
+        windows = self._hot_windows()
         first = windows.groupBy("h").agg(F.min(order).alias("first"))
         hot = windows.join(first, "h").filter(order > F.col("first")).select("uid", "start", (F.col("start") + self.width).alias("stop"))
         return self.met.filter("many = 0").select("uid", "start", "stop").unionByName(later).unionByName(hot)
