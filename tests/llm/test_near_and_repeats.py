@@ -166,6 +166,32 @@ def test_weak_agreements_keep_linked_pairs_connected(percent):
     assert len(set(group)) > 10
 
 
+def test_a_weak_key_of_many_sets_is_dealt_out(spark, monkeypatch):
+    """No task sees more than two blocks of a key's sets, and linked pairs are connected as in one task."""
+    rng = np.random.default_rng(9)
+    bases = [rng.integers(0, 2**63, 100).tolist() for _ in range(200)]
+    sets = [sorted(set(b[:98] + rng.integers(0, 2**63, 2).tolist())) for b in bases for _ in range(2)]
+    counts = jaccard_join.as_bytes(jaccard_join.histograms(np.array([v for x in sets for v in x], np.uint64), np.arange(401) * 100))
+    members = spark.createDataFrame([(i, 7) for i in range(400)], "node long, key long")
+    described = spark.createDataFrame([(i, 100, bytearray(c)) for i, c in enumerate(counts)], "node long, n long, counts binary")
+    strong = spark.createDataFrame([], "node long, root long")
+    edges = jaccard_join._weak_edges
+
+    def watched(percent):
+        run = edges(percent)
+
+        def watch(table):
+            assert table.num_rows <= 150, f"{table.num_rows} sets of one key in a task"
+            return run(table)
+
+        return watch
+
+    monkeypatch.setattr(jaccard_join, "WEAK_BLOCK", 50, raising=False)
+    monkeypatch.setattr(jaccard_join, "_weak_edges", watched)
+    pairs = {(min(r.a, r.b), max(r.a, r.b)) for r in jaccard_join.weak_links(members, strong, described, 90).collect() if r.a != r.b}
+    assert pairs == {(2 * i, 2 * i + 1) for i in range(200)}
+
+
 # --- repeated passages ----------------------------------------------------------------------
 
 

@@ -52,6 +52,8 @@ STRONG = 6
 BUCKETS = 128
 #: Rows of agreements by few shingles in a task, about.
 WEAK_ROWS = 50_000
+#: Sets of one weak key that one task compares with each other; more are dealt out in blocks of so many, every two of which meet in a task.
+WEAK_BLOCK = 4000
 #: Pivots that a cell of many blocks is first compared with.
 FIRST_PIVOTS = 64
 
@@ -292,11 +294,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _weak_edges(percent: int):
-    """Edges between sets of one weak key whose counts by bucket differ as little as those of linked sets."""
+    """Edges between sets of one weak key whose counts by bucket differ as little as those of linked sets.
+
+    With a column ``side`` only sets of unlike sides are compared: two blocks of one key.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("key")
         key, node, root, n = (table.column(c).to_numpy() for c in ("key", "node", "root", "n"))
+        side = table.column("side").to_numpy() if "side" in table.column_names else None
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
 
         def near(i, j) -> np.ndarray:
@@ -306,6 +312,7 @@ def _weak_edges(percent: int):
 
         cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
         two = cuts[:-1][np.diff(cuts) == 2]
+        two = two if side is None else two[side[two] != side[two + 1]]
         two = two[near(two, two + 1)]
         found = [np.stack([node[two], node[two + 1]], axis=1)]
         for a, b in zip(cuts, cuts[1:]):
@@ -316,7 +323,9 @@ def _weak_edges(percent: int):
                 at = open_.pop() if open_ else None
                 if at is None:
                     at, rest = rest[0], rest[1:]
-                hit = near(np.full(len(rest), at), rest)
+                others = np.arange(len(rest)) if side is None else np.flatnonzero(side[rest] != side[at])
+                hit = np.zeros(len(rest), bool)
+                hit[others] = near(np.full(len(others), at), rest[others])
                 found.append(np.stack([np.full(hit.sum(), node[at]), node[rest[hit]]], axis=1))
                 open_ += rest[hit].tolist()
                 rest = rest[~hit]
@@ -332,9 +341,23 @@ def weak_links(members: DataFrame, strong: DataFrame, sets: DataFrame, percent:
     rooted = store(rooted, "weak-members")
     open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
     rows = store(rooted.join(open_keys, "key", "left_semi"), "weak-open")
-    bins = max(1, ceil(rows.count() / WEAK_ROWS))
-    dealt = rows.join(sets, "node").select(F.pmod(F.xxhash64("key"), F.lit(bins)).alias("bin"), "key", "node", "root", "n", "counts")
-    return dealt.groupBy("bin").applyInArrow(_weak_edges(percent), LINK)
+    blocks = F.ceil(F.col("many") / WEAK_BLOCK).cast("int").alias("blocks")
+    large = store(rows.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > WEAK_BLOCK).select("key", blocks), "weak-large")
+    small = rows.join(large, "key", "left_anti")
+    bins = max(1, ceil(small.count() / WEAK_ROWS))
+    dealt = small.join(sets, "node").select(F.pmod(F.xxhash64("key"), F.lit(bins)).alias("bin"), "key", "node", "root", "n", "counts")
+    links = dealt.groupBy("bin").applyInArrow(_weak_edges(percent), LINK)
+    if large.isEmpty():
+        return links
+    # every block of a large key is compared in itself and with each of the others
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    own = store(rows.join(large, "key").select("key", "node", "root", "blocks", block).join(sets, "node"), "weak-blocks")
+    fields = ["key", "node", "root", "n", "counts"]
+    within = own.select(*fields, "block").groupBy("key", "block").applyInArrow(_weak_edges(percent), LINK)
+    pairs = own.select(*fields, "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).filter("other <> block")
+    pairs = pairs.select(*fields, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+    across = pairs.groupBy("key", "low", "high").applyInArrow(_weak_edges(percent), LINK)
+    return links.unionByName(within).unionByName(across)
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
