@@ -134,6 +134,51 @@ def test_event_stream_is_the_same_for_any_batching(spark, tmp_path, files):
     assert got == want
 
 
+def _stream(spark, src, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+
+def test_event_stream_in_a_bad_order_and_with_a_new_checkpoint(spark, tmp_path):
+    src, root, rows = str(tmp_path / "src"), str(tmp_path / "out"), _event_rows()
+    for part in (rows[40:], rows[:20], rows[20:40]):
+        spark.createDataFrame(part, EVENTS).coalesce(1).write.mode("append").parquet(src)
+    run = lambda state: stream_event_upserts(_stream(spark, src, EVENTS), root, str(tmp_path / state)).trigger(availableNow=True).start().awaitTermination()
+    got = lambda: {(r.company_id, r.source_url): r.ingest_ord for r in B.read_current(spark, root).collect()}
+    want = {}
+    for c, u, _, o, _ in rows:
+        want[c, u] = max(o, want.get((c, u), -1))
+    run("state")
+    assert got() == want
+    spark.createDataFrame([("new", "u", "acquisition", 100, "n")], EVENTS).write.mode("append").parquet(src)
+    run("another state")
+    assert got() == want | {("new", "u"): 100}
+
+
+def test_a_batch_that_is_sent_again_changes_nothing(spark, tmp_path):
+    root, merge = str(tmp_path / "t"), upsert_batch(str(tmp_path / "t"))
+    batch = spark.createDataFrame(_event_rows(), EVENTS)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "one")
+    try:
+        merge(batch, 0)
+        merge(batch, 0)
+        assert B.current_version(spark, root) == 0
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", "two")
+        merge(batch, 0)
+        assert B.current_version(spark, root) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+
+
+def test_news_stream_in_a_bad_order(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "rows")
+    for day in (0, 40, 80, 5):
+        df = spark.createDataFrame([("Title", "text", f"u{day}"), ("Title", "text", "again")], "title string, summary string, link string")
+        df = df.withColumn("fetched_at", F.timestamp_seconds(F.lit(1767225600 + day * 86400)))
+        df.coalesce(1).write.mode("append").parquet(src)
+    stream_news(_stream(spark, src, df.schema)).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.link for r in spark.read.parquet(out).collect()) == ["again", "u0", "u40", "u5", "u80"]
+
+
 def test_news_stream_and_refresh(spark, tmp_path):
     rows = [(f"Title {i}", "text", f"u{i % 4}", f"2026-01-0{1 + i % 3}") for i in range(12)] + [("Webinar", "x", "u9", "2026-01-01")]
     df = spark.createDataFrame(rows, "title string, summary string, link string, t string").withColumn("fetched_at", F.col("t").cast("timestamp"))

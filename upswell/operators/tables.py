@@ -37,6 +37,9 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], orde
     return joined.select(out)
 
 
+VERSION_LOG = "version long, stream string, batch long"
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     try:
         log = spark.read.schema("version long").parquet(f"{root}/log")
@@ -50,13 +53,25 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return None if version is None else spark.read.parquet(f"{root}/version={version}")
 
 
-def write_version(df: DataFrame, root: str, version: int, current: bool = True) -> None:
-    """Write one version folder; ``current=False`` stores it without publishing it."""
+def batch_done(spark: SparkSession, root: str, stream: str, batch: int) -> bool:
+    """Whether a version holds this micro-batch of this streaming query."""
+    if current_version(spark, root) is None:
+        return False
+    log = spark.read.schema(VERSION_LOG).parquet(f"{root}/log")
+    return not log.filter((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
+
+
+def write_version(df: DataFrame, root: str, version: int, current: bool = True, stream: str | None = None, batch: int | None = None) -> None:
+    """Write one version folder; ``current=False`` stores it without publishing it.
+
+    The log keeps which micro-batch of which streaming query made the version.
+    """
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
     known = current_version(spark, root)
     if current and (known is None or known < version):
-        spark.range(version, version + 1).select(F.col("id").alias("version")).coalesce(1).write.mode("append").parquet(
+        row = [F.col("id").alias("version"), F.lit(stream).cast("string").alias("stream"), F.lit(batch).cast("long").alias("batch")]
+        spark.range(version, version + 1).select(row).coalesce(1).write.mode("append").parquet(
             f"{root}/log"
         )
 

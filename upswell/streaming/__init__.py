@@ -6,38 +6,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from upswell import config as C
-from upswell.operators.tables import current_version, read_current, upsert_by_key, write_version
+from upswell.operators.common import keep_first
+from upswell.operators.tables import batch_done, current_version, read_current, upsert_by_key, write_version
 from upswell.sources.feeds import filter_relevant_news
 
+#: Spark's local property that names the streaming query a job belongs to; it outlives restarts from one checkpoint folder.
+QUERY_ID = "sql.streaming.queryId"
 EVENT_KEY = ["company_id", "source_url", "event_type"]
 
 
-def stream_news(source: DataFrame, keep_days: int = C.NEWS_KEEP_DAYS) -> DataFrame:
-    """Relevant headlines, one per link within the retention time.
+def stream_news(source: DataFrame, keep_days: int | None = None) -> DataFrame:
+    """Relevant headlines, one per link, in whatever order they come.
 
-    State is one key per link, dropped once the watermark has passed it.
+    State is one key per link, for ever. With ``keep_days`` a key is dropped once the watermark has passed it, and a
+    headline that comes more than so many days behind the latest one is dropped too.
     """
     linked = filter_relevant_news(source).filter(F.coalesce("link", F.lit("")) != "")
+    if keep_days is None:
+        return linked.dropDuplicates(["link"])
     return linked.withWatermark("fetched_at", f"{int(keep_days)} days").dropDuplicatesWithinWatermark(["link"])
 
 
 def upsert_batch(root: str, keys: list[str] | None = None):
     """``foreachBatch`` function merging a micro-batch into the versioned table at ``root``.
 
-    The batch number is the version number, so a batch that is sent again after a
-    failure finds its version done and changes nothing.
+    The log of versions names the streaming query and its batch, so a batch that is sent again after a
+    failure changes nothing, while a query with a new checkpoint folder, which counts from 0 again, goes on.
+    Outside a streaming query the batch number is the version number. A stored row with a larger
+    ``ingest_ord`` than the batch's stays, so the table does not depend on how rows are cut into batches.
     """
     key = keys or EVENT_KEY
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = current_version(spark, root)
-        if version is not None and version >= batch_id:
+        version, stream = current_version(spark, root), spark.sparkContext.getLocalProperty(QUERY_ID)
+        if batch_done(spark, root, stream, batch_id) if stream else version is not None and version >= batch_id:
             return
         target = read_current(spark, root)
-        stored = batch.limit(0) if target is None else target
-        write_version(upsert_by_key(stored, batch, key, [F.col("ingest_ord").desc()]), root, batch_id)
+        if target is None:
+            stored, new = batch.limit(0), batch
+        else:
+            known = target.select(*key, F.col("ingest_ord").alias("_known"))
+            first = keep_first(batch, key, [F.col("ingest_ord").desc()])
+            stored, new = target, first.join(known, key, "left").filter("_known IS NULL OR ingest_ord >= _known").drop("_known")
+        following = 0 if version is None else version + 1
+        write_version(upsert_by_key(stored, new, key, [F.col("ingest_ord").desc()]), root, following if stream else batch_id, stream=stream, batch=batch_id)
 
     return merge
 
