@@ -31,6 +31,19 @@ def upsert_by_key(t: Tables):
     return B.upsert_by_key(target, once.unionByName(stale), ["company_id"], [F.col("seq").desc()]).drop("seq")
 
 
+@query(
+    "upsert_by_key_all", "SNK-1", "companies",
+    """SELECT company_id, CASE WHEN key % 5 = 0 OR key % 3 = 0 THEN 'changed' ELSE description END AS description, CASE WHEN key % 5 <> 0 THEN industry END AS industry
+    FROM companies""",
+)
+def upsert_by_key_all(t: Tables):
+    """All companies: multiples of 5 are new, other multiples of 3 are merged, the rest stay."""
+    target = t("companies").filter("key % 5 <> 0").select("company_id", "description", "industry")
+    once = t("companies").filter("key % 5 = 0 OR key % 3 = 0").select("company_id", F.lit("changed").alias("description"), F.lit(2).alias("seq"))
+    stale = once.select("company_id", F.lit("older").alias("description"), F.lit(1).alias("seq"))
+    return B.upsert_by_key(target, once.unionByName(stale), ["company_id"], [F.col("seq").desc()]).drop("seq")
+
+
 @query(
     "upsert_events", "SNK-1 SNK-2", "company_events",
     """SELECT company_id, source_url, event_type, arg_max(ingest_ord, (published_at >= TIMESTAMP '1998-01-01', ingest_ord)) AS ingest_ord FROM company_events GROUP BY 1, 2, 3""",

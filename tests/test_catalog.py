@@ -44,5 +44,11 @@ def test_query(spark, duck, name):
     assert got == _rows(columns, cur.fetchall())
 
 
+def test_an_upsert_query_covers_all_companies(spark):
+    companies = entry.Tables(spark, SF)("companies").select("company_id").distinct().count()
+    upserts = [n for n in QUERIES if n.startswith("upsert_by_key")]
+    assert companies in [entry.queries()[n](spark, SF).select("company_id").distinct().count() for n in upserts]
+
+
 def test_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1
