@@ -36,6 +36,19 @@ def scan_feed_items(t: Tables):
     )
 
 
+@query(
+    "scan_feed_items_all", "SRC-1 SRC-3", "feed_raw",
+    f"""SELECT coalesce(title, '') AS title, md5(coalesce(summary, description, '')) AS summary_md5, coalesce(link, '') AS link,
+      coalesce(published, '') AS published, strftime({PUBLISHED_SQL}, '%Y-%m-%d %H:%M:%S') AS published_ts, source_name, item_ord
+    FROM feed_raw""",
+)
+def scan_feed_items_all(t: Tables):
+    items = S.feed_items(t("feed_raw"))
+    return items.select(
+        "title", F.md5("summary").alias("summary_md5"), "link", "published", stamp("published_ts"), "source_name", "item_ord"
+    )
+
+
 @query(
     "normalize_published", "SRC-3", "feed_raw",
     f"""SELECT item_ord, coalesce(published, '') AS published, strftime({PUBLISHED_SQL}, '%Y-%m-%d %H:%M:%S') AS published_ts FROM feed_raw""",
@@ -69,6 +82,17 @@ def scan_search_hits(t: Tables):
     return S.search_hits(search_raw(t), C.HITS_PER_QUERY).select("title", "summary", "link", stamp("published_ts"), "source_name")
 
 
+@query(
+    "scan_search_hits_all", "SRC-2",
+    sql="""SELECT split_part(text, chr(10), 1) AS title, split_part(text, chr(10), 1) AS summary,
+      CASE WHEN doc_id % 4 = 0 THEN 'https://news.ycombinator.com/item?id=' || doc_id ELSE 'https://hit.example.com/' || doc_id END AS link,
+      strftime(make_timestamp((978307200 + doc_id * 3600) * 1000000), '%Y-%m-%d %H:%M:%S') AS published_ts, 'Hacker News' AS source_name
+    FROM documents WHERE doc_id % 6 <> 0 AND split_part(text, chr(10), 1) <> ''""",
+)
+def scan_search_hits_all(t: Tables):
+    return S.search_hits(search_raw(t)).select("title", "summary", "link", stamp("published_ts"), "source_name")
+
+
 ARTICLES_SQL = """, firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY source_ord, item_ord) AS n FROM articles WHERE link <> '') WHERE n = 1)"""
 
 

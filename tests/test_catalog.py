@@ -50,5 +50,11 @@ def test_an_upsert_query_covers_all_companies(spark):
     assert companies in [entry.queries()[n](spark, SF).select("company_id").distinct().count() for n in upserts]
 
 
+def test_uncapped_scans_return_all_items(spark):
+    tables, queries = entry.Tables(spark, SF), entry.queries()
+    assert queries["scan_feed_items_all"](spark, SF).count() == tables("feed_raw").count()
+    assert queries["scan_search_hits_all"](spark, SF).count() > queries["scan_search_hits"](spark, SF).count()
+
+
 def test_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1
