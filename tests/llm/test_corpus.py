@@ -75,6 +75,7 @@ def test_packing_is_a_round_trip(spark, rows):
     from tokenizers import Tokenizer
 
     whole = [*rows, (310, "b", "en", "word " * 2047), (310, "b", "en", "word " * 2047)]
+    whole += [(311, "b", "en", "hello <|endoftext|> world"), (312, "b", "en", "a" + " \n" * 3000 + "é中文 ▁ 😀"), (313, "b", "en", "=" * 9000)]
     out = packing.packed(frame(spark, whole)).collect()
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
     ids = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for d, _, _, t in whole}

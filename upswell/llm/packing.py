@@ -46,14 +46,24 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_characters() -> dict[str, int]:
+    """The bytes that byte-level BPE writes as printable characters: those that print as themselves, the others from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+
+
 class Encoder:
-    """Token ids of a text, as unsigned 32-bit integers."""
+    """Token ids of a text, as unsigned 32-bit integers.
+
+    As in a plain call of `tokenizers`, the string of a special token in a text becomes that token; with ``special=False`` it is ordinary text.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
+        self.slow.encode_special_tokens = not special
+        self.marks = [t.content for t in self.slow.get_added_tokens_decoder().values()] if special else []
         self.fast = self._by_ranks(path)
 
     @staticmethod
@@ -64,9 +74,7 @@ class Encoder:
         plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
         if not plain or spec.get("normalizer") or spec.get("post_processor") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
             return None
-        # byte-level BPE writes bytes as printable characters: those that print as themselves, the others from 256 on
-        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-        chars = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+        chars = byte_characters()
         special = {t["content"] for t in spec.get("added_tokens", [])}
         vocab = {t: i for t, i in model["vocab"].items() if t not in special}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -79,7 +87,7 @@ class Encoder:
         return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.fast is not None:
+        if self.fast is not None and not any(m in text for m in self.marks):
             try:
                 return self.fast.encode_to_numpy(text, disallowed_special=())
             except Exception:  # its regular expressions give up on some very long runs
