@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from upswell.llm import exact_dedup, jaccard_join, language, mixing, packing, periodic_runs, repeats, repetition, sharding, toxicity, url_filter
+from upswell.llm import alignment, exact_dedup, jaccard_join, language, mixing, packing, periodic_runs, repeats, repetition, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": language.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_repetition": repetition.op8,
     "op9_toxicity": toxicity.op9,
     "op10_jaccard_join": jaccard_join.op10,
+    "op11_alignment": alignment.op11,
     "op12_periodic_runs": periodic_runs.op12,
 }
 SQL = {
