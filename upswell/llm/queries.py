@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from upswell.llm import alignment, exact_dedup, jaccard_join, language, mixing, packing, periodic_runs, repeats, repetition, sharding, toxicity, url_filter
+from upswell.llm import alignment, exact_dedup, inner_products, jaccard_join, language, mixing, packing, periodic_runs, repeats, repetition, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": language.op1,
@@ -17,8 +17,10 @@ QUERIES = {
     "op10_jaccard_join": jaccard_join.op10,
     "op11_alignment": alignment.op11,
     "op12_periodic_runs": periodic_runs.op12,
+    "op13_inner_products": inner_products.op13,
 }
 SQL = {
     "op5_mixing": mixing.OP5_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op13_inner_products": inner_products.OP13_SQL,
 }
