@@ -10,11 +10,15 @@ the rest runs out; only documents of that prefix are ordered. The cut is a key,
 is taken or not by comparing its own key with its source's, and no join by document is
 needed. One more document, the one whose size comes nearest to what is left, closes the gap.
 
+Rows that agree in doc_id and size have one key and are counted before anything is ordered. Where the rest runs out within
+such a key, as many of its rows are taken as fit, the first in the table. Only rows of that key, and of the closing document's, are
+numbered: within the parts of the table they lie in, with the counts of the parts before.
+
 Sources are few (one row each in a configuration): the frame of sources is the only one that
 meets in one task. Documents are only ever summed per source and prefix, before the shuffle.
 
 Cases: a null source is a source, ordered last; a null text has size 0; sources of size 0 get
-target 0; rows that agree in doc_id and size are taken alike; an empty table gives an empty result;
+target 0; rows that repeat are taken one by one; an empty table gives an empty result;
 further columns are ignored.
 """
 
@@ -52,12 +56,13 @@ def water_fill(sources: DataFrame, max_epochs: float) -> DataFrame:
 
 def plan_mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: float = 3.0, seed: int = 1) -> DataFrame:
     """One row per source: source, source_size, target, whole (repetitions of each document), cut (the last key taken
-    once more; null: none) and extra (the key of the closing document; null: none).
+    once more; null: none), edge (the next key) with more (how many of its rows are taken once more) and extra (the key of the closing row; null: none).
 
     ``docs``: doc_id, source, size. Sources in code-point order, null last, get the weights in turn.
     """
-    docs = store(docs.select("doc_id", "source", "size", _key(seed).alias("h")), "mix-sizes")
-    sources = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
+    docs = docs.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n"))
+    docs = store(docs.select("doc_id", "source", "size", "n", (F.col("size") * F.col("n")).alias("words"), _key(seed).alias("h")), "mix-sizes")
+    sources = docs.groupBy("source").agg(F.sum("words").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     in_order = Window.orderBy(F.col("source").isNull(), "source")
     turn = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.row_number().over(in_order) - 1) % len(weights) + 1).cast("int"))
     filled = water_fill(sources.withColumn("weight", turn), max_epochs)
@@ -69,28 +74,34 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: fl
     digits = max(1, min(8, (most.bit_length() + 7) // 8))
     prefix = F.substring("h", 1, digits)
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
-    sums = docs.groupBy("source", prefix.alias("prefix")).agg(F.sum("size").alias("words"))
+    sums = docs.groupBy("source", prefix.alias("prefix")).agg(F.sum("words").alias("words"))
     upto = Window.partitionBy("source").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
     edge = sums.alias("a").join(filled.select("source", "rest").alias("b"), same).filter("before <= rest AND rest < before + words")
     edge = edge.select(F.col("a.source").alias("source"), "prefix", "before", "rest")
-    inside = docs.alias("a").join(edge.alias("b"), same & (prefix == F.col("prefix"))).select("a.source", "h", "doc_id", "size", "before", "rest")
+    inside = docs.alias("a").join(edge.alias("b"), same & (prefix == F.col("prefix"))).select("a.source", "h", "doc_id", "size", "a.words", "before", "rest")
     own = Window.partitionBy("source").orderBy("h", "doc_id", "size").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("used", F.col("before") + F.sum("size").over(own)).filter("used <= rest")
+    inside = inside.withColumn("used", F.col("before") + F.sum("words").over(own))
     key = F.struct(F.col("a.h").alias("h"), F.col("a.doc_id").alias("doc_id"), F.col("a.size").alias("size"))
-    cuts = inside.alias("a").groupBy("source").agg(F.max(key).alias("cut"), F.max("used").alias("used"))
+    fits = F.col("used") <= F.col("rest")
+    cuts = inside.alias("a").groupBy("source").agg(
+        F.max(F.when(fits, key)).alias("cut"), F.max(F.when(fits, F.col("used"))).alias("used"), F.min(F.when(~fits, key)).alias("edge")
+    )
     # where no document of the edge's prefix fits, everything before that prefix is taken
     cuts = edge.alias("b").join(cuts.alias("a"), same, "left").select(
-        F.col("b.source").alias("source"), F.coalesce("a.used", "b.before").alias("used"), F.coalesce(F.col("cut"), _before("prefix")).alias("cut")
+        F.col("b.source").alias("source"), F.coalesce("a.used", "b.before").alias("used"), F.coalesce(F.col("cut"), _before("prefix")).alias("cut"), "edge"
     )
-    plan = store(filled.alias("b").join(cuts.alias("a"), same, "left").select("b.*", "used", "cut"), "mix-cuts")
+    # the edge's rows cross the rest, so it has words and more rows than fit
+    more = F.coalesce(F.floor((F.col("rest") - F.col("used")) / F.col("edge.size")), F.lit(0)).cast("long")
+    cut = filled.alias("b").join(cuts.alias("a"), same, "left").select("b.*", "used", "cut", "edge").withColumn("more", more)
+    plan = store(cut.withColumn("used", F.col("used") + F.col("more") * F.coalesce("edge.size", F.lit(0))), "mix-cuts")
 
     left = F.col("rest") - F.col("used")
     off = F.abs(F.col("a.size") - left)
     rest = docs.alias("a").join(plan.alias("b"), same).filter(key > F.col("cut")).filter((off < left) & (F.col("a.size") > 0))
     closing = rest.groupBy(F.col("b.source").alias("source")).agg(F.min_by(key, F.struct(off, F.col("a.h"), F.col("a.doc_id"))).alias("extra"))
     out = plan.alias("b").join(closing.alias("a"), same, "left")
-    return store(out.select("b.source", "source_size", "target", "whole", "cut", "extra"), "mix-plan")
+    return store(out.select("b.source", "source_size", "target", "whole", "cut", "edge", "more", "extra"), "mix-plan")
 
 
 def _before(prefix: str) -> Column:
@@ -98,13 +109,38 @@ def _before(prefix: str) -> Column:
     return F.struct(F.col(prefix).alias("h"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("size"))
 
 
+def _planned(plan: DataFrame, docs: DataFrame, seed: int) -> DataFrame:
+    """``docs`` with their source's plan and wanted: null, or how many rows of the document's key are taken once more where not all or none are."""
+    key = F.struct(_key(seed).alias("h"), F.col("doc_id"), F.col("size"))
+    p = plan.select(F.col("source").alias("of"), "source_size", "target", "whole", "cut", "edge", "more", "extra")
+    joined = docs.join(p, docs["source"].eqNullSafe(p["of"])).withColumn("key", key)
+    some = F.when(F.col("key") == F.col("edge"), F.col("more")).otherwise(0) + F.when(F.col("key") == F.col("extra"), 1).otherwise(0)
+    return joined.withColumn("wanted", F.when(some > 0, some))
+
+
+def _all_or_none(plan: DataFrame, docs: DataFrame, seed: int) -> DataFrame:
+    more = F.when(F.col("key") <= F.col("cut"), 1).otherwise(0)
+    rows = _planned(plan, docs, seed).filter("wanted IS NULL").withColumn("copies", F.col("whole") + more)
+    return rows.select(*docs.columns, "source_size", "target", "copies")
+
+
+def _one_by_one(plan: DataFrame, docs: DataFrame, seed: int) -> DataFrame:
+    """The rows of keys of which some are taken, numbered by their place: the part of the table, then the row in it."""
+    rows = _planned(plan, docs, seed).filter("wanted IS NOT NULL").withColumn("place", F.monotonically_increasing_id())
+    rows = store(rows.withColumn("part", F.shiftright("place", 33)), "mix-some")
+    before = Window.partitionBy("source", "key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("source", "key", "part").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.select(F.col("source").alias("of_source"), F.col("key").alias("of_key"), F.col("part").alias("of_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("source", "key", "part").orderBy("place"))
+    same = F.col("source").eqNullSafe(F.col("of_source")) & F.col("key").eqNullSafe(F.col("of_key")) & (F.col("part") == F.col("of_part"))
+    numbered = rows.withColumn("own", own).join(parts, same)
+    copies = F.col("whole") + F.when(F.col("before") + F.col("own") <= F.col("wanted"), 1).otherwise(0)
+    return numbered.withColumn("copies", copies).select(*docs.columns, "source_size", "target", "copies")
+
+
 def copies(plan: DataFrame, docs: DataFrame, seed: int = 1) -> DataFrame:
     """``docs`` (doc_id, source, size and whatever else) with source_size, target and copies: whole repetitions and the fractional one."""
-    key = F.struct(_key(seed).alias("h"), F.col("doc_id"), F.col("size"))
-    p = plan.select(F.col("source").alias("of"), "source_size", "target", "whole", "cut", "extra")
-    joined = docs.join(p, docs["source"].eqNullSafe(p["of"]))
-    more = F.when(F.col("cut").isNotNull() & (key <= F.col("cut")), 1).when(F.col("extra").isNotNull() & (key == F.col("extra")), 1).otherwise(0)
-    return joined.withColumn("copies", F.col("whole") + more).drop("of", "whole", "cut", "extra")
+    return _all_or_none(plan, docs, seed).unionAll(_one_by_one(plan, docs, seed))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -114,10 +150,17 @@ def sized(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: float = 3.0, seed: int = 1) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it, all columns kept."""
     names = docs.columns
-    measured = store(sized(docs), "mix-words")
-    plan = plan_mix(measured, weights, max_epochs, seed)
-    wide = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), n_words(docs["text"]).alias("size"))
-    taken = copies(plan, wide, seed).filter("copies > 0")
+    plan = plan_mix(store(sized(docs), "mix-words"), weights, max_epochs, seed)
+
+    def wide(rows: DataFrame) -> DataFrame:
+        row = F.struct(*[rows[f"`{c}`"] for c in names]).alias("row")
+        return rows.select(row, rows["doc_id"].cast("long").alias("doc_id"), rows["source"].cast("string").alias("source"), n_words(rows["text"]).alias("size"))
+
+    # rows to be numbered are found by their ids, at most two a source
+    some = plan.select("source", F.explode(F.array("edge.doc_id", "extra.doc_id")).alias("doc_id")).distinct().select(F.struct("source", "doc_id").alias("k"))
+    own = F.struct(docs["source"].cast("string").alias("source"), docs["doc_id"].cast("long").alias("doc_id"))
+    few = docs.join(some, own.eqNullSafe(some["k"]), "left_semi")
+    taken = _all_or_none(plan, wide(docs), seed).unionAll(_one_by_one(plan, wide(few), seed)).filter("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col("row")[c].alias(c) for c in names])
 
 
