@@ -11,7 +11,7 @@ hash of the id. Its words are counted in the tasks; the driver gets the ``featur
 buckets and a table of sample x features. Every document is then scored over its whole text.
 
 Cases: null, empty text or one without letters: no word, so the models' intercepts decide; labels without a document are ignored; a document labelled more than once
-counts once, with its highest labels; without labels nothing is flagged; repeated rows are scored alike; further columns are ignored.
+counts once, with its highest labels; without a labelled document nothing is flagged; where no word is in three of them the intercepts decide; repeated rows are scored alike; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,14 +91,19 @@ def fit_weights(x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> tuple[np.nda
     return tuple(weights)
 
 
+def nothing_known(categories: Sequence[str]) -> Chain:
+    """The chain without a labelled document: nothing is flagged."""
+    return Chain(tuple(categories), np.zeros(0, np.int64), tuple(np.array([0.0] * k + [-6.0]) for k in range(len(categories))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], docs_per_class: int = 4000, features: int = 256) -> Chain:
     """``labels``: doc_id and one 0/1 column per category."""
     spark = docs.sparkSession
     last = categories[-1]
-    own = labels.groupBy("doc_id").agg(*[F.max(c).cast("int").alias(c) for c in categories]).dropna()
+    own = labels.groupBy("doc_id").agg(*[(F.max(c) > 0).cast("int").alias(c) for c in categories]).dropna()
     sizes = {r[0]: r[1] for r in own.groupBy(last).count().collect()}
     if not sizes:
-        return Chain(tuple(categories), np.zeros(0, np.int64), tuple(np.array([0.0] * k + [-6.0]) for k in range(len(categories))))
+        return nothing_known(categories)
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, docs_per_class / v))])
     sample = own.filter(u < F.element_at(share, F.col(last)))
@@ -128,7 +133,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], docs_per_
             yield pa.RecordBatch.from_arrays([*keep, pa.array(x, pa.binary())], [*batch.schema.names[:-1], "x"])
 
     table = sets.mapInArrow(project, schema.replace("buckets array<long>", "x binary")).orderBy("doc_id").toArrow()
-    x = np.frombuffer(b"".join(table["x"].to_pylist()), np.uint8).reshape(-1, len(buckets)).astype(np.float64)
+    if not table.num_rows:
+        return nothing_known(categories)
+    x = np.frombuffer(b"".join(table["x"].to_pylist()), np.uint8).reshape(table.num_rows, len(buckets)).astype(np.float64)
     y = np.stack([table[c].to_numpy() for c in categories], axis=1).astype(float)
     return Chain(tuple(categories), buckets, fit_weights(x, y, table["fold"].to_numpy()))
 
