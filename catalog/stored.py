@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import duck as D
@@ -238,9 +240,7 @@ def report(t: Tables):
     gate = materialise(gated(t))
     top = materialise(G.rank_regions(gate.filter("eligible")))
     events = t("company_events").withColumn("statement_class", F.lit("completed"))
-    return Q.build_quality_report(
-        gate, top, events, K.parse_responses(responses(t)), C.regions_frame(t.spark), C.bands_frame(t.spark)
-    )
+    return Q.build_quality_report(gate, top, events, K.parse_responses(responses(t)))
 
 
 REPORT_SQL = SCORED_SQL + f""", rep AS (SELECT *, (SELECT round_even(100.0::DOUBLE * count(*) FILTER (WHERE {FAILED_SQL}) / count(*), 1) FROM (SELECT DISTINCT batch_id FROM response_parts)) AS failure_rate,
@@ -381,3 +381,68 @@ def recent_quality_reports(t: Tables):
 )
 def event_drawer(t: Tables):
     return V.event_drawer(t("company_events"), "7").select("ingest_ord", "event_type", "verification_status")
+
+
+_LOOSE = [("pct_ranked_with_verified_regional_assignment", "min", 100.0), ("pct_ranked_with_confidence_ge_70", "min", 1.0)]
+LOOP_SQL = SCORED_SQL + f""", runs3 AS (SELECT 'run-1' AS run_id, [{D.quoted(C.REGIONS)}] AS regs UNION ALL SELECT 'run-2', ['US'] UNION ALL SELECT 'run-3', [{D.quoted(C.REGIONS)}]),
+  top3 AS (SELECT run_id, count(region_bucket) AS n_ranked, count(*) FILTER (WHERE region_bucket = 'US') AS ranked_us, greatest(0, 50 - count(*) FILTER (WHERE region_bucket = 'INDIA')) AS short_india,
+      round_even(100.0::DOUBLE * count(*) FILTER (WHERE data_confidence >= 70) / greatest(count(region_bucket), 1), 1) AS pct_conf, count(*) FILTER (WHERE data_confidence >= 80) AS band_80,
+      round_even(100.0::DOUBLE * count(*) FILTER (WHERE region_bucket IS NOT NULL AND NOT {D.populated('founders')}) / greatest(count(region_bucket), 1), 1) AS missing_founders
+    FROM runs3 LEFT JOIN ranked ON list_contains(regs, region_bucket) GROUP BY 1),
+  all3 AS (SELECT run_id, count(*) FILTER (WHERE len(reasons) = 0) AS accepted, count(*) FILTER (WHERE len(reasons) > 0) AS rejected, count(*) FILTER (WHERE days_since_verified > 90) AS stale,
+      count(*) FILTER (WHERE list_contains(reasons, 'industry not supported')) AS off_industry FROM runs3 JOIN gated ON list_contains(regs, region_bucket) GROUP BY 1),
+  rate AS (SELECT round_even(100.0::DOUBLE * count(*) FILTER (WHERE {FAILED_SQL}) / count(*), 1) AS failure_rate FROM (SELECT DISTINCT batch_id FROM response_parts)),
+  both3 AS (SELECT *, n_ranked > 0 AND pct_conf >= 1 AS passed FROM top3 JOIN all3 USING (run_id), rate),
+  first AS (SELECT *, passed AS published FROM both3 WHERE run_id = 'run-1'),
+  second AS (SELECT b.*, b.passed AND NOT (first.published AND (b.pct_conf < first.pct_conf - 10 OR b.n_ranked < first.n_ranked * 0.5)) AS published FROM both3 b, first WHERE b.run_id = 'run-2'),
+  before AS (SELECT * FROM (SELECT * FROM second UNION ALL SELECT * FROM first) WHERE published ORDER BY run_id DESC LIMIT 1),
+  third AS (SELECT b.*, b.passed AND NOT coalesce(b.pct_conf < before.pct_conf - 10 OR b.n_ranked < before.n_ranked * 0.5, false) AS published FROM both3 b LEFT JOIN before ON true WHERE b.run_id = 'run-3')"""
+
+
+@query(
+    "run_report_loop", "JOIN-12 SNK-7 QLT-2 QLT-3 RD-4 AGG-17", "company_events companies response_parts",
+    LOOP_SQL + """ SELECT run_id, CASE WHEN published THEN 'success' ELSE 'success_with_warnings' END AS run_status, published, accepted AS companies_accepted, rejected AS companies_rejected, n_ranked, ranked_us,
+      short_india, pct_conf, band_80, missing_founders, stale, off_industry, failure_rate, passed FROM (SELECT * FROM first UNION ALL SELECT * FROM second UNION ALL SELECT * FROM third)
+    UNION ALL SELECT 'run-4', 'failed', false, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+    UNION ALL SELECT 'run-5', 'running', false, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
+)
+def run_report_loop(t: Tables):
+    """Runs over one root, each judged by what the published ones before it stored: a whole one, one that reached the US
+    feeds only, a whole one again, one that fails and one still open."""
+    from upswell.plans.runs import judge_run, within_run
+    from upswell.session import materialise, shared_folder
+
+    gate = materialise(gated(t))
+    events = t("company_events").withColumn("statement_class", F.lit("completed"))
+    parsed = materialise(K.parse_responses(responses(t)))
+    root = f"{shared_folder(t.spark)}/report-loop-{uuid.uuid4().hex}"
+    for day, (run_id, regions) in enumerate([("run-1", C.REGIONS), ("run-2", ["US"]), ("run-3", C.REGIONS)]):
+        clock = F.date_add(t.now, day).cast("timestamp")
+        part = gate.filter(F.col("region_bucket").isin(regions))
+        counters = part.agg(F.count_if("eligible").alias("companies_accepted"), F.count_if(~F.col("eligible")).alias("companies_rejected"))
+
+        def work(runs):
+            judged = judge_run(part, G.rank_regions(part.filter("eligible")), events, parsed, counters, runs, run_id, clock, clock, _LOOSE)
+            B.append_run_state(judged.run, root)
+
+        within_run(t.spark, root, run_id, clock, clock, work)
+
+    def broken(runs):
+        raise RuntimeError("every extraction batch failed")
+
+    late = F.date_add(t.now, 3).cast("timestamp")
+    try:
+        within_run(t.spark, root, "run-4", late, late, broken)
+    except RuntimeError:
+        pass
+    B.append_run_state(B.open_run(t.spark, "run-5", late), root)
+    r = F.col("quality_report")
+    count = lambda m, k: F.when(r.isNotNull(), F.coalesce(F.try_element_at(r[m], F.lit(k)), F.lit(0))).cast("long")
+    return B.read_runs(t.spark, root).select(
+        "run_id", "run_status", "published", "companies_accepted", "companies_rejected", r["n_ranked"].alias("n_ranked"),
+        count("qualified_company_count_by_region", "US").alias("ranked_us"), count("shortfall_by_region", "INDIA").alias("short_india"),
+        r["pct_ranked_with_confidence_ge_70"].alias("pct_conf"), count("confidence_distribution", "80-100").alias("band_80"),
+        r["missingness_by_field"]["founders"].alias("missing_founders"), r["stale_record_count"].alias("stale"),
+        count("rejected_candidate_count_by_reason", "industry not supported").alias("off_industry"),
+        r["llm_extraction_failure_rate"].alias("failure_rate"), r["passed_launch_thresholds"].alias("passed"),
+    )

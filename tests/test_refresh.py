@@ -5,9 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from upswell.operators import quality as Q
 from upswell.operators import tables as B
 from upswell.plans.legacy import run_v1_refresh
-from upswell.plans.refresh import RefreshInputs, run_ranking_refresh, store_refresh
+from upswell.plans.refresh import RefreshInputs, refresh_stored, run_ranking_refresh, store_refresh
+from upswell.plans.runs import judge_run, published_report
 
 COMPANY = (
     "company_id string, canonical_name string, normalized_name string, primary_domain string, homepage string, homepage_confidence int,"
@@ -120,3 +122,54 @@ def test_run_rows(spark):
     opened = B.open_run(spark, "r1", F.lit("2026-02-21").cast("timestamp"))
     closed = opened.withColumns({"finished_at": F.col("started_at"), "run_status": F.lit("success"), "published": F.lit(True)})
     assert [r.run_status for r in B.run_states(opened.unionByName(closed)).collect()] == ["success"]
+
+
+def test_runs_over_one_root(spark, tmp_path, monkeypatch):
+    """The second run reads what the first stored, companies, events and report; a failing run leaves all as it was."""
+    root = str(tmp_path / "root")
+    rules = [("pct_ranked_with_verified_headquarters", "max", 100.0)]  # any report passes
+    monkeypatch.setattr("upswell.plans.refresh.judge_run", lambda *a: judge_run(*a, rules=rules))
+    day = lambda d: F.to_date(F.lit(f"2026-02-{d}"))
+    first = refresh_stored(_inputs(spark), root, day(21), "r1")
+    assert first.publish and first.run.first().quality_report.n_ranked == 2
+    with pytest.raises(RuntimeError):
+        refresh_stored(_inputs(spark, answer="no json"), root, day(22), "r2")
+    one = json.dumps(json.loads(_answer())[2:])  # no rankable company is found any more
+    held = refresh_stored(_inputs(spark, answer=one), root, day(23), "r3")
+    third = refresh_stored(_inputs(spark), root, day(24), "r4")
+    assert not held.publish and third.publish
+    assert third.report.first().previous_n_ranked == 2  # that of r1, the latest that published
+    runs = {r.run_id: r for r in B.read_runs(spark, f"{root}/runs").collect()}
+    assert {k: r.run_status for k, r in runs.items()} == {"r1": "success", "r2": "failed", "r3": "success_with_warnings", "r4": "success"}
+    assert runs["r2"].articles_fetched == 4 and runs["r2"].finished_at is not None and runs["r2"].quality_report is None
+    assert runs["r1"].regional_result_counts == {"US": 1, "INDIA": 1, "ROW": 0} and runs["r1"].workflow_type == "ranking_refresh"
+    report = runs["r4"].quality_report
+    assert report.threshold_failures == [] and report.passed_launch_thresholds and report.duplicate_candidates_detected == 0
+    assert report.rejected_candidate_count_by_reason and report.missingness_by_field["founders"] == 100.0
+    assert published_report(B.read_runs(spark, f"{root}/runs")).first().generated_at == report.generated_at
+    assert B.read_current(spark, f"{root}/companies").count() == 4 and B.read_current(spark, f"{root}/events").count() == 4
+    assert B.current_version(spark, f"{root}/ranking") == 2
+
+
+def test_report_of_nothing_and_its_plan(spark):
+    gate = spark.createDataFrame([], "company_id string, region_bucket string, reasons array<string>, funding_amount_usd double, funding_stage string, days_since_verified int")
+    ranked = spark.createDataFrame(
+        [], "region_bucket string, data_confidence int, independent_sources int, best_source_tier int, funding_amount_usd double, hiring_momentum int, recent_verified_events int, primary_domain_verified boolean"
+    )
+    events = spark.createDataFrame([], "event_type string, evidence_text string, amount_usd double, statement_class string, source_tier int")
+    parsed = spark.createDataFrame([("a", False), ("b", True), ("b", False), (None, True)], "provider string, failed boolean")
+    report = Q.build_quality_report(gate, ranked, events, parsed, first_provider="a")
+    row = report.first()
+    assert (row.n_ranked, row.pct_ranked_with_confidence_ge_70, row.pct_material_funding_claims_with_evidence, row.llm_extraction_failure_rate) == (0, 0.0, 100.0, 50.0)
+    assert row.provider_fallback_usage == {"b": 2} and row.rejected_candidate_count_by_reason == {} and row.shortfall_by_region == {"US": 50, "INDIA": 50, "ROW": 50}
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    full = report._jdf.queryExecution().executedPlan().toString()
+    assert full.count("Exchange") <= 4 and "Join" not in plan
+
+
+def test_missing_folder_is_no_version_but_a_broken_one_fails(spark, tmp_path):
+    assert B.current_version(spark, str(tmp_path / "none")) is None and B.read_current(spark, str(tmp_path / "none")) is None
+    (tmp_path / "t" / "log").mkdir(parents=True)
+    (tmp_path / "t" / "log" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        B.current_version(spark, str(tmp_path / "t"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upswell import config as C
@@ -126,40 +126,128 @@ def run_counters(articles: DataFrame, validated: DataFrame, gated: DataFrame) ->
 
 
 def side_by_side(rows: Sequence[DataFrame]) -> DataFrame:
-    """Join one-row frames into one row on a constant key."""
-    out = rows[0].withColumn("_k", F.lit(1))
-    for r in rows[1:]:
-        out = out.join(r.withColumn("_k", F.lit(1)), "_k", "left")
-    return out.drop("_k")
+    """One-row frames as one row: their rows are put below each other and folded in one aggregate. A frame without a row gives nulls."""
+    parts = [r.select(F.struct(*r.columns).alias(f"_{i}")) for i, r in enumerate(rows)]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p, allowMissingColumns=True)
+    one = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+    return one.select(*[F.col(f"_{i}")[c].alias(c) for i, r in enumerate(rows) for c in r.columns])
 
 
-def _as_map(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """A frame with a fixed small number of keys (regions, bands, reasons) as one map."""
-    entries = F.sort_array(F.collect_list(F.struct(F.col(key), F.col(value))))
-    return df.agg(F.map_from_entries(entries).alias(name))
+#: What the report counts of each kind of row; ``key`` names the entry of a map the row adds to.
+def _report_tests(sources: str, missing: Sequence[str]) -> dict[str, dict[str, Column]]:
+    col = F.col
+    located = F.coalesce(col("region_bucket"), F.lit("")) != ""
+    confidence = F.greatest(F.lit(0), F.least(F.lit(100), F.coalesce(col("data_confidence"), F.lit(0))))
+    funding = col("event_type").isin(C.FUNDING_TYPES)
+    return {
+        "ranked": {
+            "confident": col("data_confidence") >= 70,
+            "corroborated": F.coalesce(col(sources) >= 2, F.lit(False)) | F.coalesce(col("best_source_tier") == 1, F.lit(False)),
+            "located": located,
+            "funded": col("funding_amount_usd") != 0,
+            "sized": col("employee_count_min").isNotNull() & col("employee_count_max").isNotNull(),
+            "hiring": col("hiring_momentum") > 0,
+            "recent": col("recent_verified_events") > 0,
+            "domain": col("primary_domain_verified"),
+            **{f"band_{lo}": (confidence >= lo) & (confidence <= hi) for _, lo, hi in C.CONFIDENCE_BANDS},
+            **{f"filled_{f}": is_populated(col(f)) for f in missing},
+        },
+        "candidate": {
+            "ambiguous": F.coalesce(col("funding_amount_usd") != 0, F.lit(False)) & col("funding_stage").isNull(),
+            "stale": col("days_since_verified") > C.STALE_EXCLUDE_DAYS,
+        },
+        "event": {
+            "funding": funding,
+            "with_text": funding & (F.coalesce(F.trim("evidence_text"), F.lit("")) != ""),
+            "valuation": funding & col("amount_usd").isNotNull() & (col("statement_class") == "valuation"),
+        },
+        "batch": {"failed": col("failed")},
+    }
 
 
 def build_quality_report(
-    candidates: DataFrame, ranked: DataFrame, events: DataFrame, parsed: DataFrame, regions: DataFrame,
-    bands: DataFrame, sources: str = "independent_sources",
+    candidates: DataFrame, ranked: DataFrame, events: DataFrame, parsed: DataFrame, sources: str = "independent_sources",
+    generated_at: Column | None = None, run_status: str = "success", missing: Sequence[str] = tuple(C.COMPLETENESS_FIELDS), first_provider: str | None = None,
 ) -> DataFrame:
-    """The report as one row: percentages, counts and small maps. ``candidates`` are the
-    gated rows, ranked or not."""
-    short = shortfall_by_region(ranked, regions)
-    invalid = ranked.agg(F.count_if(~F.col("primary_domain_verified")).alias("invalid_homepage_count"))
-    parts = [
-        quality_percentages(ranked, sources),
-        candidate_counts(candidates),
-        evidence_checks(events),
-        invalid,
-        batch_failure_rate(parsed).select(F.col("failure_rate").alias("llm_extraction_failure_rate")),
-        _as_map(short, "region_bucket", "n_ranked", "qualified_company_count_by_region"),
-        _as_map(short, "region_bucket", "shortfall", "shortfall_by_region"),
-        _as_map(rejections_by_reason(candidates), "reason", "n", "rejected_candidate_count_by_reason"),
-        _as_map(confidence_bands(ranked, bands), "band", "n", "confidence_distribution"),
-        _as_map(source_tier_distribution(events.filter("source_tier is not null")), "source_tier", "n", "source_tier_distribution"),
+    """The report as one row: percentages, counts and small maps.
+
+    ``candidates`` are the gated rows, ranked or not (``n_candidates``, where it is there, says how many extracted names a company came from);
+    ``parsed`` the batches of extraction with ``provider`` and ``failed``. Every frame is reduced to yes and no per test and all are counted
+    together: one shuffle of a row per task, kind and map entry, and one of those few rows. A column the ranked rows lack counts as empty.
+    Providers other than ``first_provider`` are fallbacks; without one no batch counts as such.
+    """
+    tests = _report_tests(sources, missing)
+
+    def tagged(df: DataFrame, kind: str, key: Column, only: Sequence[str] | None = None) -> DataFrame:
+        wanted = {n: t for n, t in tests[kind].items() if only is None or n in only}
+        flags = [F.coalesce(t.cast("long"), F.lit(0).cast("long")).alias(n) for n, t in wanted.items()]
+        return df.select(F.lit(kind).alias("kind"), key.cast("string").alias("key"), F.lit(1).cast("long").alias("n"), *flags)
+
+    needed = {"employee_count_min", "employee_count_max", *missing} - set(ranked.columns)
+    full = ranked.withColumns({c: F.lit(None).cast("string") for c in sorted(needed)}) if needed else ranked
+    copies = F.col("n_candidates") - 1 if "n_candidates" in candidates.columns else F.lit(0)
+    reasons = candidates.select(F.explode("reasons").alias("key"))
+    rows = [
+        tagged(full, "ranked", F.col("region_bucket")),
+        tagged(candidates.withColumn("_copies", copies), "candidate", F.lit(None)),
+        candidates.select(F.lit("copies").alias("kind"), copies.cast("long").alias("n")),
+        reasons.select(F.lit("reason").alias("kind"), "key", F.lit(1).cast("long").alias("n")),
+        tagged(events, "event", F.col("source_tier")),
+        tagged(parsed, "batch", F.col("provider")),
     ]
-    return side_by_side(parts)
+    both = rows[0]
+    for r in rows[1:]:
+        both = both.unionByName(r, allowMissingColumns=True)
+    flags = [n for kind in tests.values() for n in kind]
+    few = both.groupBy("kind", "key").agg(F.sum("n").alias("n"), *[F.sum(f).alias(f) for f in flags])
+
+    def total(kind: str, what: str = "n", key: str | None = None) -> Column:
+        there = F.col("kind") == kind
+        return F.coalesce(F.sum(F.when(there if key is None else there & (F.col("key") == key), F.col(what))), F.lit(0))
+
+    def entries(kind: str, value: str = "n", kept: Column | None = None, cast: str = "string") -> Column:
+        there = (F.col("kind") == kind) & F.col("key").isNotNull() & (F.lit(True) if kept is None else kept)
+        pairs = F.collect_list(F.when(there, F.struct(F.col("key").cast(cast), F.col(value))))
+        return F.map_from_entries(F.sort_array(pairs))
+
+    n = total("ranked")
+
+    def share(flag: str, kind: str = "ranked") -> Column:
+        return S.percent(total(kind, flag), total(kind))
+
+    funding, fallback = total("event", "funding"), F.lit(False) if first_provider is None else F.col("key") != first_provider
+    by_region = {r: total("ranked", key=r) for r in C.REGIONS}
+    pairs = lambda values: F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)])
+    return few.agg(
+        (generated_at if generated_at is not None else F.lit(None)).cast("timestamp").alias("generated_at"),
+        F.lit(C.SCORE_VERSION).alias("score_version"), F.lit(run_status).alias("run_status"),
+        n.alias("n_ranked"),
+        pairs(by_region).alias("qualified_company_count_by_region"),
+        pairs({r: F.greatest(F.lit(0).cast("long"), F.lit(C.TARGET_PER_REGION) - v) for r, v in by_region.items()}).alias("shortfall_by_region"),
+        entries("reason").alias("rejected_candidate_count_by_reason"),
+        pairs({f: S.percent(n - total("ranked", f"filled_{f}"), n) for f in missing}).alias("missingness_by_field"),
+        entries("event", cast="int").alias("source_tier_distribution"),
+        (n - total("ranked", "domain")).alias("invalid_homepage_count"),
+        total("candidate", "ambiguous").alias("ambiguous_funding_count"),
+        total("event", "valuation").alias("valuation_shown_as_funding_count"),
+        total("candidate", "stale").alias("stale_record_count"),
+        total("copies").alias("duplicate_candidates_detected"),
+        pairs({name: total("ranked", f"band_{lo}") for name, lo, _ in C.CONFIDENCE_BANDS}).alias("confidence_distribution"),
+        share("confident").alias("pct_ranked_with_confidence_ge_70"),
+        share("corroborated").alias("pct_ranked_with_two_sources_or_authoritative"),
+        share("located").alias("pct_ranked_with_verified_headquarters"),
+        share("funded").alias("pct_ranked_with_verified_funding_dates"),
+        share("sized").alias("pct_ranked_with_verified_employee_ranges"),
+        share("hiring").alias("pct_ranked_with_verified_hiring_data"),
+        share("recent").alias("pct_ranked_with_recent_verified_event"),
+        share("located").alias("pct_ranked_with_verified_regional_assignment"),
+        share("domain").alias("pct_ranked_with_valid_primary_domain"),
+        F.when(funding == 0, 100.0).otherwise(S.percent(total("event", "with_text"), funding)).alias("pct_material_funding_claims_with_evidence"),
+        share("failed", "batch").alias("llm_extraction_failure_rate"),
+        entries("batch", kept=fallback).alias("provider_fallback_usage"),
+    )
 
 
 def check_thresholds(report: DataFrame, rules: Sequence[tuple[str, str, float]] = tuple(C.QUALITY_RULES)) -> DataFrame:
@@ -176,12 +264,11 @@ def check_thresholds(report: DataFrame, rules: Sequence[tuple[str, str, float]]
 
 def previous_report(report: DataFrame, published: DataFrame) -> DataFrame:
     """Put the two figures the decision compares next to the new report; ``published``
-    has the report of the latest published run, or no row."""
-    old = published.select(
-        F.lit(1).alias("_k"), F.col("pct_ranked_with_confidence_ge_70").alias("previous_pct_confidence"),
-        F.col("n_ranked").alias("previous_n_ranked"),
+    has the report of the latest published run, or no row (only one of several is used)."""
+    old = published.limit(1).select(
+        F.col("pct_ranked_with_confidence_ge_70").alias("previous_pct_confidence"), F.col("n_ranked").alias("previous_n_ranked")
     )
-    return report.withColumn("_k", F.lit(1)).join(old, "_k", "left").drop("_k")
+    return side_by_side([report, old])
 
 
 def should_publish(report: DataFrame) -> DataFrame:

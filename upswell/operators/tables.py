@@ -11,9 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from upswell import config as C
+from upswell import schemas
 from upswell.functions.text import is_populated
 from upswell.operators.common import keep_first
 
@@ -40,12 +42,19 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], orde
 VERSION_LOG = "version long, stream string, batch long"
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
+def read_if_there(spark: SparkSession, root: str, schema: str) -> DataFrame | None:
+    """A stored Parquet table, or None where its folder does not exist; every other error is one."""
     try:
-        log = spark.read.schema("version long").parquet(f"{root}/log")
-    except AnalysisException:
+        return spark.read.schema(schema).parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return log.agg(F.max("version").alias("v")).first().v
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    log = read_if_there(spark, f"{root}/log", "version long")
+    return None if log is None else log.agg(F.max("version").alias("v")).first().v
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
@@ -158,26 +167,53 @@ def append_snapshots(snapshots: DataFrame, root: str, version: int) -> None:
     append_run(snapshots, root, version, "run_date", "region_bucket")
 
 
-def open_run(spark: SparkSession, run_id: str, started_at: Column) -> DataFrame:
+def conform(df: DataFrame, schema: str) -> DataFrame:
+    """The columns of ``schema`` in its order and types; those ``df`` lacks are null, others go."""
+    kinds = T.StructType.fromDDL(schema)
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds])
+
+
+def open_run(spark: SparkSession, run_id: str, started_at: Column, workflow: str = "ranking_refresh") -> DataFrame:
     """The row of a run that has begun; the closed row has the same id."""
-    return spark.range(1).select(
-        F.lit(run_id).alias("run_id"), started_at.alias("started_at"), F.lit(None).cast("timestamp").alias("finished_at"),
-        F.lit("running").alias("run_status"), F.lit(False).alias("published"),
+    row = spark.range(1).select(
+        F.lit(run_id).alias("run_id"), F.lit(workflow).alias("workflow_type"), F.lit(C.SCORE_VERSION).alias("score_version"),
+        started_at.alias("started_at"), F.lit("running").alias("run_status"), F.lit(False).alias("published"),
     )
+    return conform(row, schemas.RUN)
+
+
+def failed_run(opened: DataFrame, finished_at: Column, articles_fetched: int | None = None) -> DataFrame:
+    """The closed row of a run that ended in an error."""
+    closed = {"finished_at": finished_at.cast("timestamp"), "run_status": F.lit("failed"), "articles_fetched": F.lit(articles_fetched).cast("long")}
+    return opened.withColumns(closed)
 
 
 def run_states(rows: DataFrame) -> DataFrame:
-    """One row per run: the closed one where there is one."""
-    return keep_first(rows, ["run_id"], [F.col("finished_at").desc_nulls_last()])
+    """One row per run: the latest closed one where there is one."""
+    return keep_first(rows, ["run_id"], [F.col("finished_at").desc_nulls_last(), F.col("run_status")])
+
+
+def append_run_state(row: DataFrame, root: str) -> None:
+    """Add a state of a run. States are only ever added; ``run_states`` folds them, so one that is written twice counts once."""
+    conform(row, schemas.RUN).coalesce(1).write.mode("append").parquet(root)
+
+
+def read_runs(spark: SparkSession, root: str) -> DataFrame:
+    """One row per run stored at ``root``; none where nothing is stored yet."""
+    rows = read_if_there(spark, root, schemas.RUN)
+    return run_states(spark.createDataFrame([], schemas.RUN) if rows is None else rows)
 
 
 def record_run(counters: DataFrame, run_id: str, started_at: Column, finished_at: Column, status: Column, published: Column, report: Column | None = None) -> DataFrame:
-    """The closed run row."""
-    return counters.select(
-        F.lit(run_id).alias("run_id"), started_at.alias("started_at"), finished_at.alias("finished_at"),
-        status.alias("run_status"), published.alias("published"), *counters.columns,
-        (report if report is not None else F.lit(None).cast("string")).alias("quality_report"),
+    """The closed run row. ``report`` is the report as a struct; its regional counts are the run's."""
+    kinds = T.StructType.fromDDL(schemas.QUALITY_REPORT)
+    nested = F.lit(None).cast(kinds) if report is None else F.struct(*[report[f.name].cast(f.dataType).alias(f.name) for f in kinds])
+    row = counters.select(
+        F.lit(run_id).alias("run_id"), F.lit("ranking_refresh").alias("workflow_type"), F.lit(C.SCORE_VERSION).alias("score_version"),
+        started_at.alias("started_at"), finished_at.alias("finished_at"), status.alias("run_status"), published.alias("published"), *counters.columns,
+        nested.alias("quality_report"),
     )
+    return conform(row.withColumn("regional_result_counts", F.col("quality_report.qualified_company_count_by_region")), schemas.RUN)
 
 
 def insert_new_companies(resolved: DataFrame, now: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,10 @@ from upswell.operators import resolve as R
 from upswell.operators import tables as B
 from upswell.operators.common import keep_first
 from upswell.plans.ranking import score_companies
+from upswell.plans.runs import judge_run, within_run
 from upswell.session import materialise
 from upswell.sources.feeds import dedupe_links
-from upswell.sources.stored import latest_run, scan_aliases, scan_event_history, scan_identity
+from upswell.sources.stored import scan_aliases, scan_event_history, scan_identity
 
 EVENT_KEY = ["company_id", "source_url", "event_type"]
 MERGED_FIELDS = [
@@ -55,7 +56,6 @@ class RefreshInputs:
     extractor: K.Extractor | None = None
     runs: DataFrame | None = None
     snapshots: DataFrame | None = None
-    published_report: DataFrame | None = None
 
 
 @dataclass
@@ -162,10 +162,11 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
     history = materialise(B.upsert_by_key(inputs.events, facts, EVENT_KEY, [F.col("ingest_ord").desc()]))
 
     # scores of the companies this run touched, over their whole history
-    touched = keep_first(found, ["company_id"], [F.col("first_ord")]).select(
+    names = found.groupBy("company_id").agg(F.count(F.lit(1)).alias("n_candidates"))
+    touched = keep_first(found, ["company_id"], [F.col("first_ord")]).join(names, "company_id").select(
         "company_id", F.col("company_name").alias("_name"), F.col("homepage_confidence").alias("_hc"),
         F.col("hiring_status").alias("_hs"), F.col("hiring_confidence").alias("_hf"),
-        F.col("needs_review").alias("_review"), "extraction_confidence",
+        F.col("needs_review").alias("_review"), "extraction_confidence", "n_candidates",
     )
     rows = companies.drop(*MEASURED)
     rows = rows.join(touched, "company_id", "inner").withColumns(
@@ -186,14 +187,9 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
         ranked = ranked.withColumn("rank_change", F.lit(None).cast("int"))
     ranked = materialise(ranked)
 
-    report = Q.check_thresholds(
-        Q.build_quality_report(gated, ranked, facts, parsed, C.regions_frame(spark), C.bands_frame(spark))
-    )
-    old = inputs.published_report
-    if old is None:
-        old = report.filter("false")
-    report = materialise(Q.should_publish(Q.previous_report(report, old)))
-    verdict = report.select("publish", "publish_reason").first()
+    counters = Q.run_counters(articles, validated, gated)
+    stamp = now.cast("timestamp")
+    judged = judge_run(gated, ranked, facts, parsed, counters, inputs.runs, run_id, stamp, stamp)
 
     # confidence and funding facts are stored for every company; ranks only when published
     facts_cols = ["data_confidence", "data_completeness", "best_source_tier"]
@@ -201,23 +197,17 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
         "company_id", *facts_cols, F.col("funding_stage").alias("latest_funding_stage"),
         F.col("funding_amount_usd").alias("latest_funding_amount_usd"), "latest_funding_date", "total_disclosed_funding_usd",
     )
-    out = B.publish_ranking(B.upsert_by_key(companies, measured, ["company_id"]), ranked, verdict.publish)
-    counters = Q.run_counters(articles, validated, gated)
-    stamp = now.cast("timestamp")
-    run = B.record_run(
-        counters, run_id, stamp, stamp, F.lit("success" if verdict.publish else "success_with_warnings"),
-        F.lit(bool(verdict.publish)),
-    )
+    out = B.publish_ranking(B.upsert_by_key(companies, measured, ["company_id"]), ranked, judged.publish)
     return RefreshResult(
-        companies=out, events=history, ranked=ranked, gated=gated, report=report,
+        companies=out, events=history, ranked=ranked, gated=gated, report=judged.report,
         snapshots=B.snapshot_rows(ranked, stamp), provenance=B.field_provenance(decided, F.to_date(now)),
-        run=run, publish=bool(verdict.publish), reason=verdict.publish_reason,
+        run=judged.run, publish=judged.publish, reason=judged.reason,
         extras={"validated": validated, "found": found, "facts": facts, "numbered": numbered},
     )
 
 
 def store_refresh(result: RefreshResult, root: str, version: int) -> None:
-    """Write a run: companies and events as new versions, snapshots and the run row
+    """Write a run: companies and events as new versions, snapshots and, last of all, the closed run row
     appended. The ranking's version is made current only when the run publishes."""
     B.write_version(result.companies, f"{root}/companies", version)
     B.write_version(result.events, f"{root}/events", version)
@@ -225,9 +215,21 @@ def store_refresh(result: RefreshResult, root: str, version: int) -> None:
     if result.publish:
         B.append_snapshots(result.snapshots, f"{root}/snapshots", version)
     B.write_field_provenance(result.provenance, f"{root}/provenance", version)
-    B.append_run(result.run, f"{root}/runs", version)
+    B.append_run_state(result.run, f"{root}/runs")
+
 
+def refresh_stored(inputs: RefreshInputs, root: str, now: Column, run_id: str) -> RefreshResult:
+    """One run over the tables at ``root``: opened there, read from there where they exist (companies, events), compared
+    with the last published run there, and stored there. A run that raises leaves a failed row and all tables as they were."""
+    spark = inputs.articles.sparkSession
 
-def previous_publication(runs: DataFrame, reports: DataFrame) -> DataFrame:
-    """Report of the latest run that really published."""
-    return reports.join(latest_run(runs, published_only=True).select("run_id"), "run_id", "left_semi")
+    def work(runs: DataFrame) -> RefreshResult:
+        known = B.read_current(spark, f"{root}/companies"), B.read_current(spark, f"{root}/events")
+        stored = replace(inputs, runs=runs, companies=inputs.companies if known[0] is None else known[0], events=inputs.events if known[1] is None else known[1])
+        result = run_ranking_refresh(stored, now, run_id)
+        latest = B.current_version(spark, f"{root}/companies")
+        store_refresh(result, root, 0 if latest is None else latest + 1)
+        return result
+
+    stamp = now.cast("timestamp")
+    return within_run(spark, f"{root}/runs", run_id, stamp, stamp, work, lambda: dedupe_links(inputs.articles).count())

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-
-
-
 FEED_ITEM = (
     "source_name string, source_ord int, item_ord int, title string, summary string,"
     " description string, link string, published string"
@@ -22,3 +19,23 @@ IDENTITY_COLUMNS = [
     "company_id", "canonical_name", "normalized_name", "primary_domain", "headquarters_country", "description",
 ]
 ALIAS_COLUMNS = ["company_id", "normalized_alias"]
+QUALITY_REPORT = (
+    "generated_at timestamp, score_version string, run_status string, n_ranked long,"
+    " qualified_company_count_by_region map<string, long>, shortfall_by_region map<string, long>,"
+    " rejected_candidate_count_by_reason map<string, long>, missingness_by_field map<string, double>,"
+    " source_tier_distribution map<int, long>, invalid_homepage_count long, ambiguous_funding_count long,"
+    " valuation_shown_as_funding_count long, stale_record_count long, duplicate_candidates_detected long,"
+    " confidence_distribution map<string, long>, pct_ranked_with_confidence_ge_70 double,"
+    " pct_ranked_with_two_sources_or_authoritative double, pct_ranked_with_verified_headquarters double,"
+    " pct_ranked_with_verified_funding_dates double, pct_ranked_with_verified_employee_ranges double,"
+    " pct_ranked_with_verified_hiring_data double, pct_ranked_with_recent_verified_event double,"
+    " pct_ranked_with_verified_regional_assignment double, pct_ranked_with_valid_primary_domain double,"
+    " pct_material_funding_claims_with_evidence double, llm_extraction_failure_rate double,"
+    " provider_fallback_usage map<string, long>, passed_launch_thresholds boolean, threshold_failures array<string>"
+)
+RUN = (
+    "run_id string, workflow_type string, score_version string, started_at timestamp, finished_at timestamp,"
+    " run_status string, published boolean, articles_fetched long, candidates_extracted long, validation_failures long,"
+    " companies_accepted long, companies_rejected long, regional_result_counts map<string, long>,"
+    f" quality_report struct<{QUALITY_REPORT}>"
+)
