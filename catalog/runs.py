@@ -16,7 +16,7 @@ from catalog.registry import Tables, query
 from catalog.scores import SCORED_SQL, V1_POINTS, V1_SCORE
 from upswell import config as C
 from upswell.operators import claims as K
-from upswell.operators.tables import read_current
+from upswell.operators.merge import read_merged
 from upswell.plans.legacy import run_v1_refresh as run_v1
 from upswell.plans.news import run_news_refresh as run_news
 from upswell.plans.refresh import RefreshInputs, run_ranking_refresh as run_ranking
@@ -68,16 +68,16 @@ def pack_company_batches(t: Tables):
 @query(
     "run_news_refresh", "PIPE-3", "articles",
     ARTICLES_SQL + f""", top AS (SELECT * FROM firsts WHERE {RELEVANT_SQL} ORDER BY firsts.published_ts DESC NULLS LAST, source_ord, item_ord, link LIMIT 60),
-    old AS (SELECT link, min(published_ts) AS fetched_at FROM articles WHERE link <> '' GROUP BY 1)
-    SELECT coalesce(top.link, old.link) AS link, top.link IS NOT NULL AS is_new FROM old FULL JOIN top ON top.link = old.link
-    WHERE top.link IS NOT NULL OR old.fetched_at >= TIMESTAMP '2001-02-01 00:00:01' - INTERVAL 14 DAY""",
+    old AS (SELECT link, min(published_ts) AS fetched_at FROM articles WHERE link <> '' GROUP BY 1 HAVING min(published_ts) < TIMESTAMP '2001-01-31')
+    SELECT coalesce(top.link, old.link) AS link, old.link IS NULL AS is_new FROM old FULL JOIN top ON top.link = old.link
+    WHERE old.link IS NULL OR old.fetched_at >= TIMESTAMP '2001-02-01 00:00:01' - INTERVAL 14 DAY""",
 )
 def run_news_refresh(t: Tables):
     stored = t("articles").filter("link <> ''").groupBy("link").agg(
         F.min("published_ts").alias("fetched_at"), F.min("title").alias("title"), F.min("source_name").alias("source_name"),
         F.min("published_ts").alias("published_ts"),
-    )
-    # a refreshed link carries a later clock, so it can be told from a stored one
+    ).filter(F.col("fetched_at") < F.lit("2001-01-31").cast("timestamp"))
+    # a link seen for the first time carries a later clock, so it can be told from a stored one
     later = F.lit("2001-02-01 00:00:01").cast("timestamp")
     rows = run_news(t("articles"), stored, later, top_k=C.NEWS_TOP_K, keep_days=14)
     return rows.select("link", (F.col("fetched_at") == later).alias("is_new"))
@@ -280,5 +280,5 @@ def stream_event_upserts(t: Tables):
     root = fresh_folder(t, "events")
     run = write_events(source, f"{root}/table", f"{root}/state").trigger(availableNow=True).start()
     run.awaitTermination()
-    return read_current(t.spark, f"{root}/table")
+    return read_merged(t.spark, f"{root}/table")
 

@@ -1,5 +1,7 @@
 """Merges, versions, backfill, retention, streaming equality."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from upswell.operators.pages import candidate_links_v1
 from upswell.plans.news import run_news_refresh
 from upswell.sources import feeds as S
 from upswell.sources import stored
+from upswell.operators.merge import merge_into, read_merged
 from upswell.streaming import stream_event_upserts, stream_news, upsert_batch
 
 EVENTS = "company_id string, source_url string, event_type string, ingest_ord long, note string"
@@ -127,7 +130,7 @@ def test_event_stream_is_the_same_for_any_batching(spark, tmp_path, files):
         spark.createDataFrame(part, EVENTS).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(src)
     stream_event_upserts(stream, root, str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
-    got = {(r.company_id, r.source_url): r.ingest_ord for r in B.read_current(spark, root).collect()}
+    got = {(r.company_id, r.source_url): r.ingest_ord for r in read_merged(spark, root).collect()}
     want: dict = {}
     for c, u, _, o, _ in rows:
         want[c, u] = max(o, want.get((c, u), -1))
@@ -143,7 +146,7 @@ def test_event_stream_in_a_bad_order_and_with_a_new_checkpoint(spark, tmp_path):
     for part in (rows[40:], rows[:20], rows[20:40]):
         spark.createDataFrame(part, EVENTS).coalesce(1).write.mode("append").parquet(src)
     run = lambda state: stream_event_upserts(_stream(spark, src, EVENTS), root, str(tmp_path / state)).trigger(availableNow=True).start().awaitTermination()
-    got = lambda: {(r.company_id, r.source_url): r.ingest_ord for r in B.read_current(spark, root).collect()}
+    got = lambda: {(r.company_id, r.source_url): r.ingest_ord for r in read_merged(spark, root).collect()}
     want = {}
     for c, u, _, o, _ in rows:
         want[c, u] = max(o, want.get((c, u), -1))
@@ -195,3 +198,61 @@ def test_news_stream_and_refresh(spark, tmp_path):
     )
     got = {r.link for r in run_news_refresh(articles, news, F.lit("2026-01-04").cast("timestamp")).collect()}
     assert got == {"u0", "u1", "u2", "u3", "stay"}
+
+
+def _files(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet")}
+
+
+def test_a_merge_rewrites_touched_buckets_only(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = [(f"c{i}", i, "old") for i in range(200)]
+    merge_into(spark.createDataFrame(rows, "k string, v long, w string"), root, ["k"], buckets=16)
+    before = _files(f"{root}/table")
+    merge_into(spark.createDataFrame([("c7", 1000), ("fresh", 1)], "k string, v long"), root, ["k"])
+    after = _files(f"{root}/table")
+    assert 16 - 2 <= len(set(before) & set(after)) and all(before[f] == after[f] for f in set(before) & set(after))
+    want = {k: (v, w) for k, v, w in rows} | {"c7": (1000, "old"), "fresh": (1, None)}
+    assert {r.k: (r.v, r.w) for r in read_merged(spark, root).collect()} == want
+    some = spark.createDataFrame([("c7",)], "k string")
+    few = read_merged(spark, root, some, ["k"])
+    assert few.count() < 60 and few.filter("k = 'c7'").count() == 1
+    merge_into(spark.createDataFrame([], "k string, v long"), root, ["k"])
+    assert read_merged(spark, root).count() == 201 and read_merged(spark, str(tmp_path / "none")) is None
+
+
+def test_a_merge_lost_half_way_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    from upswell.operators import merge as M
+
+    root = str(tmp_path / "t")
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v long")
+    merge_into(frame([(f"c{i}", i) for i in range(50)]), root, ["k"], buckets=4)
+
+    def lost(rows, path):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(M, "_overwrite", lost)
+        with pytest.raises(OSError):
+            merge_into(frame([("c1", 111), ("x", 1)]), root, ["k"])
+    merge_into(frame([("c2", 222)]), root, ["k"])
+    got = {r.k: r.v for r in read_merged(spark, root).collect()}
+    assert got == {f"c{i}": i for i in range(50)} | {"c1": 111, "x": 1, "c2": 222}
+
+
+def test_columns_set_on_insert_and_newer_stored_rows(spark, tmp_path):
+    root = str(tmp_path / "t")
+    frame = lambda rows: spark.createDataFrame(rows, "k string, seen int, v string, o int")
+    for batch in ([("a", 1, "x", 5), ("b", 1, "x", 5)], [("a", 2, "y", 6), ("b", 2, "y", 4), ("c", 2, "y", 1)]):
+        merge_into(frame(batch), root, ["k"], keep=["seen"], newest="o", buckets=2)
+    assert {tuple(r) for r in read_merged(spark, root).collect()} == {("a", 1, "y", 6), ("b", 1, "x", 5), ("c", 2, "y", 1)}
+
+
+def test_a_headline_keeps_the_clock_of_its_first_sighting(spark):
+    news = spark.createDataFrame([("l", "t", "s", "2026-01-01", "2026-01-01")], "link string, title string, source_name string, p string, f string")
+    news = news.select("link", "title", "source_name", F.col("p").cast("timestamp").alias("published_ts"), F.col("f").cast("timestamp").alias("fetched_at"))
+    feed = spark.createDataFrame([("raises $8M in funding", "startup raises", "l", "S", 0, 0), ("raises $9M in funding", "startup raises", "m", "S", 0, 1)], "title string, summary string, link string, source_name string, source_ord int, item_ord int")
+    feed = feed.withColumn("published_ts", F.lit("2026-01-09").cast("timestamp"))
+    at = lambda d: {r.link: str(r.fetched_at)[:10] for r in run_news_refresh(feed, news, F.lit(d).cast("timestamp")).collect()}
+    assert at("2026-01-10") == {"l": "2026-01-01", "m": "2026-01-10"}
+    assert at("2026-01-16") == {"m": "2026-01-16"}

@@ -20,20 +20,30 @@ from upswell.functions.text import is_populated
 from upswell.operators.common import keep_first
 
 
-def upsert_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+def upsert_by_key(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None, keep: Sequence[str] = (), newest: str | None = None
+) -> DataFrame:
     """Insert or merge. Columns the batch lacks keep the stored value; of two batch rows
-    with one key the first in ``order`` is used."""
+    with one key the first in ``order`` is used.
+
+    Columns of ``keep`` are set on insert only: a stored row keeps its own. With ``newest`` a stored row
+    that has more of that column than the batch's stays as it is.
+    """
     keys = list(keys)
     new = keep_first(batch, keys, order) if order else batch.dropDuplicates(keys)
     new_cols = [c for c in new.columns if c not in keys]
     t = target.withColumn("_stored", F.lit(True))
     b = new.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in new_cols], F.lit(True).alias("_incoming"))
     joined = t.join(b, keys, "full_outer")
+    taken = F.coalesce("_incoming", F.lit(False))
+    if newest is not None:
+        taken = taken & F.coalesce(F.col(f"_new_{newest}") >= F.col(newest), F.lit(True))
     out = list(keys)
     for c in [x for x in target.columns if x not in keys] + [x for x in new_cols if x not in target.columns]:
         stored = F.col(c) if c in target.columns else F.lit(None)
         if c in new_cols:
-            out.append(F.when(F.col("_incoming"), F.col(f"_new_{c}")).otherwise(stored).alias(c))
+            use = taken & F.col("_stored").isNull() if c in keep else taken
+            out.append(F.when(use, F.col(f"_new_{c}")).otherwise(stored).alias(c))
         else:
             out.append(stored.alias(c))
     return joined.select(out)

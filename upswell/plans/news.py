@@ -15,10 +15,11 @@ def run_news_refresh(
 ) -> DataFrame:
     """Relevant headlines (the newest ``top_k``, or all) merged into the stored news by link; old ones dropped.
 
-    ``news`` has ``link, title, source_name, published_ts, fetched_at``.
+    ``news`` has ``link, title, source_name, published_ts, fetched_at``. ``fetched_at`` is when a link was first seen: a headline that
+    stays in a feed is dropped ``keep_days`` after that.
     """
     top = filter_relevant_news(dedupe_links(articles))
     if top_k is not None:
         top = latest_news(top, top_k)
     batch = top.select("link", "title", "source_name", "published_ts", now.alias("fetched_at"))
-    return prune_older_than(upsert_by_key(news, batch, ["link"]), "fetched_at", now, keep_days)
+    return prune_older_than(upsert_by_key(news, batch, ["link"], keep=["fetched_at"]), "fetched_at", now, keep_days)

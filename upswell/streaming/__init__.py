@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from upswell.operators.common import keep_first
+from upswell.operators.merge import merge_into
 from upswell.operators.tables import batch_done, current_version, read_current, upsert_by_key, write_version
 from upswell.sources.feeds import filter_relevant_news
 
@@ -44,17 +44,21 @@ def upsert_batch(root: str, keys: list[str] | None = None):
             return
         target = read_current(spark, root)
         if target is None:
-            stored, new = batch.limit(0), batch
-        else:
-            known = target.select(*key, F.col("ingest_ord").alias("_known"))
-            first = keep_first(batch, key, [F.col("ingest_ord").desc()])
-            stored, new = target, first.join(known, key, "left").filter("_known IS NULL OR ingest_ord >= _known").drop("_known")
+            target = batch.limit(0)
         following = 0 if version is None else version + 1
-        write_version(upsert_by_key(stored, new, key, [F.col("ingest_ord").desc()]), root, following if stream else batch_id, stream=stream, batch=batch_id)
+        write_version(upsert_by_key(target, batch, key, [F.col("ingest_ord").desc()], newest="ingest_ord"), root, following if stream else batch_id, stream=stream, batch=batch_id)
 
     return merge
 
 
-def stream_event_upserts(source: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that merges events by (company, source URL, type); call ``start`` on it."""
-    return source.writeStream.foreachBatch(upsert_batch(root)).option("checkpointLocation", checkpoint)
+def stream_event_upserts(source: DataFrame, root: str, checkpoint: str, buckets: int = 16) -> DataStreamWriter:
+    """Writer that merges events by (company, source URL, type); call ``start`` on it.
+
+    A micro-batch rewrites only the buckets of companies it holds. The row with the largest ``ingest_ord`` stays, so a batch that is sent
+    again, other cuts into batches and a new checkpoint folder all give the same table.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        merge_into(batch, root, EVENT_KEY, [F.col("ingest_ord").desc()], by=["company_id"], buckets=buckets, newest="ingest_ord")
+
+    return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
