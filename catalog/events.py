@@ -11,6 +11,7 @@ from upswell import config as C
 from upswell.operators import claims as K
 from upswell.operators import events as E
 from upswell.operators import resolve as R
+from upswell.operators.common import running_totals
 from upswell.operators.independence import independent_sources as count_independent
 
 _AMT = D.amount("evidence_text")
@@ -123,6 +124,25 @@ def independent_sources(t: Tables):
     return count_independent(E.event_sources(t("company_events")))
 
 
+@query(
+    "independent_sources_chain", "AGG-8", "",
+    """, chain AS (SELECT CASE WHEN o_orderstatus = 'P' THEN CAST(o_custkey AS VARCHAR) ELSE 'most' END AS company_id, o_orderkey AS i FROM orders),
+    numbered_chain AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY i) - 1 AS place FROM chain)
+    SELECT company_id, CAST((count(*) + 1) // 2 AS INT) AS independent_sources FROM numbered_chain GROUP BY 1""".replace(", chain AS", "WITH chain AS", 1),
+)
+def independent_sources_chain(t: Tables):
+    """One company holds most sources, and in every company each source shares its text or its domain with the one before it: every other one counts."""
+    company = F.when(F.col("o_orderstatus") == "P", F.col("o_custkey").cast("string")).otherwise("most")
+    rows = running_totals(t("orders").select(company.alias("company_id"), "o_orderkey", F.lit(1).alias("one")), ["company_id"], ["o_orderkey"], "one")
+    i = F.col("_upto") - 1
+    half = lambda c: F.floor(c / 2).cast("string")
+    sources = rows.select(
+        "company_id", F.concat(F.lit("https://s"), half(i + 1), F.lit(".com/"), F.col("o_orderkey").cast("string")).alias("url"), F.lit("x").alias("title"),
+        F.concat(F.lit("text "), half(i)).alias("body"), F.col("_upto").alias("ord"),
+    )
+    return count_independent(sources)
+
+
 @query(
     "content_fingerprint", "TXT-4", "",
     f"""SELECT content_hash, count(*) AS copies, min(doc_id) AS first_id FROM (SELECT doc_id, {D.fingerprint("''", 'text')} AS content_hash FROM documents) GROUP BY 1""",

@@ -5,7 +5,6 @@ from bisect import bisect_right
 
 from pyspark.sql import functions as F
 
-from upswell.operators import common
 from upswell.operators.common import with_row_index
 from upswell.operators.independence import independent_sources
 from upswell.operators.scoring import peer_percentile
@@ -41,14 +40,14 @@ def _sources(spark, companies, per_company, texts, sites, seed):
 
 def test_fold_and_rounds_agree_with_the_walk(spark):
     df, want = _sources(spark, 40, 60, 12, 12, 7)
-    for limit in (256, 0, 20):
+    for limit in (256, 20, 7):
         got = {r.company_id: r.independent_sources for r in independent_sources(df, limit).collect()}
         assert got == want
 
 
 def test_one_company_with_most_sources(spark):
     df, want = _sources(spark, 2, 900, 300, 200, 3)
-    got = {r.company_id: r.independent_sources for r in independent_sources(df, 32).collect()}
+    got = {r.company_id: r.independent_sources for r in independent_sources(df, 150).collect()}
     assert got == want
 
 
@@ -56,11 +55,21 @@ def test_sources_without_a_domain(spark):
     rows = [("1", "/rel-a", "x", "one", 1), ("1", "/rel-b", "x", "two", 2), ("1", "/rel-c", "x", "one", 3)]
     df = spark.createDataFrame(rows, "company_id string, url string, title string, body string, ord long")
     # a URL without a host still gives a registrable form of its text; compare both ways
-    for limit in (256, 0):
+    for limit in (256, 1):
         assert independent_sources(df, limit).first().independent_sources == independent_sources(df).first().independent_sources
 
 
-def test_percentile_over_many_slices(spark, monkeypatch):
+def test_a_long_chain_of_copies(spark):
+    """Each source is blocked by the one before it only, over all blocks."""
+    n = 400
+    rows = [("most", f"https://s{(i + 1) // 2}.com/{i}", "x", f"t{i // 2}", i) for i in range(n)] + [("few", "https://a.com/1", "x", "t", 1), (None, "https://a.com/1", "x", "t", 1)]
+    df = spark.createDataFrame(rows, "company_id string, url string, title string, body string, ord long").repartition(4)
+    for block in (1000, 130):
+        got = {r.company_id: r.independent_sources for r in independent_sources(df, block).collect()}
+        assert got == {"most": n // 2, "few": 1, None: 1}
+
+
+def test_percentile_over_many_slices(spark):
     rng = random.Random(5)
     rows = []
     for i in range(4000):
@@ -86,11 +95,24 @@ def test_percentile_over_many_slices(spark, monkeypatch):
         n, below = (len(values) - eq, le - eq) if exclude else (len(values), le)
         return round(100.0 * below / n) if n >= 5 else None
 
-    for splitters in (255, 3):
-        monkeypatch.setattr(common, "SPLITTERS", splitters)
+    for coalesced in ("true", "false"):  # one range partition, or eight
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
         for exclude in (True, False):
             got = {r.company_id: r.peer_percentile for r in peer_percentile(df, exclude_equal=exclude).collect()}
             assert got == {c: want(s, r, a, exclude) for c, s, r, a in rows}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_plan_of_the_percentile(spark, tmp_path):
+    df = spark.range(1000).selectExpr("cast(id as string) company_id", "'seed' funding_stage", "'US' region_bucket", "cast(id % 90 as double) funding_amount_usd")
+    df.write.parquet(str(tmp_path / "rows"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = peer_percentile(spark.read.parquet(str(tmp_path / "rows")))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one shuffle to count and one to range-partition come before, in the stored frame
+    assert plan.count("Exchange") + 2 <= 12 and plan.count("FileScan") <= 3
 
 
 def test_row_index_is_gap_free_and_ordered(spark):

@@ -7,11 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from upswell.session import materialise
-
-# Distinct values kept per cohort to cut it into slices; a fixed bound.
-SPLITTERS = 255
-SALTS = 64
+from upswell.session import materialise, stored
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -51,40 +47,28 @@ def with_row_index(df: DataFrame, order: Sequence[Column], name: str = "row_inde
     )
 
 
-def cohort_ranks(df: DataFrame, cohort: Sequence[str], value: str) -> DataFrame:
-    """Per distinct (cohort, value): rows equal to it, rows at or below it, cohort size.
+def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], weight: str) -> DataFrame:
+    """Adds ``_upto`` (sum of ``weight`` in the group up to the row, by ``order``) and ``_total`` (of the group). Rows are unique by group and order.
 
-    A cohort may hold a third of all rows, so no task sorts a whole one: equal
-    values are counted first, each cohort is cut into slices by up to
-    ``SPLITTERS`` of its own values (the ones with the smallest hash, so the cut
-    is the same on every run), and slice totals are added to counts within slices.
+    A group may hold a third of all rows, so no task sorts a whole one: rows are range-partitioned by group and order and stored once, sums
+    run within a partition, and the totals of a group's earlier partitions (a frame of one row per group and partition) are added.
     """
-    cohort = list(cohort)
-    counts = df.groupBy(*cohort, value).agg(F.count(F.lit(1)).alias("n_equal"))
-    by_hash = Window.partitionBy(*cohort).orderBy(F.xxhash64(value), F.col(value))
-    cuts = (
-        counts.withColumn("_nth", F.row_number().over(by_hash))
-        .filter(F.col("_nth") <= SPLITTERS)
-        .groupBy(*cohort)
-        .agg(F.collect_list(value).alias("_cuts"))
-    )
-    # each cohort's cut list goes to SALTS places, so a large cohort is not one join task
-    placed = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
-    sliced = salted.join(placed, [*cohort, "_salt"]).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda s: s <= F.col(value)))
-    ).drop("_cuts", "_salt")
-    totals = sliced.groupBy(*cohort, "_slice").agg(F.sum("n_equal").alias("_n"))
-    before = Window.partitionBy(*cohort).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    group, order = list(group), list(order)
+    cut = stored(df.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id()))
+    totals = cut.groupBy(*group, "_part").agg(F.sum(weight).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *cohort, "_slice",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*cohort)).alias("n_cohort"),
-    )
-    within = Window.partitionBy(*cohort, "_slice").orderBy(value)
-    return (
-        sliced.withColumn("_within", F.sum("n_equal").over(within))
-        .join(offsets, [*cohort, "_slice"])
-        .withColumn("n_at_or_below", F.col("_before") + F.col("_within"))
-        .drop("_slice", "_within", "_before")
+        *[F.col(c).alias(f"_of_{c}") for c in group], F.col("_part").alias("_of_part"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy(*group)).alias("_total"),
     )
+    within = Window.partitionBy(*group, "_part").orderBy(*order)
+    summed = cut.withColumn("_upto", F.sum(weight).over(within))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group] + [F.col("_part") == F.col("_of_part")]
+    joined = summed.join(offsets, same).withColumn("_upto", F.col("_before") + F.col("_upto"))
+    return joined.select(*df.columns, "_upto", "_total")
+
+
+def cohort_ranks(df: DataFrame, cohort: Sequence[str], value: str) -> DataFrame:
+    """Per distinct (cohort, value): rows equal to it, rows at or below it, cohort size. Equal values are counted before anything is sorted."""
+    counts = df.groupBy(*cohort, value).agg(F.count(F.lit(1)).alias("n_equal"))
+    return running_totals(counts, cohort, [value], "n_equal").withColumnsRenamed({"_upto": "n_at_or_below", "_total": "n_cohort"})

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upswell.functions.text import fingerprint
 from upswell.functions.urls import canonical_url, registrable_domain
-from upswell.session import materialise
+from upswell.operators.common import running_totals
+from upswell.session import stored
 
-# Largest number of distinct (text, domain) pairs one row may hold; companies
-# above it take the round-by-round way, which gives the same count.
-FOLD_LIMIT = 256
+# Distinct (text, domain) pairs of one company that one task walks at a time.
+BLOCK = 1_000_000
 
 
 def source_pairs(sources: DataFrame) -> DataFrame:
@@ -37,79 +40,64 @@ def source_pairs(sources: DataFrame) -> DataFrame:
     ).agg(F.min(F.struct(F.col("_first.ord").alias("ord"), "link")).alias("pos"))
 
 
-def _fold(pairs: DataFrame) -> DataFrame:
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "text_hash", "site")))
-    none = F.array().cast("array<string>")
-    seen = F.aggregate(
-        ordered,
-        F.struct(none.alias("texts"), none.alias("sites")),
-        lambda acc, s: F.when(
-            F.array_contains(acc["texts"], s["text_hash"])
-            | F.coalesce(F.array_contains(acc["sites"], s["site"]), F.lit(False)),
-            acc,
-        ).otherwise(
-            F.struct(
-                F.array_append(acc["texts"], s["text_hash"]).alias("texts"),
-                F.when(s["site"].isNull(), acc["sites"])
-                .otherwise(F.array_append(acc["sites"], s["site"]))
-                .alias("sites"),
-            )
-        ),
-        lambda acc: F.size(acc["texts"]),
-    )
-    return pairs.groupBy("company_id").agg(seen.alias("independent_sources"))
+def _walk(counts_only: bool):
+    """The ordered walk over rows sorted by company and position: the pairs that count, or how many per company.
+
+    What was used is kept for the company at hand only.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        company, texts, sites = None, set(), set()
+        for batch in batches:
+            names, hashes, places = (batch.column(c).to_pylist() for c in ("company_id", "text_hash", "site"))
+            kept = []
+            for i, (name, text, site) in enumerate(zip(names, hashes, places)):
+                if name != company:
+                    company, texts, sites = name, set(), set()
+                if text in texts or site in sites:
+                    continue
+                texts.add(text)
+                if site is not None:
+                    sites.add(site)
+                kept.append(i)
+            chosen = batch.take(pa.array(kept, pa.int64()))
+            if counts_only:
+                yield chosen.select(["company_id"])
+            else:
+                yield chosen.select(["company_id", "text_hash", "site"])
 
-def _rounds(pairs: DataFrame) -> DataFrame:
-    """The ordered walk as rounds over all companies at once.
+    return run
 
-    A source that comes first both for its text and for its domain is certain to
-    count; every source sharing either with it is then out. Repeat on the rest.
-    Each round settles at least the first open source of every company.
-    """
-    live = pairs
-    counted = None
-    while True:
-        first_text = live.groupBy("company_id", "text_hash").agg(F.min("pos").alias("pos"))
-        first_site = (
-            live.filter(F.col("site").isNotNull())
-            .groupBy("company_id", "site")
-            .agg(F.min("pos").alias("pos"))
-        )
-        leads = live.join(first_text, ["company_id", "text_hash", "pos"], "left_semi")
-        chosen = materialise(
-            leads.filter(F.col("site").isNull()).unionByName(
-                leads.join(first_site, ["company_id", "site", "pos"], "left_semi").select(leads.columns)
-            )
-        )
-        n = chosen.groupBy("company_id").agg(F.count(F.lit(1)).alias("n"))
-        counted = n if counted is None else counted.unionByName(n)
-        live = materialise(
-            live.join(chosen.select("company_id", "text_hash").distinct(), ["company_id", "text_hash"], "left_anti")
-            .join(
-                chosen.filter(F.col("site").isNotNull()).select("company_id", "site").distinct(),
-                ["company_id", "site"],
-                "left_anti",
-            )
-            .select(pairs.columns)
-        )
-        if live.isEmpty():
-            break
-    return counted.groupBy("company_id").agg(F.sum("n").cast("int").alias("independent_sources"))
-
-
-def independent_sources(sources: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+
+def independent_sources(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     """``company_id, independent_sources`` from ``company_id, url, title, body, ord``.
 
     Walks a company's sources in ``ord`` order; one counts unless its URL, text or
-    domain was seen on a counted one. Stores the reduced pairs once and looks at
-    the number of large companies, so it runs a job when called.
+    domain was seen on a counted one. Each source depends on all earlier ones, so the walk is in order, but in blocks: block k of every
+    company is walked in round k, all companies at once, after the pairs that share a text or domain with what earlier rounds counted are taken out.
+    There are as many rounds as the largest company has blocks of distinct (text, domain) pairs, one for up to ``block`` of them, and no
+    task holds more than a block of one company.
     """
-    pairs = materialise(source_pairs(sources))
-    sizes = pairs.groupBy("company_id").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.filter(F.col("n") > fold_limit)
-    if large.isEmpty():
-        return _fold(pairs)
-    small_rows = pairs.join(large, "company_id", "left_anti")
-    large_rows = materialise(pairs.join(large, "company_id", "left_semi"))
-    return _fold(small_rows).unionByName(_rounds(large_rows))
+    pairs = stored(source_pairs(sources))
+    most = pairs.groupBy("company_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first().n or 0
+    rounds = max(1, -(-most // block))
+    if rounds > 1:
+        numbered = running_totals(pairs.withColumn("_one", F.lit(1)), ["company_id"], ["pos"], "_one")
+        pairs = stored(numbered.withColumn("_round", F.floor((F.col("_upto") - 1) / block)).drop("_one", "_upto", "_total"))
+    else:
+        pairs = pairs.withColumn("_round", F.lit(0))
+    used, counted = None, None
+    for k in range(rounds):
+        live = pairs.filter(F.col("_round") == k)
+        if used is not None:
+            live = live.join(used.select("company_id", "text_hash").distinct(), ["company_id", "text_hash"], "left_anti")
+            live = live.join(used.filter("site IS NOT NULL").select("company_id", "site").distinct(), ["company_id", "site"], "left_anti")
+        rows = live.select("company_id", "pos", "text_hash", "site").repartition("company_id").sortWithinPartitions("company_id", "pos").drop("pos")
+        last = k == rounds - 1
+        chosen = rows.mapInArrow(_walk(last), "company_id string" if last else "company_id string, text_hash string, site string")
+        if not last:
+            chosen = stored(chosen)
+            used = chosen if used is None else used.unionAll(chosen)
+        ids = chosen.select("company_id")
+        counted = ids if counted is None else counted.unionAll(ids)
+    return counted.groupBy("company_id").agg(F.count(F.lit(1)).cast("int").alias("independent_sources"))
