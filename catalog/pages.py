@@ -287,3 +287,20 @@ def enrich_companies(t: Tables):
         "group_key", "homepage", "homepage_confidence", "primary_domain", "hiring_status", "hiring_confidence",
         "verified_open_role_count",
     )
+
+
+@query(
+    "enrich_recrawled", "PIPE-6 JOIN-8 JOIN-9", "site_groups site_articles crawl",
+    ENRICH_SQL + """ SELECT group_key, homepage, homepage_confidence, primary_domain, coalesce(hiring_status, 'unknown') AS hiring_status,
+      coalesce(hiring_confidence, 0) AS hiring_confidence, verified_open_role_count FROM site_groups LEFT JOIN homes USING (group_key) LEFT JOIN hiring USING (group_key)""",
+)
+def enrich_recrawled(t: Tables):
+    """Every page was crawled before, with another response and another text: only the last fetch counts."""
+    now = t("crawl").withColumn("fetch_ord", F.lit(2))
+    status = F.when(F.col("status_code") < 400, 404).otherwise(200)
+    before = now.withColumns({"fetch_ord": F.lit(1), "status_code": status, "html": F.concat(F.lit("<p>we are hiring, 9 open roles</p>"), F.coalesce("html", F.lit("")))})
+    rows = W.enrich_companies(t("site_groups"), t("site_articles"), before.unionByName(now))
+    return rows.select(
+        "group_key", "homepage", "homepage_confidence", "primary_domain", "hiring_status", "hiring_confidence",
+        "verified_open_role_count",
+    )

@@ -223,6 +223,36 @@ def run_ranking_refresh(t: Tables):
     )
 
 
+@query(
+    "run_refresh_snapshots", "PIPE-1 SNK-6 WIN-1", RUN_INPUTS,
+    RUN_SQL + """ SELECT company_id, region_bucket, regional_rank, momentum_score, data_confidence, 'v2' AS score_version FROM ranked""",
+)
+def run_refresh_snapshots(t: Tables):
+    result = run_ranking(refresh_inputs(t), t.now, "run-1")
+    return result.snapshots.select("company_id", "region_bucket", "regional_rank", "momentum_score", "data_confidence", "score_version")
+
+
+@query(
+    "run_refresh_report", "PIPE-1 QLT-2 SNK-12 SNK-7", RUN_INPUTS,
+    RUN_SQL + """ SELECT 'run-1' AS run_id, (SELECT count(*) FROM ranked) AS n_ranked, (SELECT count(*) FROM ranked WHERE region_bucket = 'US') AS ranked_us,
+      (SELECT count(*) FROM gated WHERE list_contains(reasons, 'data confidence too low')) AS low_confidence, (SELECT count(*) FROM gated WHERE days_since_verified > 90) AS stale,
+      (SELECT round_even(100.0::DOUBLE * count(*) FILTER (WHERE data_confidence >= 70) / greatest(count(*), 1), 1) FROM ranked) AS pct_conf,
+      (SELECT count(*) FROM valued WHERE final_type IN ('funding_round_completed', 'funding_round_announced') AND usd IS NOT NULL AND statement_class = 'valuation') AS shown_valuations,
+      (SELECT count(*) FROM touched) AS companies""",
+)
+def run_refresh_report(t: Tables):
+    """The report as it is stored with the closed run row."""
+    result = run_ranking(refresh_inputs(t), t.now, "run-1")
+    r = F.col("quality_report")
+    at = lambda m, k: F.coalesce(F.try_element_at(r[m], F.lit(k)), F.lit(0))
+    return result.run.select(
+        "run_id", r["n_ranked"].alias("n_ranked"), F.col("regional_result_counts")["US"].alias("ranked_us"),
+        at("rejected_candidate_count_by_reason", "data confidence too low").alias("low_confidence"), r["stale_record_count"].alias("stale"),
+        r["pct_ranked_with_confidence_ge_70"].alias("pct_conf"), r["valuation_shown_as_funding_count"].alias("shown_valuations"),
+        (F.col("companies_accepted") + F.col("companies_rejected")).alias("companies"),
+    )
+
+
 @query(
     "record_run", "SNK-7 AGG-22", RUN_INPUTS,
     RUN_SQL + """ SELECT 'run-1' AS run_id, (SELECT count(*) FROM run_numbered) AS articles_fetched, (SELECT count(*) FROM acc) AS candidates_extracted,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from upswell.operators import quality as Q
 from upswell.operators import tables as B
+from upswell.operators.merge import read_merged
 from upswell.plans.legacy import run_v1_refresh
 from upswell.plans.refresh import RefreshInputs, refresh_stored, run_ranking_refresh, store_refresh
 from upswell.plans.runs import judge_run, published_report
@@ -84,7 +85,7 @@ def test_refresh_and_second_run(spark, tmp_path):
     assert B.read_current(spark, str(tmp_path / "out/companies")).count() == 4
 
     again = run_ranking_refresh(
-        _inputs(spark, B.read_current(spark, str(tmp_path / "out/companies")), B.read_current(spark, str(tmp_path / "out/events"))), now, "r2"
+        _inputs(spark, B.read_current(spark, str(tmp_path / "out/companies")), read_merged(spark, str(tmp_path / "out/events"))), now, "r2"
     )
     assert again.companies.count() == 4 and again.events.count() == 4
     second = {(r.canonical_name, r.momentum_score, r.regional_rank) for r in again.ranked.collect()}
@@ -147,7 +148,7 @@ def test_runs_over_one_root(spark, tmp_path, monkeypatch):
     assert report.threshold_failures == [] and report.passed_launch_thresholds and report.duplicate_candidates_detected == 0
     assert report.rejected_candidate_count_by_reason and report.missingness_by_field["founders"] == 100.0
     assert published_report(B.read_runs(spark, f"{root}/runs")).first().generated_at == report.generated_at
-    assert B.read_current(spark, f"{root}/companies").count() == 4 and B.read_current(spark, f"{root}/events").count() == 4
+    assert B.read_current(spark, f"{root}/companies").count() == 4 and read_merged(spark, f"{root}/events").count() == 4
     assert B.current_version(spark, f"{root}/ranking") == 2
 
 

@@ -136,9 +136,6 @@ def attach_sources(claims: DataFrame, numbered: DataFrame) -> DataFrame:
     return claims.join(cited, ["batch_id", "source_index"], "left")
 
 
-REQUIRED_FIELDS = ["confidence", "event_type", "evidence_excerpt", "source_index", "status", "value"]
-
-
 def validate_claims(attached: DataFrame) -> DataFrame:
     """Add ``overlap``, ``errors`` and ``accepted``; broken claims are marked, never repaired."""
     col = F.col
@@ -150,7 +147,7 @@ def validate_claims(attached: DataFrame) -> DataFrame:
     material = F.coalesce(col("event_type").isin(C.MATERIAL_EVENT_TYPES), F.lit(False))
     tests: list[tuple[Column, str]] = []
     if "present" in attached.columns:
-        lacking = F.size(F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]), F.col("present"))) > 0
+        lacking = F.size(F.array_except(F.array(*[F.lit(f) for f in C.REQUIRED_FIELDS]), F.col("present"))) > 0
         tests.append((lacking, "missing required field"))
     tests += [
         (no(col("event_type").isin(C.EVENT_TYPES)), "unsupported event type"),
@@ -173,10 +170,6 @@ def accepted_claims(validated: DataFrame) -> DataFrame:
     return validated.filter("accepted").drop("errors", "accepted", "overlap", "source_text")
 
 
-def rejected_claims(validated: DataFrame) -> DataFrame:
-    return validated.filter("not accepted")
-
-
 def with_group_key(claims: DataFrame) -> DataFrame:
     """Claims with a usable company name, keyed by its normal form."""
     named = claims.filter(squash(text_or_empty(F.col("company_name"))) != "")

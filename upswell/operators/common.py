@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from upswell.session import materialise, stored
+from upswell.session import stored
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -29,22 +29,17 @@ def spread_nulls(key: Column, row_id: Column) -> Column:
 def with_row_index(df: DataFrame, order: Sequence[Column], name: str = "row_index") -> DataFrame:
     """Gap-free 0-based index in a global order, without one task seeing all rows.
 
-    Range-sort, keep each partition's own row numbers, add the sizes of the
-    partitions before it. The sorted rows are stored first so that both passes
-    see the same partitions; the offsets frame has one row per partition.
+    Only the order's own columns are sorted and stored; the rows, whatever they carry, are joined to them once. Rows that are equal in
+    the order follow one another in any order.
     """
-    cut = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-    cut = materialise(
-        cut.withColumn("_part", F.shiftright("_id", 33)).withColumn("_pos", F.col("_id").bitwiseAND((1 << 33) - 1))
-    )
-    sizes = cut.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (
-        cut.join(offsets, "_part")
-        .withColumn(name, F.col("_before") + F.col("_pos"))
-        .drop("_id", "_part", "_pos", "_n", "_before")
-    )
+    keys = [f"_k{i}" for i in range(len(order))]
+    keyed = df.withColumns(dict(zip(keys, order)))
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    places = running_totals(counts, [], keys, "_n").select(*[F.col(k).alias(f"_of{k}") for k in keys], (F.col("_upto") - F.col("_n")).alias("_first"), F.col("_n").alias("_many"))
+    rows = keyed.join(places, [F.col(k).eqNullSafe(F.col(f"_of{k}")) for k in keys])
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    index = F.when(F.col("_many") == 1, F.col("_first")).otherwise(F.col("_first") + nth - 1)
+    return rows.withColumn(name, index).select(*df.columns, name)
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], weight: str) -> DataFrame:

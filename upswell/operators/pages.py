@@ -11,7 +11,7 @@ from upswell import config as C
 from upswell.functions import text as X
 from upswell.functions import urls as U
 from upswell.operators.common import keep_first
-from upswell.session import materialise
+from upswell.session import stored
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -245,31 +245,65 @@ def best_careers_page(scored: DataFrame) -> DataFrame:
     )
 
 
-def unique_pages(pages: DataFrame) -> DataFrame:
-    """One crawled row per URL, the last fetched."""
-    return keep_first(pages, ["url"], [F.col("fetch_ord").desc()])
+def page_features(pages: DataFrame) -> DataFrame:
+    """One narrow row per crawled URL, that of its last fetch: response, links, and what a careers page shows.
+
+    All of it is computed where a page is read; bodies are not shuffled. ``fetch_ord`` orders the fetches of a URL; where it is
+    missing, or equal, the choice follows the response. ``_fetch`` and ``_body`` find the row again among the pages.
+    """
+    last = F.coalesce(F.col("fetch_ord"), F.lit(-1)) if "fetch_ord" in pages.columns else F.lit(-1)
+    keyed = pages.withColumns({"_fetch": last.cast("long"), "_body": F.xxhash64("html")})
+    # only pages at one of the fixed paths can be careers pages; the text of others is not looked at
+    at_path = F.coalesce(F.col("url").rlike("(?:" + "|".join(C.CAREERS_PATHS) + ")$"), F.lit(False))
+    signal = careers_signal(keyed.withColumn("_careers", F.when(at_path, F.col("html"))), "_careers")
+    narrow = signal.select(
+        "url", "final_url", "status_code", "content_type", "_fetch", "_body", U.absolute_links(F.col("html")).alias("links"),
+        *[F.when(at_path, F.col(c)).alias(c) for c in ("hiring_status", "hiring_confidence", "open_role_count")],
+    )
+    return keep_first(narrow, ["url"], [F.col("_fetch").desc(), F.col("status_code"), F.col("final_url"), F.col("_body")])
+
+
+def _usable_links(named: DataFrame) -> DataFrame:
+    """Candidate links of (group_key, company_name, phase, links), each once a company and phase."""
+    links = named.select("group_key", "company_name", "phase", F.posexplode("links").alias("link_ord", "link"))
+    web = links.filter(F.col("link").rlike("^https?://") & U.registrable_domain(F.col("link")).isNotNull())
+    usable = denylist_links(drop_asset_and_tracking_links(web))
+    return usable.groupBy("group_key", "company_name", "link", "phase").agg(F.min("link_ord").alias("link_ord"))
 
 
 def enrich_companies(groups: DataFrame, articles: DataFrame, pages: DataFrame) -> DataFrame:
     """Homepage, its confidence and domain, and the hiring signal of each company.
 
-    Links of the article summary come first; the links of the article page are
-    tried only for companies that got no valid homepage from the summary.
+    Links of the article summary come first; the links of the article page count
+    only for companies that got no valid homepage from the summary. A URL that was crawled more than once counts as last fetched.
+
+    What does not depend on a company is computed per page or article before any join (``page_features``). Bodies cross one shuffle, to the
+    candidate links whose response is a page: only there is the text searched for a company's name.
     """
     named = groups.select("group_key", "company_name", "source_url")
-
-    def resolve(links: DataFrame) -> DataFrame:
-        return best_homepage(homepage_confidence(homepage_candidates(links, pages)))
-
-    summaries = attach_articles(named, articles).withColumnRenamed("article_summary", "html")
-    # both results are one narrow row per company and are read more than once; stored,
-    # the page bodies behind them are joined a single time
-    first = materialise(resolve(extract_links(summaries)))
-    rest = named.join(first, "group_key", "left_anti")
-    article_page = pages.select(F.col("url").alias("source_url"), "html")
-    second = resolve(extract_links(rest.join(article_page, "source_url", "inner")))
-    homepages = materialise(first.unionByName(second))
-    hiring = best_careers_page(careers_signal(careers_pages(homepages, pages)))
+    features = stored(page_features(pages))
+    summaries = articles.select(F.col("link").alias("source_url"), U.absolute_links(F.col("summary")).alias("links"), F.lit(1).alias("phase"))
+    bodies = features.select(F.col("url").alias("source_url"), "links", F.lit(2).alias("phase"))
+    found = _usable_links(named.join(summaries.unionAll(bodies), "source_url"))
+    response = features.select(F.col("url").alias("link"), "final_url", "status_code", "content_type", "_fetch", "_body")
+    candidates = found.join(response, "link")
+    last = F.coalesce(F.col("fetch_ord"), F.lit(-1)) if "fetch_ord" in pages.columns else F.lit(-1)
+    texts = pages.filter("status_code < 400").select(F.col("url").alias("link"), last.cast("long").alias("_fetch"), F.xxhash64("html").alias("_body"), "html")
+    fetched = candidates.filter("status_code < 400").join(texts, ["link", "_fetch", "_body"])
+    scored = homepage_confidence(fetched).filter("valid")
+    best = F.min_by(
+        F.struct("link", "confidence", "final_domain"),
+        F.struct("phase", -F.col("confidence"), F.length("link"), F.col("link_ord"), F.col("link")),
+    )
+    homepages = stored(
+        scored.groupBy("group_key").agg(best.alias("_best")).select(
+            "group_key", F.col("_best.link").alias("homepage"), F.col("_best.confidence").alias("homepage_confidence"), F.col("_best.final_domain").alias("primary_domain"),
+        )
+    )
+    paths = F.array(*[F.lit(p) for p in C.CAREERS_PATHS])
+    wanted = homepages.select("group_key", F.posexplode(paths).alias("path_ord", "path"), F.regexp_replace("homepage", "/+$", "").alias("_base"))
+    signals = features.filter("status_code < 400 AND hiring_status IS NOT NULL").select(F.col("url").alias("_url"), "hiring_status", "hiring_confidence", "open_role_count")
+    hiring = best_careers_page(wanted.join(signals, F.concat("_base", "path") == F.col("_url")))
     out = named.join(homepages, "group_key", "left").join(hiring, "group_key", "left")
     return out.withColumn("hiring_status", F.coalesce("hiring_status", F.lit("unknown"))).withColumn(
         "hiring_confidence", F.coalesce("hiring_confidence", F.lit(0))

@@ -154,7 +154,3 @@ def mirrored_copies(hashed: DataFrame, order: str) -> DataFrame:
     return hashed.groupBy("content_hash").agg(
         F.count(F.lit(1)).alias("copies"), F.min(order).alias("first_id")
     )
-
-
-def keep_first_company(rows: DataFrame) -> DataFrame:
-    return keep_first(rows, ["company_id"], [F.col("first_ord")])

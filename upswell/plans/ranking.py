@@ -9,7 +9,7 @@ from upswell import config as C
 from upswell.operators import scoring as P
 from upswell.operators.events import event_sources
 from upswell.operators.independence import independent_sources
-from upswell.session import materialise
+from upswell.session import stored
 
 
 def score_companies(
@@ -34,7 +34,7 @@ def score_companies(
         rows = rows.withColumn(c, F.coalesce(c, zero))
     # the peer comparison reads its input several times; one row per company is stored
     # once so that none of those reads goes back to the event history
-    rows = materialise(rows)
+    rows = stored(rows)
     rows = P.stage_adjusted_funding(rows, thresholds)
     rows = P.corroboration_component(P.moat_component(P.hiring_momentum(rows)))
     return P.primary_domain_verified(P.data_confidence(P.completeness(rows)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +17,10 @@ from upswell.operators import ranking as G
 from upswell.operators import resolve as R
 from upswell.operators import tables as B
 from upswell.operators.common import keep_first
+from upswell.operators.merge import merge_into, read_merged
 from upswell.plans.ranking import score_companies
 from upswell.plans.runs import judge_run, within_run
-from upswell.session import materialise
+from upswell.session import stored
 from upswell.sources.feeds import dedupe_links
 from upswell.sources.stored import scan_aliases, scan_event_history, scan_identity
 
@@ -45,13 +47,14 @@ MEASURED = [
 @dataclass
 class RefreshInputs:
     """Landed and stored frames of one run. Either ``responses`` (batch_id, provider,
-    content; batches as numbered by the run) or ``extractor`` must be there."""
+    content; batches as numbered by the run) or ``extractor`` must be there. ``events`` is the
+    stored history, or a function that gives it for the companies (company_id) of a frame."""
 
     articles: DataFrame
     pages: DataFrame
     companies: DataFrame
     aliases: DataFrame
-    events: DataFrame
+    events: DataFrame | Callable[[DataFrame], DataFrame]
     responses: DataFrame | None = None
     extractor: K.Extractor | None = None
     runs: DataFrame | None = None
@@ -61,7 +64,7 @@ class RefreshInputs:
 @dataclass
 class RefreshResult:
     companies: DataFrame
-    events: DataFrame
+    events: DataFrame  # history of the companies this run touched
     ranked: DataFrame
     gated: DataFrame
     report: DataFrame
@@ -123,7 +126,7 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
     once in the shared folder; the driver sees single-row decisions only."""
     spark: SparkSession = inputs.articles.sparkSession
     articles = dedupe_links(inputs.articles)
-    numbered = materialise(K.number_articles(articles))
+    numbered = K.number_articles(articles)
 
     # answers: a model call is made once per batch, so its result is stored
     answers = inputs.responses
@@ -131,20 +134,21 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
         if inputs.extractor is None:
             raise ValueError("give responses or an extractor")
         answers = K.apply_extractor(K.pack_batches(numbered), inputs.extractor)
-    parsed = materialise(K.parse_responses(answers))
+    parsed = stored(K.parse_responses(answers))
     failure = Q.batch_failure_rate(parsed).first()
     if failure.all_failed:
         raise RuntimeError(f"every extraction batch failed ({failure.n_failed}/{failure.n_batches})")
 
-    validated = materialise(K.validate_claims(K.attach_sources(K.explode_claims(parsed), numbered)))
+    # the cited texts are compared with once and not stored
+    validated = stored(K.validate_claims(K.attach_sources(K.explode_claims(parsed), numbered)).drop("source_text"))
     accepted = K.with_group_key(K.accepted_claims(validated))
-    groups = materialise(K.group_claims(accepted))
+    groups = stored(K.group_claims(accepted))
     enriched = W.enrich_companies(groups, articles, inputs.pages).drop("company_name", "source_url")
     located = K.region_bucket(K.classify_region(R.attach_enrichment(groups, enriched)))
     candidates = located.withColumn("candidate_id", F.col("group_key")).withColumn(
         "headquarters_country", F.lit(None).cast("string")
     )
-    found = materialise(
+    found = stored(
         R.assign_company_ids(
             R.resolve_entities(candidates, scan_identity(inputs.companies), scan_aliases(inputs.aliases))
         )
@@ -159,9 +163,11 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
     claims = R.own_domain_flag(claims, found.select("group_key", "primary_domain"), "group_key")
     tiered = R.classify_source_tiers(claims, C.tiers_frame(spark))
     facts = E.event_facts(tiered, C.rates_frame(spark))
-    history = materialise(B.upsert_by_key(inputs.events, facts, EVENT_KEY, [F.col("ingest_ord").desc()]))
+    # of the stored history only that of the companies this run touched is read
+    known = inputs.events(found) if callable(inputs.events) else scan_event_history(inputs.events, found)
+    history = stored(B.upsert_by_key(known, facts, EVENT_KEY, [F.col("ingest_ord").desc()]))
 
-    # scores of the companies this run touched, over their whole history
+    # scores of these companies over their whole history
     names = found.groupBy("company_id").agg(F.count(F.lit(1)).alias("n_candidates"))
     touched = keep_first(found, ["company_id"], [F.col("first_ord")]).join(names, "company_id").select(
         "company_id", F.col("company_name").alias("_name"), F.col("homepage_confidence").alias("_hc"),
@@ -177,15 +183,15 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
         }
     ).drop("_name", "_hc", "_hs", "_hf", "_review", "resolution_confidence")
     scored = score_companies(
-        rows, scan_event_history(history, touched).drop("extraction_confidence"), C.stage_thresholds_frame(spark), now
+        rows, history.drop("extraction_confidence"), C.stage_thresholds_frame(spark), now
     )
-    gated = materialise(G.eligibility_gate(scored))
+    gated = stored(G.eligibility_gate(scored))
     ranked = G.rank_regions(gated.filter("eligible"))
     if inputs.snapshots is not None:
         ranked = G.previous_rank(ranked, inputs.snapshots, now)
     else:
         ranked = ranked.withColumn("rank_change", F.lit(None).cast("int"))
-    ranked = materialise(ranked)
+    ranked = stored(ranked)
 
     counters = Q.run_counters(articles, validated, gated)
     stamp = now.cast("timestamp")
@@ -207,10 +213,10 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
 
 
 def store_refresh(result: RefreshResult, root: str, version: int) -> None:
-    """Write a run: companies and events as new versions, snapshots and, last of all, the closed run row
-    appended. The ranking's version is made current only when the run publishes."""
+    """Write a run: companies as a new version, the history of the companies it touched merged into their buckets, snapshots and, last of all,
+    the closed run row appended. The ranking's version is made current only when the run publishes."""
     B.write_version(result.companies, f"{root}/companies", version)
-    B.write_version(result.events, f"{root}/events", version)
+    merge_into(result.events, f"{root}/events", EVENT_KEY, by=["company_id"])
     B.write_version(result.ranked, f"{root}/ranking", version, current=result.publish)
     if result.publish:
         B.append_snapshots(result.snapshots, f"{root}/snapshots", version)
@@ -224,9 +230,12 @@ def refresh_stored(inputs: RefreshInputs, root: str, now: Column, run_id: str) -
     spark = inputs.articles.sparkSession
 
     def work(runs: DataFrame) -> RefreshResult:
-        known = B.read_current(spark, f"{root}/companies"), B.read_current(spark, f"{root}/events")
-        stored = replace(inputs, runs=runs, companies=inputs.companies if known[0] is None else known[0], events=inputs.events if known[1] is None else known[1])
-        result = run_ranking_refresh(stored, now, run_id)
+        known = B.read_current(spark, f"{root}/companies")
+        if read_merged(spark, f"{root}/events") is None and not callable(inputs.events):
+            merge_into(inputs.events, f"{root}/events", EVENT_KEY, by=["company_id"])
+        history = lambda touched: read_merged(spark, f"{root}/events", touched, ["company_id"])
+        events = (lambda touched: scan_event_history(history(touched), touched)) if read_merged(spark, f"{root}/events") is not None else inputs.events
+        result = run_ranking_refresh(replace(inputs, runs=runs, companies=inputs.companies if known is None else known, events=events), now, run_id)
         latest = B.current_version(spark, f"{root}/companies")
         store_refresh(result, root, 0 if latest is None else latest + 1)
         return result

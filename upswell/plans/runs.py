@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from upswell import config as C
 from upswell.operators import quality as Q
 from upswell.operators import tables as B
-from upswell.session import materialise
+from upswell.session import stored
 from upswell.sources.stored import latest_run
 
 Result = TypeVar("Result")
@@ -40,7 +40,7 @@ def judge_run(
     """Build the report, compare it with the one the latest published run of ``runs`` stored, and close the run row."""
     report = Q.check_thresholds(Q.build_quality_report(candidates, ranked, events, parsed, generated_at=finished_at), rules)
     old = report.filter("false") if runs is None else published_report(runs)
-    report = materialise(Q.should_publish(Q.previous_report(report, old)))
+    report = stored(Q.should_publish(Q.previous_report(report, old)))
     verdict = report.select("publish", "publish_reason").first()
     whole = report.select(F.struct(*report.columns).alias("_report"))
     both = Q.side_by_side([counters, whole])
