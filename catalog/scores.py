@@ -182,7 +182,7 @@ def completeness(t: Tables):
 
 
 _w = C.CONFIDENCE_WEIGHTS
-CONFIDENCE = D.clamp(
+_CONFIDENCE_SUM = (
     f"""(CASE best_source_tier WHEN 1 THEN 100.0::DOUBLE WHEN 2 THEN 65.0 WHEN 3 THEN 30.0 ELSE 0.0 END) * {_w['source_tier']}::DOUBLE
     + (CASE WHEN coalesce(independent_sources, 0) <= 0 THEN 0.0::DOUBLE WHEN independent_sources = 1 THEN 50.0 WHEN independent_sources = 2 THEN 80.0 ELSE 100.0 END) * {_w['corroboration']}::DOUBLE
     + (CASE WHEN days_since_verified IS NULL THEN 0.0::DOUBLE WHEN days_since_verified <= 30 THEN 100.0 WHEN days_since_verified >= 90 THEN 0.0
@@ -190,6 +190,7 @@ CONFIDENCE = D.clamp(
     + data_completeness::DOUBLE * {_w['completeness']}::DOUBLE + coalesce(homepage_confidence::DOUBLE, 0.0) * {_w['resolution_confidence']}::DOUBLE
     + coalesce(extraction_confidence, 0.0) * {_w['extraction_confidence']}::DOUBLE"""
 )
+CONFIDENCE = D.clamp(_CONFIDENCE_SUM)
 VERIFIED = "coalesce(primary_domain, '') <> '' AND coalesce(homepage_confidence, 0) >= 50"
 _terms = " + ".join(f"{c} * {w}::DOUBLE" for c, w in C.WEIGHTS.items())
 _REASONS = f"""list_filter([
@@ -225,6 +226,40 @@ def data_confidence(t: Tables):
     return scored(t).select("company_id", "data_confidence")
 
 
+@query(
+    "contradicted_confidence", "SCR-6", "company_events companies",
+    SCORED_SQL + f""", said AS (SELECT company_id, source_tier, lower(trim(funding_stage)) AS v FROM company_events WHERE {D.populated('funding_stage')} AND source_tier IS NOT NULL),
+    contra AS (SELECT company_id, count(DISTINCT v) > 1 AS contradicted FROM said WHERE (company_id, source_tier) IN (SELECT company_id, min(source_tier) FROM said GROUP BY 1) GROUP BY 1),
+    judged AS (SELECT *, coalesce(contradicted, false) AS contra FROM scored LEFT JOIN contra USING (company_id))
+    SELECT company_id, contra AS contradicted, {D.clamp(f"CASE WHEN contra THEN ({_CONFIDENCE_SUM}) * 0.7::DOUBLE ELSE ({_CONFIDENCE_SUM}) END")} AS data_confidence FROM judged""",
+)
+def contradicted_confidence(t: Tables):
+    """Confidence where the best sources of a company name different funding stages."""
+    said = t("company_events").select("company_id", F.lit("latest_funding_stage").alias("field_name"), F.col("funding_stage").alias("field_value"), "source_tier")
+    rows = score(t("companies"), t("company_events"), C.stage_thresholds_frame(t.spark), t.now, provenance=said)
+    return rows.select("company_id", "contradicted", "data_confidence")
+
+
+_OWN = {**C.WEIGHTS, "recent_verified_events": 0.30, "traction": 0.15}
+_own_terms = " + ".join(f"{c} * {w}::DOUBLE" for c, w in _OWN.items())
+
+
+@query(
+    "momentum_stored_weights", "SRC-9 SCR-7 EXT-4 SET-3", "company_events companies",
+    SCORED_SQL + f" SELECT company_id, {D.clamp(_own_terms)} AS momentum_score FROM scored",
+)
+def momentum_stored_weights(t: Tables):
+    """Scores by a stored weight table that lacks two components and has one of an unknown name: read back, completed, checked."""
+    from upswell.session import stored as write
+    from upswell.sources.stored import weights_with_defaults
+
+    kept = {c: w for c, w in _OWN.items() if c not in ("market_expansion", "source_corroboration")}
+    table = write(C.weights_frame(t.spark, {**kept, "unknown_component": 0.5}))
+    defaults = C.weights_frame(t.spark)
+    weights = G.checked_weights(weights_with_defaults(table, defaults), defaults)
+    return G.momentum_score(scored(t), weights).select("company_id", "momentum_score")
+
+
 def scored(t: Tables):
     return score(t("companies"), t("company_events"), C.stage_thresholds_frame(t.spark), t.now)
 

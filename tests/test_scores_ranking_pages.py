@@ -10,6 +10,8 @@ from upswell.operators import pages as W
 from upswell.operators import quality as Q
 from upswell.operators import ranking as G
 from upswell.operators import scoring as P
+from upswell.sources.stored import weights_with_defaults
+
 
 def now():
     return F.to_date(F.lit("2026-02-21"))
@@ -200,3 +202,25 @@ def test_rank_history(spark):
     ranked = spark.createDataFrame([("a", 1), ("c", 2)], "company_id string, regional_rank int")
     got = {r.company_id: r.rank_change for r in G.previous_rank(ranked, snaps, F.to_date(F.lit("2025-03-01"))).collect()}
     assert got == {"a": 3, "c": None}
+
+
+def test_contradictions_of_the_best_tier_only(spark):
+    rows = [
+        ("same", "industry", "AI", 1), ("same", "industry", " ai ", 1), ("same", "industry", "FinTech", 3),
+        ("differs", "industry", "AI", 2), ("differs", "industry", "FinTech", 2), ("differs", "industry", "x", 3),
+        ("unknown", "industry", "AI", 1), ("unknown", "industry", "Unknown", 1), ("unknown", "region", None, 1), ("none", "industry", "AI", None),
+    ]
+    got = {r.company_id: r.contradicted for r in P.contradicted_companies(spark.createDataFrame(rows, "company_id string, field_name string, field_value string, source_tier int")).collect()}
+    assert got == {"same": False, "differs": True, "unknown": False}
+
+
+def test_stored_weights(spark):
+    defaults = C.weights_frame(spark)
+    frame = lambda rows: spark.createDataFrame(rows, "component string, weight double")
+    checked = lambda rows: G.checked_weights(weights_with_defaults(rows, defaults), defaults)
+    assert checked(None) == checked(frame([])) == C.WEIGHTS
+    swapped = [("recent_verified_events", 0.20), ("traction", 0.25), ("other", 3.0), ("hiring_momentum", None)]
+    assert checked(frame(swapped)) == {**C.WEIGHTS, "recent_verified_events": 0.20, "traction": 0.25}
+    for wrong in ([("traction", 0.9)], [("traction", -0.2), ("recent_verified_events", 0.65)]):
+        with pytest.raises(ValueError):
+            checked(frame(wrong))

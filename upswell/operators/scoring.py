@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from upswell import config as C
 from upswell.functions import scores as S
+from upswell.functions.text import is_populated
 from upswell.functions.money import amount_points_v1, decimal_sum, stage_points_v1
 from upswell.operators.common import cohort_ranks, spread_nulls
 
@@ -200,8 +201,6 @@ def completeness(df: DataFrame, fields: Sequence[str] = tuple(C.COMPLETENESS_FIE
 
 
 def _share(present: Sequence[str], tracked: int) -> Column:
-    from upswell.functions.text import is_populated
-
     filled = sum((is_populated(F.col(c)).cast("int") for c in present), F.lit(0))
     return F.bround(100 * filled / F.lit(tracked)).cast("int")
 
@@ -218,6 +217,20 @@ def data_confidence(df: DataFrame, contradicted: str | None = None) -> DataFrame
     )
 
 
+def contradicted_companies(provenance: DataFrame) -> DataFrame:
+    """``company_id, contradicted``: whether for some field the best sources disagree.
+
+    ``provenance`` has company_id, field_name, field_value, source_tier. Values of a field are compared within its best tier only (a weaker
+    source that says otherwise is outvoted, not a contradiction), without case or outer blanks; words for "unknown" are no values.
+    Only the smallest and largest value of each (company, field, tier) are kept, so a company with very many rows costs one row a task.
+    """
+    value = F.lower(F.trim(F.col("field_value").cast("string")))
+    known = provenance.filter(is_populated(F.col("field_value")) & F.col("source_tier").isNotNull())
+    tiers = known.groupBy("company_id", "field_name", "source_tier").agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    fields = tiers.groupBy("company_id", "field_name").agg(F.min_by(F.col("low") != F.col("high"), "source_tier").alias("differs"))
+    return fields.groupBy("company_id").agg(F.bool_or("differs").alias("contradicted"))
+
+
 def staleness_flags(df: DataFrame, days: str = "days_since_verified") -> DataFrame:
     d = F.col(days)
     return df.withColumn("stale_warning", F.coalesce(d > C.STALE_WARN_DAYS, F.lit(False))).withColumn(

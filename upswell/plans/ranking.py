@@ -13,9 +13,10 @@ from upswell.session import stored
 
 
 def score_companies(
-    companies: DataFrame, events: DataFrame, thresholds: DataFrame, now: Column, half_life: float = C.HALF_LIFE_DAYS
+    companies: DataFrame, events: DataFrame, thresholds: DataFrame, now: Column, half_life: float = C.HALF_LIFE_DAYS, provenance: DataFrame | None = None
 ) -> DataFrame:
-    """All component scores, confidence and gate inputs, one row per company.
+    """All component scores, confidence and gate inputs, one row per company. Where ``provenance`` (of field values) holds
+    a contradiction, the confidence of the company is lowered.
 
     The history is aggregated per company in one pass for the event components,
     once per round for funding, and once per source for independence; every join
@@ -30,6 +31,10 @@ def score_companies(
     sources = independent_sources(event_sources(events))
     zero = F.lit(0)
     rows = companies.join(rollup, "company_id", "left").join(rounds, "company_id", "left").join(sources, "company_id", "left")
+    contradicted = None
+    if provenance is not None:
+        contradicted = "contradicted"
+        rows = rows.join(P.contradicted_companies(provenance), "company_id", "left").withColumn(contradicted, F.coalesce(contradicted, F.lit(False)))
     for c in ("recent_verified_events", "traction", "market_expansion", "independent_sources"):
         rows = rows.withColumn(c, F.coalesce(c, zero))
     # the peer comparison reads its input several times; one row per company is stored
@@ -37,4 +42,4 @@ def score_companies(
     rows = stored(rows)
     rows = P.stage_adjusted_funding(rows, thresholds)
     rows = P.corroboration_component(P.moat_component(P.hiring_momentum(rows)))
-    return P.primary_domain_verified(P.data_confidence(P.completeness(rows)))
+    return P.primary_domain_verified(P.data_confidence(P.completeness(rows), contradicted))

@@ -25,6 +25,7 @@ from upswell.sources.feeds import dedupe_links
 from upswell.sources.stored import scan_aliases, scan_event_history, scan_identity
 
 EVENT_KEY = ["company_id", "source_url", "event_type"]
+PROVENANCE = ["company_id", "field_name", "field_value", "source_tier"]
 MERGED_FIELDS = [
     # field, confidence of the new value, tier of the new value
     ("homepage", "homepage_confidence", 1),
@@ -58,6 +59,7 @@ class RefreshInputs:
     responses: DataFrame | None = None
     extractor: K.Extractor | None = None
     runs: DataFrame | None = None
+    provenance: DataFrame | None = None
     snapshots: DataFrame | None = None
 
 
@@ -182,8 +184,11 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
             "days_since_verified": F.datediff(now, F.to_date("last_verified")),
         }
     ).drop("_name", "_hc", "_hs", "_hf", "_review", "resolution_confidence")
+    said = B.field_provenance(decided, F.to_date(now)).select(*PROVENANCE)
+    if inputs.provenance is not None:
+        said = said.unionByName(inputs.provenance.select(*PROVENANCE).join(found.select("company_id").distinct(), "company_id", "left_semi"))
     scored = score_companies(
-        rows, history.drop("extraction_confidence"), C.stage_thresholds_frame(spark), now
+        rows, history.drop("extraction_confidence"), C.stage_thresholds_frame(spark), now, provenance=said
     )
     gated = stored(G.eligibility_gate(scored))
     ranked = G.rank_regions(gated.filter("eligible"))
@@ -235,7 +240,9 @@ def refresh_stored(inputs: RefreshInputs, root: str, now: Column, run_id: str) -
             merge_into(inputs.events, f"{root}/events", EVENT_KEY, by=["company_id"])
         history = lambda touched: read_merged(spark, f"{root}/events", touched, ["company_id"])
         events = (lambda touched: scan_event_history(history(touched), touched)) if read_merged(spark, f"{root}/events") is not None else inputs.events
-        result = run_ranking_refresh(replace(inputs, runs=runs, companies=inputs.companies if known is None else known, events=events), now, run_id)
+        said = B.read_if_there(spark, f"{root}/provenance", "company_id string, field_name string, field_value string, source_tier int")
+        said = inputs.provenance if said is None else said
+        result = run_ranking_refresh(replace(inputs, runs=runs, provenance=said, companies=inputs.companies if known is None else known, events=events), now, run_id)
         latest = B.current_version(spark, f"{root}/companies")
         store_refresh(result, root, 0 if latest is None else latest + 1)
         return result

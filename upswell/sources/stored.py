@@ -45,3 +45,15 @@ def load_weights(stored: DataFrame | None, defaults: DataFrame) -> DataFrame:
     empty = rows.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
     fallback = defaults.join(empty, F.lit(True), "left_semi")
     return rows.unionByName(fallback.select("component", "weight"))
+
+
+def weights_with_defaults(stored: DataFrame | None, defaults: DataFrame) -> DataFrame:
+    """The weight of every component of ``defaults``: the stored one where there is one, else its default. Stored components of other names go.
+
+    A component that is stored twice has its largest weight. Both frames are config-sized; ``ranking.checked_weights`` tells
+    whether the result is sound.
+    """
+    if stored is None:
+        return defaults.select("component", "weight")
+    own = stored.filter("weight IS NOT NULL").groupBy("component").agg(F.max(F.col("weight").cast("double")).alias("_stored"))
+    return defaults.join(own, "component", "left").select("component", F.coalesce("_stored", "weight").alias("weight"))
