@@ -8,6 +8,7 @@ from catalog import duck as D
 from catalog.news import GROUP_KEY, VALIDATED_SQL
 from catalog.registry import Tables, query
 from upswell import config as C
+from upswell.functions.urls import registrable_domain
 from upswell.operators import claims as K
 from upswell.operators import events as E
 from upswell.operators import resolve as R
@@ -202,6 +203,24 @@ def build_facts(t: Tables):
     return E.dedupe_events(E.event_facts(tiered, C.rates_frame(t.spark)))
 
 
+@query(
+    "build_event_facts_own", "PIPE-4 JOIN-6 URL-3", "claims numbered",
+    FACTS_SQL.replace("tiered AS (SELECT *, CASE WHEN domain IN", "owned AS (SELECT company_id, min(domain) AS own FROM named GROUP BY 1),\n  tiered AS (SELECT *, CASE WHEN domain = own THEN 1 WHEN domain IN").replace(
+        "AS wrong FROM named)", "AS wrong FROM named JOIN owned USING (company_id))"
+    ) + """ SELECT ord AS ingest_ord, company_id, event_type1 AS event_type, verification_status, amount_original, currency, amount_usd, funding_stage, source_url, source_tier, statement_class FROM facts""",
+)
+def build_event_facts_own(t: Tables):
+    """Each company owns one of the domains that write about it."""
+    accepted = K.accepted_claims(K.validate_claims(K.attach_sources(t("claims"), t("numbered"))))
+    keyed = K.with_group_key(accepted).withColumnRenamed("group_key", "company_id")
+    companies = keyed.groupBy("company_id").agg(F.min(registrable_domain(F.col("source_url"))).alias("primary_domain"))
+    facts = E.dedupe_events(E.build_event_facts(keyed, companies, C.tiers_frame(t.spark), C.rates_frame(t.spark)))
+    return facts.select(
+        "ingest_ord", "company_id", "event_type", "verification_status", "amount_original", "currency", "amount_usd",
+        "funding_stage", "source_url", "source_tier", "statement_class",
+    )
+
+
 @query(
     "build_event_facts", "PIPE-4", "claims numbered",
     FACTS_SQL + """ SELECT ord AS ingest_ord, company_id, event_type1 AS event_type, verification_status, amount_original, currency, amount_usd,

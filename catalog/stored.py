@@ -12,6 +12,7 @@ from catalog.news import ARTICLES_SQL, FAILED_SQL, RELEVANT_SQL, STAMP, VALIDATE
 from catalog.registry import Tables, query
 from catalog.scores import SCORED_SQL, WHY, ranked, scored
 from upswell import config as C
+from upswell import schemas
 from upswell.operators import claims as K
 from upswell.operators import events as E
 from upswell.operators import quality as Q
@@ -324,6 +325,47 @@ def published_rankings(t: Tables):
     return V.published_rankings(published(t)).select("company_id", "region_bucket", "regional_rank", "industry", "momentum_score")
 
 
+_STORED = {
+    "company_id", "canonical_name", "normalized_name", "primary_domain", "homepage", "homepage_confidence", "description", "industry", "company_status", "founded_year", "headquarters_country",
+    "region_bucket", "founders", "moat_confidence", "hiring_status", "hiring_confidence", "momentum_score", "regional_rank", "why_ranked", "active",
+}
+_WIDE = [c.split()[0] for c in schemas.RANKING.split(",")]
+_CLOCKS = {"last_seen", "last_verified"}
+
+
+@query(
+    "published_rankings_wide", "FLT-11", "company_events companies",
+    PUBLISHED_SQL + " SELECT " + ", ".join(
+        c if c in _STORED else f"CAST({c} AS VARCHAR) AS {c}" if c in _CLOCKS else f"'v2' AS {c}" if c == "score_version" else f"NULL AS {c}" for c in _WIDE
+    ) + " FROM published WHERE active AND region_bucket IS NOT NULL AND regional_rank IS NOT NULL",
+)
+def published_rankings_wide(t: Tables):
+    """All promised columns, those this table lacks as nulls."""
+    rows = V.published_rankings(published(t))
+    clock = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return rows.select(*[clock(c) if c in _CLOCKS else F.col(c) for c in _WIDE])
+
+
+_RULES = [(i, m, op, b) for i, (m, op, b) in enumerate(C.QUALITY_RULES)]
+_METRIC = {m: f"CASE WHEN n % {len(_RULES) + 1} = {i} THEN {b} {'-' if op == 'min' else '+'} 1.5::DOUBLE ELSE {b}::DOUBLE END" for i, m, op, b in _RULES}
+_RULE_TEXTS = ", ".join(
+    f"CASE WHEN {m} {'<' if op == 'min' else '>'} {b} THEN '{m} ' || CAST({m} AS VARCHAR) || ' {'below' if op == 'min' else 'above'} {b}' END" for _, m, op, b in _RULES
+)
+
+
+@query(
+    "check_thresholds_each", "QLT-1", "runs",
+    f""", reports AS (SELECT run_id, articles_fetched AS n FROM runs), metrics AS (SELECT run_id, {', '.join(f'{x} AS {m}' for m, x in _METRIC.items())} FROM reports)
+    SELECT run_id, len(list_filter([{_RULE_TEXTS}], lambda x: x IS NOT NULL)) = 0 AS passed_launch_thresholds, array_to_string(list_filter([{_RULE_TEXTS}], lambda x: x IS NOT NULL), '; ') AS failures FROM metrics""",
+)
+def check_thresholds_each(t: Tables):
+    """A report per run, whose article count says which of the rules it breaks, if any."""
+    n = F.col("articles_fetched") % (len(_RULES) + 1)
+    metrics = [F.when(n == i, b + (-1.5 if op == "min" else 1.5)).otherwise(float(b)).alias(m) for i, m, op, b in _RULES]
+    rows = Q.check_thresholds(t("runs").select("run_id", *metrics))
+    return rows.select("run_id", "passed_launch_thresholds", F.array_join("threshold_failures", "; ").alias("failures"))
+
+
 @query(
     "top_companies", "TOP-5", "startups",
     """SELECT company_name, coalesce(momentum_score, signal_score * 20) AS momentum_score FROM startups

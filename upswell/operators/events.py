@@ -9,6 +9,7 @@ from upswell import config as C
 from upswell.functions import money as M
 from upswell.functions.text import null_if_blank
 from upswell.operators.common import keep_first
+from upswell.operators.resolve import classify_source_tiers, own_domain_flag
 
 
 def extract_amounts(df: DataFrame, text: str = "evidence_text") -> DataFrame:
@@ -85,6 +86,16 @@ def event_facts(claims: DataFrame, rates: DataFrame) -> DataFrame:
     )
 
 
+def build_event_facts(claims: DataFrame, companies: DataFrame, tiers: DataFrame, rates: DataFrame, key: str = "company_id") -> DataFrame:
+    """Event rows of accepted claims: what a source on the company's own domain says is of tier 1, else its domain decides; amounts, stage and
+    statement class come from the text.
+
+    ``claims`` have company_id and ``key``; ``companies`` one row per ``key`` with primary_domain.
+    """
+    flagged = own_domain_flag(claims, companies, key)
+    return event_facts(classify_source_tiers(flagged, tiers), rates)
+
+
 def event_sources(events: DataFrame) -> DataFrame:
     """Source rows of the events, newest first, for the independence count."""
     return events.filter(F.coalesce("source_url", F.lit("")) != "").select(

@@ -5,23 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-RANKING_COLUMNS = [
-    "company_id", "canonical_name", "normalized_name", "primary_domain", "homepage", "homepage_confidence",
-    "description", "industry", "subsector", "ai_relevance_score", "company_status", "founded_year",
-    "headquarters_city", "headquarters_state", "headquarters_country", "region_bucket", "founders",
-    "employee_count_min", "employee_count_max", "employee_count_as_of", "moat_summary", "moat_evidence",
-    "moat_confidence", "hiring_status", "hiring_confidence", "verified_open_role_count", "latest_funding_stage",
-    "latest_funding_amount_usd", "latest_funding_date", "total_disclosed_funding_usd", "momentum_score",
-    "regional_rank", "rank_change_since_previous_snapshot", "data_confidence", "data_completeness", "why_ranked",
-    "score_version", "last_seen", "last_verified", "active",
-]
-
+from upswell import schemas
+from upswell.operators.tables import conform
 
 def published_rankings(companies: DataFrame, ordered: bool = True) -> DataFrame:
-    """Active companies with a region and a rank, in rank order."""
-    columns = [c for c in RANKING_COLUMNS if c in companies.columns]
-    rows = companies.filter("active and region_bucket is not null and regional_rank is not null").select(columns)
+    """Active companies with a region and a rank, in rank order: the 40 columns of ``schemas.RANKING``, null where the table has no such column."""
+    rows = conform(companies.filter("active and region_bucket is not null and regional_rank is not null"), schemas.RANKING)
     return rows.orderBy("region_bucket", "regional_rank") if ordered else rows
 
 

@@ -162,9 +162,7 @@ def run_ranking_refresh(inputs: RefreshInputs, now: Column, run_id: str = "run")
 
     # event facts of this run join the stored history
     claims = accepted.join(found.select("group_key", "company_id"), "group_key", "inner")
-    claims = R.own_domain_flag(claims, found.select("group_key", "primary_domain"), "group_key")
-    tiered = R.classify_source_tiers(claims, C.tiers_frame(spark))
-    facts = E.event_facts(tiered, C.rates_frame(spark))
+    facts = E.build_event_facts(claims, found.select("group_key", "primary_domain"), C.tiers_frame(spark), C.rates_frame(spark), "group_key")
     # of the stored history only that of the companies this run touched is read
     known = inputs.events(found) if callable(inputs.events) else scan_event_history(inputs.events, found)
     history = stored(B.upsert_by_key(known, facts, EVENT_KEY, [F.col("ingest_ord").desc()]))

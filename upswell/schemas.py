@@ -39,3 +39,14 @@ RUN = (
     " companies_accepted long, companies_rejected long, regional_result_counts map<string, long>,"
     f" quality_report struct<{QUALITY_REPORT}>"
 )
+#: The published columns of a company, as readers are promised them.
+RANKING = (
+    "company_id string, canonical_name string, normalized_name string, primary_domain string, homepage string, homepage_confidence int,"
+    " description string, industry string, subsector string, ai_relevance_score int, company_status string, founded_year string,"
+    " headquarters_city string, headquarters_state string, headquarters_country string, region_bucket string, founders string,"
+    " employee_count_min int, employee_count_max int, employee_count_as_of date, moat_summary string, moat_evidence string,"
+    " moat_confidence int, hiring_status string, hiring_confidence int, verified_open_role_count int, latest_funding_stage string,"
+    " latest_funding_amount_usd double, latest_funding_date date, total_disclosed_funding_usd double, momentum_score int,"
+    " regional_rank int, rank_change_since_previous_snapshot int, data_confidence int, data_completeness int, why_ranked string,"
+    " score_version string, last_seen timestamp, last_verified timestamp, active boolean"
+)
