@@ -309,3 +309,20 @@ def test_suffix_array_and_intervals():
         if len(set(left)) > 1 and len(set(right)) > 1:
             expected.add((word, len(places)))
     assert got == expected
+
+
+def test_spans_of_a_deep_tree_grow_with_the_windows():
+    """Copies that each agree with the one before a little longer: the tree is one long path, the spans are one a window."""
+    rnd = random.Random(8)
+    whole = bytes(rnd.randrange(97, 123) for _ in range(700))
+    texts = [whole[: 60 + 2 * i] + b"#%d" % i for i in range(300)]
+    n = [len(t) - 20 + 1 for t in texts]
+    table = pa.table({"uid": list(range(300)), "doc": list(range(300)), "anchor": [1] * 300, "ctx": list(range(300)), "start": [0] * 300, "n": n, "data": pa.array(texts, pa.binary())})
+    spans = repeats.repeat_spans(table, 20).to_pylist()
+    assert len(spans) <= sum(n)
+    covered = [set() for _ in texts]
+    for s in spans:
+        covered[s["uid"]] |= set(range(s["start"], s["stop"]))
+    for i in range(1, 300):
+        assert covered[i] == set(range(60 + 2 * (i - 1)))
+    assert not covered[0]

@@ -275,9 +275,9 @@ GROUPS = "repeat string, length long, uid long, doc long, start long"
 OWN_GROUPS = GROUPS + ", anchor long, ctx long, shift long"
 
 
-def repeat_groups(table: pa.Table, width: int) -> pa.Table:
-    """Maximal repeats within the contexts of a table (uid, doc, anchor, ctx, start, n, data), each with all its occurrences there; the earliest comes first."""
-    uid, doc, anchor, ctx, start, n = (table.column(c).to_numpy() for c in ("uid", "doc", "anchor", "ctx", "start", "n"))
+def _sorted_suffixes(table: pa.Table, width: int):
+    """Windows of the contexts of a table by their suffix: context, start, common prefix with the one before, byte before, and rank by place in the corpus."""
+    uid, doc, start, n = (table.column(c).to_numpy() for c in ("uid", "doc", "start", "n"))
     data, offsets = octets.octets(table.column("data"))
     of = np.repeat(np.arange(len(n)), n)
     place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
@@ -288,6 +288,13 @@ def repeat_groups(table: pa.Table, width: int) -> pa.Table:
     before = np.where(sa > offsets[:-1][row], data[np.maximum(sa - 1, 0)].astype(np.int64), -1)
     rank = np.empty(len(sa), np.int64)
     rank[np.lexsort((begin, uid[row], doc[row]))] = np.arange(len(sa))
+    return row, begin, common, before, rank
+
+
+def repeat_groups(table: pa.Table, width: int) -> pa.Table:
+    """Maximal repeats within the contexts of a table (uid, doc, anchor, ctx, start, n, data), each with all its occurrences there; the earliest comes first."""
+    uid, doc, anchor, ctx, start = (table.column(c).to_numpy() for c in ("uid", "doc", "anchor", "ctx", "start"))
+    row, begin, common, before, rank = _sorted_suffixes(table, width)
     at, sizes, lengths = [], [], []
     for a, b, depth in intervals(common, before, width):
         own = np.arange(a, b + 1)
@@ -301,6 +308,38 @@ def repeat_groups(table: pa.Table, width: int) -> pa.Table:
     return pa.table([names, *[pa.array(x, pa.int64()) for x in out]], names=OWN_GROUPS.replace(" long", "").replace(" string", "").split(", "))
 
 
+def repeat_spans(table: pa.Table, width: int) -> pa.Table:
+    """uid, start and stop of the longest maximal repeat at every window that is not its earliest occurrence.
+
+    Intervals come from the deepest up. One occurrence of an interval, the earliest, stays open for the intervals around it; the others
+    get their span there and are never looked at again, so the work grows with the windows, however deep the tree is.
+    """
+    uid = table.column("uid").to_numpy()
+    row, begin, common, before, rank = _sorted_suffixes(table, width)
+    ranks, following = rank.tolist(), list(range(len(rank) + 1))  # following: the next place that is open, itself if it is
+    length = np.zeros(len(rank), np.int64)
+
+    def next_open(i: int) -> int:
+        path = []
+        while following[i] != i:
+            path.append(i)
+            i = following[i]
+        for j in path:
+            following[j] = i
+        return i
+
+    for a, b, depth in intervals(common, before, width):
+        least = next_open(a)
+        i = next_open(least + 1)
+        while i <= b:
+            least, later = (least, i) if ranks[least] < ranks[i] else (i, least)
+            length[later] = depth
+            following[later] = later + 1
+            i = next_open(i + 1)
+    at = np.flatnonzero(length)
+    return pa.table([pa.array(x, pa.int64()) for x in (uid[row][at], begin[at], begin[at] + length[at])], names=["uid", "start", "stop"])
+
+
 def _cut_out(width: int):
     """Contexts (uid, doc, anchor, ctx, many, start, n) with their bytes."""
 
@@ -356,7 +395,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     path = new_folder(spark, "numbered")
     table = f"numbered_{uuid.uuid4().hex}"
-    rows.repartition(buckets, "uid").write.bucketBy(buckets, "uid").format("parquet").option("path", path).saveAsTable(table)
+    rows.repartition(buckets, "uid").write.bucketBy(buckets, "uid").format("parquet").option("compression", "zstd").option("path", path).saveAsTable(table)
     return spark.table(table)
 
 
@@ -393,13 +432,21 @@ class Repeats:
         whole = copies.select(F.concat(F.lit("c"), F.hex("anchor"), F.lit("-"), F.hex("ctx")).alias("repeat"), (F.col("stop") - F.col("start")).alias("length"), "uid", "doc", "start")
         return own.unionByName(whole).select(named)
 
-    def _own_groups(self) -> DataFrame:
-        """Maximal repeats of the earliest of equal contexts, for anchors that are not hot."""
+    def _cold(self) -> DataFrame:
+        """The earliest of equal contexts, for anchors that are not hot, dealt out by anchor."""
         cold = self.open.filter(F.col("many") <= self.hot)
         bins = max(1, (cold.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // SORT_BYTES)
-        rows = cold.select(F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin"), "uid", "doc", "anchor", "ctx", "start", "n", "data")
+        return cold.select(F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin"), "uid", "doc", "anchor", "ctx", "start", "n", "data")
+
+    def _own_groups(self) -> DataFrame:
+        """Maximal repeats within these contexts."""
+        width = self.width
+        return self._cold().groupBy("bin").applyInArrow(lambda t: repeat_groups(t, width), OWN_GROUPS)
+
+    def _own_spans(self) -> DataFrame:
+        """Of the same repeats, what each window that is not the earliest is covered by."""
         width = self.width
-        return rows.groupBy("bin").applyInArrow(lambda t: repeat_groups(t, width), OWN_GROUPS)
+        return self._cold().groupBy("bin").applyInArrow(lambda t: repeat_spans(t, width), "uid long, start long, stop long")
 
     def _hot_windows(self) -> DataFrame:
         return store(self.open.filter(F.col("many") > self.hot).mapInArrow(_windows(self.width), WINDOWS), "hot-windows")
@@ -407,9 +454,7 @@ class Repeats:
     def spans(self) -> DataFrame:
         """uid, start and stop of every repeat that starts earlier elsewhere; spans may overlap."""
         order = F.struct("doc", "uid", "start")
-        groups = store(self._own_groups().select("repeat", "length", "uid", "doc", "start"), "repeats")
-        first = groups.groupBy("repeat").agg(F.min(order).alias("first"))
-        later = groups.join(first, "repeat").filter(order > F.col("first")).select("uid", "start", (F.col("start") + F.col("length")).alias("stop"))
+        later = self._own_spans()
         windows = self._hot_windows()
         first = windows.groupBy("h").agg(F.min(order).alias("first"))
         hot = windows.join(first, "h").filter(order > F.col("first")).select("uid", "start", (F.col("start") + self.width).alias("stop"))
