@@ -35,4 +35,6 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == before:
             break
         before = mark
+    else:
+        raise RuntimeError(f"components not settled after {ROUNDS} rounds")
     return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -4,9 +4,9 @@ The words of a batch of texts become numbers, and suffixes are sorted by prefix
 first rank is (text, word), so suffixes of different texts are never equal and all texts of a
 batch are sorted at once. Suffixes whose rank is unique are settled and leave the doubling, which stops when
 none is left. The longest common prefix of neighbours comes from the ranks of all doubling
-levels. A suffix lies in the deepest prefix interval that its two neighbours allow, so the larger of its two
-prefixes is the longest repeat that starts there; the spans of all these are the spans of the maximal repeated
-substrings, and their union is what is covered.
+levels. A stack scan over them gives the prefix intervals; those whose occurrences differ on the left are the maximal
+repeated substrings. The union of their spans is what is covered. Intervals come from the deepest up and a
+suffix is given its span by the first that holds it (those around it are shorter), so the work grows with the words.
 
 A document is dropped for its base figures, if the share of its words that lie in repeats of
 at least ``MIN_REPEAT`` words is above ``MAX_COVERED``, or if one repeat is longer than ``MAX_REPEAT`` words and covers more
@@ -26,7 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 3_000_000
+from upswell.llm.repeats import intervals
+
+BATCH_BYTES = 1_000_000
 MIN_REPEAT = 8
 MAX_COVERED = 0.5
 MAX_REPEAT = 40
@@ -38,14 +40,14 @@ SCHEMA = (
 )
 
 
-def repeat_lengths(words: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For every word, the longest repeat (in words) that starts there and occurs elsewhere in its row.
+def suffix_array(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of all rows in order, and each one's common prefix (in words) with the one before it.
 
     ``words``: numbers of the words; ``rows``: ascending row of each.
     """
     n = len(words)
     if n == 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     key = rows.astype(np.int64) * (int(words.max()) + 1) + words
     # rank 0 stands for the end of a row; the first rank that a key has is its place in the order
     levels: list[np.ndarray] = []
@@ -90,11 +92,45 @@ def repeat_lengths(words: np.ndarray, rows: np.ndarray) -> np.ndarray:
         common[hit] += 1 << k
         a[hit] += 1 << k
         b[hit] += 1 << k
-    longest = np.zeros(n, np.int64)
-    if n > 1:
-        np.maximum.at(longest, sa[:-1], common)
-        np.maximum.at(longest, sa[1:], common)
-    return longest
+    return sa, np.concatenate([[0], common])
+
+
+def repeat_lengths(sa: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For every word, the longest repeat (in words) that starts there and occurs elsewhere in its row: the larger of its two neighbours' prefixes."""
+    longest = common.copy()
+    longest[:-1] = np.maximum(common[:-1], common[1:])
+    out = np.zeros(len(sa), np.int64)
+    out[sa] = longest
+    return out
+
+
+def maximal_repeats(words: np.ndarray, rows: np.ndarray, sa: np.ndarray, common: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+    """(first, last, length) among the suffixes of every maximal repeated substring of at least ``least`` words, deeper ones before those around them."""
+    before = np.where(sa > 0, words[sa - 1], -1)
+    before[(sa == 0) | (rows[sa - 1] != rows[sa])] = -1
+    return intervals(common, before, least)
+
+
+def maximal_spans(found: Iterator[tuple[int, int, int]], sa: np.ndarray) -> np.ndarray:
+    """For every word, the length of the longest of these repeats that starts there; 0 where none does."""
+    out, following = np.zeros(len(sa), np.int64), list(range(len(sa) + 1))
+
+    def next_open(i: int) -> int:
+        path = []
+        while following[i] != i:
+            path.append(i)
+            i = following[i]
+        for j in path:
+            following[j] = i
+        return i
+
+    for first, last, length in found:
+        i = next_open(first)
+        while i <= last:
+            out[sa[i]] = length
+            following[i] = i + 1
+            i = next_open(i + 1)
+    return out
 
 
 def covered(lengths: np.ndarray, least: int, span: int | None = None) -> np.ndarray:
@@ -117,7 +153,9 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     if not real.all():
         flat, rows = flat.filter(pa.array(real)), rows[real]
     words = np.asarray(flat.dictionary_encode().indices, np.int64) if len(flat) else np.zeros(0, np.int64)
-    lengths = repeat_lengths(words, rows)
+    sa, common = suffix_array(words, rows)
+    lengths = repeat_lengths(sa, common)
+    spans = maximal_spans(maximal_repeats(words, rows, sa, common, MIN_REPEAT), sa)
     count = lambda mask: np.bincount(rows[mask], minlength=n)
     longest = np.zeros(n, np.int64)
     np.maximum.at(longest, rows, lengths)
@@ -133,7 +171,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
         "n_symbols": np.asarray(pc.count_substring_regex(texts, r"[#*$%&|<>]"), np.int64),
         "n_dup_lines": np.bincount(of, minlength=n) - np.bincount(distinct, minlength=n),
         "n_repeat_words": count(covered(lengths, 3, 3)),
-        "covered_words": count(covered(lengths, MIN_REPEAT)),
+        "covered_words": count(covered(spans, MIN_REPEAT)),
         "longest_repeat": longest,
     }
 
