@@ -1,6 +1,6 @@
 """URL filter: rules by host and path, and logistic regression where no rule fits.
 
-The model looks at hashed character n-grams of host and path. It is fitted on a small table of
+The model looks at hashed character n-grams of host and path, each with buckets of its own. It is fitted on a small table of
 labelled URLs: the one in ``url_labels`` or the caller's, of which at most ``labelled_rows`` of each verdict count, chosen by a
 hash. Every URL is judged by the rules and the model; the model decides where no rule fits.
 
@@ -17,7 +17,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,26 +55,29 @@ def rule_of(host: Column, path: Column, rules: Sequence = RULES) -> tuple[Column
     return best["rule"], best["verdict"]
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, bucket) pairs of the texts' character n-grams."""
-    points, starts = grams.code_points(texts)
-    buckets, places = grams.char_grams(points, LONGEST, BITS, points != 32)
-    rows = np.searchsorted(starts, places, side="right") - 1
-    both = np.unique(rows.astype(np.int64) << BITS | buckets.astype(np.int64))
-    return both >> BITS, both & ((1 << BITS) - 1)
+def features(hosts: list[str], paths: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, bucket) pairs of the character n-grams; a gram of a host and the same gram of a path have different buckets."""
+    both = []
+    for side, texts in enumerate((hosts, paths)):
+        points, starts = grams.code_points(texts)
+        buckets, places = grams.char_grams(points, LONGEST, BITS - 1, points != 32)
+        rows = np.searchsorted(starts, places, side="right") - 1
+        both.append(rows.astype(np.int64) << BITS | side << (BITS - 1) | buckets.astype(np.int64))
+    pairs = np.unique(np.concatenate(both))
+    return pairs >> BITS, pairs & ((1 << BITS) - 1)
 
 
-def fit(texts: list[str], blocked: np.ndarray, used: int = 400) -> tuple[np.ndarray, float]:
+def fit(hosts: list[str], paths: list[str], blocked: np.ndarray, used: int = 400) -> tuple[np.ndarray, float]:
     """Bucket weights and intercept. The regression sees the ``used`` buckets that differ most between the classes."""
     weights = np.zeros(1 << BITS)
-    if not len(texts):
+    if not len(hosts):
         return weights, -1.0
-    rows, buckets = features(texts)
+    rows, buckets = features(hosts, paths)
     n = np.bincount(buckets, minlength=1 << BITS)
     pos = np.bincount(buckets[blocked[rows]], minlength=1 << BITS)
-    off = (pos * (len(texts) - blocked.sum()) - (n - pos) * blocked.sum()) ** 2 / np.maximum(n * (len(texts) - n + 0.5), 1)
+    off = (pos * (len(hosts) - blocked.sum()) - (n - pos) * blocked.sum()) ** 2 / np.maximum(n * (len(hosts) - n + 0.5), 1)
     chosen = np.sort(np.argsort(-off, kind="stable")[:used])
-    x = np.zeros((len(texts), len(chosen)))
+    x = np.zeros((len(hosts), len(chosen)))
     at = np.minimum(np.searchsorted(chosen, buckets), len(chosen) - 1)
     hit = chosen[at] == buckets
     x[rows[hit], at[hit]] = 1
@@ -84,6 +86,12 @@ def fit(texts: list[str], blocked: np.ndarray, used: int = 400) -> tuple[np.ndar
     return weights, float(w[-1])
 
 
+def block_probability(model: tuple[np.ndarray, float], hosts: list[str], paths: list[str]) -> np.ndarray:
+    weights, intercept = model
+    rows, buckets = features(hosts, paths)
+    return probability(np.bincount(rows, weights[buckets], len(hosts)) + intercept)
+
+
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence = RULES, labelled_rows: int = 2000) -> DataFrame:
     """page_id, host, path, rule, verdict and p_block of every row. ``labelled``: url, verdict (allow or block)."""
     spark = pages.sparkSession
@@ -94,21 +102,20 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence =
     if labelled is None:
         labelled = spark.createDataFrame(list(LABELLED), "url string, verdict string")
     known = labelled.select(host.alias("host"), path.alias("path"), "verdict")
-    texts, blocked = [], []
+    hosts, paths, blocked = [], [], []
     for v in ("allow", "block"):
         few = known.filter(F.col("verdict") == v).select("host", "path").distinct().orderBy(F.xxhash64("host", "path"), "host", "path").limit(labelled_rows).collect()
-        texts += [f"{r.host}{r.path}" for r in few]
+        hosts += [r.host for r in few]
+        paths += [r.path for r in few]
         blocked += [v == "block"] * len(few)
-    model = spark.sparkContext.broadcast(fit(texts, np.array(blocked, bool)))
+    model = spark.sparkContext.broadcast(fit(hosts, paths, np.array(blocked, bool)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, intercept = model.value
         for batch in batches:
             scores = []
-            text = pc.binary_join_element_wise(batch.column("host"), batch.column("path"), "")
-            for _, some in grams.slices(text):
-                rows, buckets = features(some)
-                scores.append(probability(np.bincount(rows, weights[buckets], len(some)) + intercept))
+            for first, some in grams.slices(batch.column("path")):
+                hosts = batch.column("host").slice(first, len(some)).to_pylist()
+                scores.append(block_probability(model.value, hosts, some))
             p = pa.array(np.concatenate(scores) if scores else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, p], [*batch.schema.names, "p_block"])
 

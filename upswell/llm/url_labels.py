@@ -1,97 +1,44 @@
-"""A small labelled table of URLs for the URL filter. Hosts are under the reserved name `example`."""
+"""A small labelled table of URLs for the URL filter, made from word lists by a rule. Hosts are under the reserved name `example`."""
 
 from __future__ import annotations
 
-BLOCK = """
-https://lucky-casino.example/slots
-https://www.casino-royal.example/en/roulette
-http://mega-casino-bonus.example/de/1201
-https://win-jackpot.example/fr/poker
-http://poker-win.example/
-https://blog.win-big-money.example/es/302
-https://sports-bets.example/en/odds
-http://m.bets-today.example/live.html
-https://free-spins.example/de/77
-https://bet-and-win.example/en/9
-http://free-money-now.example/click
-https://free-bets-online.example/en/1
-https://cheap-viagra.example/order
-http://www.buy-pills-online.example/en/pills
-https://pills-discount.example/fr/shop
-http://cheap-meds.example/es/8812
-https://m.cheap-watches-replica.example/de/44
-https://replica-handbags-cheap.example/en/20
-https://adult-videos.example/en/watch
-http://www.adult-chat.example/
-https://xxx-adult.example/de/9001
-http://hot-singles-x.example/fr/2
-https://blog.sex-cams.example/en/7
-https://ads-server.example/pixel
-http://track.ads-network.example/en/click
-https://www.ad-track-pixel.example/c/331
-https://click-ads.example/track
-http://popup-ads.example/de/5
-https://spam-links.example/en/13
-http://m.link-farm.example/fr/901
-https://seo-spam-farm.example/es/4
-http://content-farm-links.example/de/3010
-https://doorway-spam.example/
-http://warez-cracks.example/en/keygen
-https://free-crack-download.example/de/12
-http://www.keygen-serial.example/fr/55
-https://fake-lottery.example/en/claim
-https://loan-payday-fast.example/es/61
-http://m.payday-loans.example/en/1
-https://miracle-diet-pills.example/de/90
-""".split()
-ALLOW = """
-https://city-library.example/en/catalogue
-https://www.museum-of-history.example/de/1201
-http://morning-herald.example/en/2031
-https://weather-station.example/fr/44
-http://garden-notes.example/
-https://blog.mountain-walks.example/es/302
-https://university-press.example/en/books
-http://m.train-times.example/live.html
-https://river-survey.example/de/77
-https://open-maps.example/en/9
-http://town-council.example/minutes
-https://kitchen-recipes.example/en/1
-https://chemistry-lessons.example/order
-http://www.bird-watching.example/en/birds
-https://astronomy-club.example/fr/stars
-http://farmers-market.example/es/8812
-https://m.bicycle-repair.example/de/44
-https://language-school.example/en/20
-https://chess-problems.example/en/play
-http://www.public-radio.example/
-https://national-archive.example/de/9001
-http://software-docs.example/fr/2
-https://blog.data-structures.example/en/7
-https://hospital-trust.example/pixel
-http://health-advice.example/en/clinic
-https://www.court-records.example/c/331
-https://science-journal.example/article
-http://poetry-corner.example/de/5
-https://nature-reserve.example/en/13
-http://m.local-history.example/fr/901
-https://art-gallery.example/es/4
-http://theatre-listings.example/de/3010
-https://translators-forum.example/
-http://parliament-debates.example/en/report
-https://statistics-office.example/de/12
-http://www.railway-museum.example/fr/55
-https://students-union.example/en/join
-https://engineering-handbook.example/es/61
-http://m.cathedral-choir.example/en/1
-https://wine-growers.example/de/90
-https://athletics-results.example/en/200
-https://theory-notes.example/en/300
-http://thistle-farmhouse.example/de/8
-https://then-and-now.example/es/19
-https://nation-in-numbers.example/fr/88
-http://the-other-shore.example/en/41
-https://thinking-aloud.example/en/7044
-http://tension-and-tone.example/de/23
-""".split()
-LABELLED = tuple((u, "block") for u in BLOCK) + tuple((u, "allow") for u in ALLOW)
+from collections.abc import Iterator
+
+BLOCK_WORDS = (
+    "casino poker jackpot slots roulette bets betting bookmaker lottery scratchcard pills viagra meds pharmacy steroids replica counterfeit adult xxx sex cams "
+    "singles ads adserver track tracker click popup pixel banner spam linkfarm doorway warez crack keygen serials torrent payday loans bonus freemoney winbig cheap"
+).split()
+ALLOW_WORDS = (
+    "library museum herald weather garden mountain university press train river maps council kitchen chemistry school gallery harbour chess music theatre "
+    "science history recipes forum wiki journal gazette observatory bakery cycling birds poetry parish hospital dentist architect software docs archive news sailing"
+).split()
+#: On both sides, so that they tell nothing.
+NEUTRAL = "city best online my daily world new top hub central north open".split()
+SYLLABLES = "ta re mo lin ven sor kal dri pos ne fer ul bra zim tho quen".split()
+FRONT = ["", "www.", "m.", "blog.", "shop."]
+LANGUAGES = ["en", "de", "fr", "es"]
+PER_WORD = 6
+
+
+def _paths(i: int) -> str:
+    n, lang = 13 + i * 37 % 9000, LANGUAGES[i % 4]
+    return ["/", f"/{lang}/{n}", f"/{lang}/{n}.html", f"/{lang}/{n}/", f"/a/{n}?page={i % 5}", f"/{lang}/#top"][i % 6]
+
+
+def _urls(words: list[str]) -> Iterator[str]:
+    for k, word in enumerate(words):
+        for j in range(PER_WORD):
+            i = PER_WORD * k + j
+            other, near = NEUTRAL[i * 5 % len(NEUTRAL)], words[(k + 7 * j + 1) % len(words)]
+            name = [f"{word}-{other}", f"{other}-{word}", f"{word}{other}", word, f"{word}-{near}", f"{other}{word}"][j]
+            yield f"{'https' if i % 3 else 'http'}://{FRONT[i * 7 % 5]}{name}.example{_paths(i * 11 // 3)}"
+
+
+def _invented(n: int) -> Iterator[str]:
+    """Names without a meaning: what is not known is let through."""
+    for i in range(n):
+        name = "".join(SYLLABLES[(i * p + q) % len(SYLLABLES)] for p, q in ((3, 1), (5, i // 16), (7, i // 5))[: 2 + i % 2])
+        yield f"https://{FRONT[i % 5]}{name}.example{_paths(i)}"
+
+
+LABELLED = tuple((u, "block") for u in _urls(BLOCK_WORDS)) + tuple((u, "allow") for u in (*_urls(ALLOW_WORDS), *_invented(240)))
