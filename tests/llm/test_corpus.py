@@ -97,6 +97,25 @@ def test_packing_is_a_round_trip(spark, rows):
     assert packing.packed(frame(spark, [])).count() == 0
 
 
+def test_runs_of_equal_pieces_do_not_grow_with_the_corpus():
+    rng = np.random.default_rng(1)
+    shapes = {"falling": 1 / np.arange(1, 2049) ** 1.1, "even": np.ones(2048), "long": np.arange(1, 2049) ** 2.0}
+    for total in (10**4, 10**6, 2 * 10**10):
+        for name, weight in shapes.items():
+            many = np.round(weight / weight.sum() * total * rng.uniform(0.5, 1.5, 2048)).astype(int)
+            counts = {n + 1: int(c) for n, c in enumerate(many) if c}
+            runs = packing.place_runs(counts)
+            assert len(runs) < 30_000
+            placed = Counter()
+            for n, _, took, _, offset in runs.tolist():
+                placed[n] += took
+                assert offset + n <= packing.LIMIT
+            assert placed == counts
+            if name != "long":  # more than half of a sequence each cannot share one
+                tokens = sum(n * c for n, c in counts.items())
+                assert (runs[:, 3] + runs[:, 2]).max() <= 1.01 * -(-tokens // packing.LIMIT)
+
+
 # --- mixing, shards -------------------------------------------------------------------------
 
 
@@ -233,6 +252,31 @@ def test_repetition(spark):
         assert r.base_failed == (len(words) < 50 or 100 * len(inside) > 50 * len(words)) and not (r.base_failed and r.kept)
 
 
+def test_maximal_repeats_are_all_found():
+    rnd = random.Random(12)
+    for least in (1, 2, 4):
+        texts = [[rnd.randrange(3) for _ in range(rnd.randrange(60))] for _ in range(12)] + [[5] * 30, [], [1]]
+        words, rows = np.array([w for t in texts for w in t]), np.array([i for i, t in enumerate(texts) for _ in t])
+        sa, common = repetition.suffix_array(words, rows)
+        starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        got = Counter()
+        for first, last, length in repetition.maximal_repeats(words, rows, sa, common, least):
+            row = rows[sa[first]]
+            got[int(row), tuple(sorted((sa[first : last + 1] - starts[row]).tolist())), length] += 1
+        want = Counter()
+        for r, t in enumerate(texts):
+            for n in range(least, len(t)):
+                places = defaultdict(list)
+                for i in range(len(t) - n + 1):
+                    places[tuple(t[i : i + n])].append(i)
+                for at in places.values():
+                    left = {t[i - 1] if i else ("start", i) for i in at}
+                    right = {t[i + n] if i + n < len(t) else ("end", i) for i in at}
+                    if len(at) > 1 and len(left) > 1 and len(right) > 1:
+                        want[r, tuple(at), n] += 1
+        assert got == want
+
+
 def test_url_rules(spark):
     urls = [None, "", "nothing", "HTTP://Shop.EXAMPLE.com/en/a?b#c", "x://www.example.com/en/", "http://a.www.example.com/en/x", "http://example.com/de", "http://com", "ftp://b.net/es/1", "//net/fr/", "http://net/fr/x://y", "http://xnet/es/", "http://casino-slots-win.example/"]
     pages = spark.createDataFrame([(i, u, "x", 1.0) for i, u in enumerate(urls)], "page_id long, url string, host string, p_block double")
@@ -243,6 +287,51 @@ def test_url_rules(spark):
     assert all(x[3] in ("allow", "block") for x in out)
 
 
+def parsed_url(url):
+    """Host and path by hand."""
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    return host, re.split(r"[?#]", rest[cut:], maxsplit=1)[0]
+
+
+def test_url_model_on_held_out_labels():
+    """Ten folds over the labelled table; a model that allows all would be right for 0.66."""
+    rows = [(*parsed_url(u), v == "block") for u, v in url_filter.LABELLED]
+    assert len(rows) > 600 and len(set(rows)) > 0.95 * len(rows)
+    fold = np.array([zlib.crc32(f"{h}{p}".encode()) % 10 for h, p, _ in rows])
+    right = 0
+    for k in range(10):
+        inside = [r for r, f in zip(rows, fold) if f != k]
+        out = [r for r, f in zip(rows, fold) if f == k]
+        model = url_filter.fit([r[0] for r in inside], [r[1] for r in inside], np.array([r[2] for r in inside]))
+        p = url_filter.block_probability(model, [r[0] for r in out], [r[1] for r in out])
+        right += sum((p >= 0.5) == np.array([r[2] for r in out]))
+    assert right >= 0.9 * len(rows)
+
+
+def test_url_filter_against_plain_rules_and_its_cases(spark):
+    rnd = random.Random(2)
+    parts = ["example.com", "www.example.com", "EXAMPLE.com", "a.net", "net", "notexample.com", "x.org", "casino-city.example.org", ""]
+    urls = [f"{rnd.choice(['http', 'https', 'ftp', ''])}{rnd.choice(['://', '://', ':/'])}{rnd.choice(parts)}{rnd.choice(['/en/1', '/es/2', '/fr/', '/', '', '?a=/en/', '#x', '/EN/'])}" for _ in range(300)]
+    urls += [None, "", "://", "http://a.net/es/" + "long" * 50_000, "http://è.net/fr/ü", urls[0], urls[0]]
+    frame = spark.createDataFrame([(i, u, 1, "h") for i, u in enumerate(urls)], "page_id long, url string, rule int, host string").repartition(3)
+    got = {r.page_id: r for r in url_filter.judge(frame).collect()}
+    for i, url in enumerate(urls):
+        host, path = parsed_url(url)
+        fits = [(len(h + p), h + p, v) for (h, p), v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        _, rule, verdict = max(fits, default=(0, None, None))
+        r = got[i]
+        assert (r.host, r.path, r.rule) == (host, path, rule) and (verdict is None or r.verdict == verdict) and r.verdict in ("allow", "block")
+    assert url_filter.judge(frame.limit(0)).count() == 0
+    none = spark.createDataFrame([], "url string, verdict string")
+    assert {r.verdict for r in url_filter.judge(frame, none).filter("rule IS NULL").collect()} == {"allow"}
+    casino = next(r for i, r in got.items() if parsed_url(urls[i])[0] == "casino-city.example.org" and r.rule is None)
+    assert casino.verdict == "block"
+
+
 def test_toxicity_chain(spark):
     rnd = random.Random(9)
     docs, labels = [], []

@@ -3,7 +3,8 @@
 The index is a Parquet table bucketed and sorted by digest. A batch of documents is reduced
 to one row per digest (combined before the shuffle, so a text that makes up a third of all
 rows costs one row per task), anti-joined with the index by sort-merge on the bucketing, and
-what is new is appended. The index side of that join is never shuffled or sorted again.
+what is new is appended. The index side of that join is never shuffled again; each append adds a sorted file to a bucket,
+and a bucket of several files is sorted when it is read.
 
 Cases: a null text counts as empty; texts of white space alone are equal to the empty text;
 rows that agree in doc_id and length are ordered by their place in the table; an empty batch appends nothing;
