@@ -17,6 +17,8 @@ from catalog.scores import SCORED_SQL, V1_POINTS, V1_SCORE
 from upswell import config as C
 from upswell.operators import claims as K
 from upswell.operators.merge import read_merged
+from upswell.operators.quality import side_by_side
+from upswell.plans.legacy import refresh_v1 as run_v1_articles
 from upswell.plans.legacy import run_v1_refresh as run_v1
 from upswell.plans.news import run_news_refresh as run_news
 from upswell.plans.refresh import RefreshInputs, run_ranking_refresh as run_ranking
@@ -127,6 +129,32 @@ def run_v1_refresh(t: Tables):
     return out.select("company_name", "region", "funding_amount_usd", "homepage", "hiring_status", "contact_email", "momentum_score", "data_confidence")
 
 
+_WHOLE_V1 = V1_RUN_SQL.replace(
+    "recs AS (SELECT s.*, a.link AS source_url FROM startups s LEFT JOIN site_articles a ON a.page_id = s.ord)",
+    "recs AS (SELECT s.*, a.link AS source_url FROM startups s LEFT JOIN run_numbered a ON a.batch_id * 8 + a.source_index - 1 = s.ord)",
+).replace("FROM site_articles GROUP BY 1", "FROM run_numbered GROUP BY 1")
+
+
+@query(
+    "run_v1_whole", "PIPE-2 SNK-1 SNK-6 SNK-7 AGG-2", "startups run_numbered crawl",
+    _WHOLE_V1 + f""", rows AS (SELECT company_name, {V1_SCORE} AS momentum_score, CAST(round_even(100.0::DOUBLE * ({_FILLED}) / 8, 0) AS INT) AS data_confidence FROM points)
+    SELECT company_name, momentum_score, data_confidence, (SELECT count(*) FROM run_numbered) AS articles_scanned, (SELECT count(*) FROM rows) AS startups_found,
+      (SELECT count(*) FROM rows) AS stored FROM rows""",
+)
+def run_v1_whole(t: Tables):
+    """From articles and answers to snapshots and log; every second company is known before, with nothing but its name."""
+    names = ["company_name", "business_idea", "industry", "funding_stage", "funding_amount", "investors", "founder_name", "year_founded"]
+    row = F.to_json(F.struct(*names, F.col("region").alias("location"), (F.col("ord") % 8 + 1).cast("int").alias("source_index")), {"ignoreNullFields": "false"})
+    batch = F.floor(F.col("ord") / 8).alias("batch_id")
+    parts = F.sort_array(F.collect_list(F.struct("ord", row.alias("raw"))))
+    body = t("startups").groupBy(batch).agg(F.concat(F.lit("["), F.array_join(F.transform(parts, lambda p: p["raw"]), ", "), F.lit("]")).alias("content"))
+    known = t("startups").select("company_name").filter(F.crc32(F.col("company_name").cast("binary")) % 2 == 0)
+    result = run_v1_articles(refresh_inputs(t).articles, t("crawl"), known, t.now.cast("timestamp"), body.select("batch_id", F.lit("model").alias("provider"), "content"))
+    total = result.startups.agg(F.count(F.lit(1)).alias("stored"))
+    one = side_by_side([result.log.select("articles_scanned", "startups_found"), total])
+    return result.snapshots.select("company_name", "momentum_score", "data_confidence").join(one, F.lit(True))
+
+
 def refresh_inputs(t: Tables) -> RefreshInputs:
     """Articles numbered the way the stored answers number them; answers, pages, known
     companies, aliases and history all come from the given tables."""

@@ -116,10 +116,10 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     return parsed.withColumn("failed", ~ok).withColumn("records", F.when(ok, F.col("records"))).drop("_text")
 
 
-def explode_claims(parsed: DataFrame) -> DataFrame:
-    """One row per claim of the responses that did not fail."""
+def explode_claims(parsed: DataFrame, schema: str = schemas.CLAIM) -> DataFrame:
+    """One row per claim (a record of ``schema``) of the responses that did not fail."""
     one = parsed.filter(~F.col("failed")).select("batch_id", "provider", F.posexplode("records").alias("claim_pos", "raw"))
-    claim = one.withColumn("_claim", F.from_json("raw", schemas.CLAIM)).withColumn("present", F.json_object_keys("raw"))
+    claim = one.withColumn("_claim", F.from_json("raw", schema)).withColumn("present", F.json_object_keys("raw"))
     return claim.select(
         "batch_id", F.col("provider").alias("extraction_provider"), "claim_pos", "present", "_claim.*",
         (F.shiftleft("batch_id", 24) + F.col("claim_pos")).alias("ord"),

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upswell import config as C
+from upswell import schemas
 from upswell.functions.text import contains_any, contact_email, profile_link, text_or_empty, visible_text
 from upswell.operators import claims as K
 from upswell.operators import pages as W
+from upswell.operators import quality as Q
 from upswell.operators import scoring as P
 from upswell.operators.common import keep_first
 from upswell.operators.events import extract_amounts_v1
 from upswell.operators.tables import upsert_by_key
-from upswell.session import materialise
+from upswell.session import stored
+from upswell.sources.feeds import dedupe_links
 
 
 def first_homepage(records: DataFrame, articles: DataFrame, pages: DataFrame) -> DataFrame:
@@ -25,7 +30,7 @@ def first_homepage(records: DataFrame, articles: DataFrame, pages: DataFrame) ->
         return keep_first(found, ["name_key"], [F.col("link_ord")]).select("name_key", F.col("link").alias("homepage"))
 
     summaries = W.attach_articles(named, articles).withColumnRenamed("article_summary", "html")
-    by_summary = materialise(first(summaries))
+    by_summary = stored(first(summaries))
     bodies = pages.filter("status_code = 200").select(F.col("url").alias("source_url"), "html")
     by_page = first(named.join(by_summary, "name_key", "left_anti").join(bodies, "source_url", "inner"))
     return by_summary.unionByName(by_page)
@@ -67,8 +72,8 @@ def run_v1_refresh(
     facts = page_facts_v1(first_homepage(best, articles, pages), pages)
     rows = best.join(facts, "name_key", "left").withColumn("hiring_status", F.coalesce("hiring_status", F.lit("Unknown")))
     if refiner is not None:
-        numbered = materialise(K.number_companies(rows.drop("founder_name", "year_founded", "unique_moat")))
-        answers = materialise(K.parse_responses(K.apply_extractor(K.pack_company_batches(numbered), refiner)))
+        numbered = stored(K.number_companies(rows.drop("founder_name", "year_founded", "unique_moat")))
+        answers = stored(K.parse_responses(K.apply_extractor(K.pack_company_batches(numbered), refiner)))
         rows = K.attach_refined(numbered, answers)
     for c in ("founder_name", "year_founded"):
         if c not in rows.columns:
@@ -76,3 +81,41 @@ def run_v1_refresh(
     rows = extract_amounts_v1(K.classify_region(rows, substring=substring_regions))
     rows = P.data_confidence_v1(P.momentum_score_v1(rows, weights)).drop("name_key", "about_text", "ord")
     return rows if startups is None else upsert_by_key(startups, rows, ["company_name"])
+
+
+@dataclass
+class V1Result:
+    """The merged table, a snapshot per record of this run, and the run's log row."""
+
+    startups: DataFrame
+    snapshots: DataFrame
+    log: DataFrame
+
+
+def refresh_v1(
+    articles: DataFrame, pages: DataFrame, startups: DataFrame, run_ts: Column, responses: DataFrame | None = None, extractor: K.Extractor | None = None,
+    refiner: K.Extractor | None = None, weights: dict[str, float] | None = None,
+) -> V1Result:
+    """The older run from articles to snapshots and log: number, extract (or take ``responses``), cite, one record per company, enrich, score, merge by name.
+
+    A record that cites no article of its batch is kept without a source. The run fails if every extraction batch did.
+    """
+    unique = dedupe_links(articles)
+    numbered = K.number_articles(unique)
+    if responses is None:
+        if extractor is None:
+            raise ValueError("give responses or an extractor")
+        responses = K.apply_extractor(K.pack_batches(numbered), extractor)
+    parsed = stored(K.parse_responses(responses))
+    failure = Q.batch_failure_rate(parsed).first()
+    if failure.all_failed:
+        raise RuntimeError(f"every extraction batch failed ({failure.n_failed}/{failure.n_batches})")
+    records = K.attach_sources(K.explode_claims(parsed, schemas.STARTUP_RECORD), numbered)
+    records = stored(records.drop("source_text", "present", "batch_id", "claim_pos", "extraction_provider", "source_index", "published_at"))
+    summaries = unique.groupBy("link").agg(F.min("summary").alias("summary"))
+    rows = stored(run_v1_refresh(records, summaries, pages, weights=weights, refiner=refiner))
+    counted = Q.side_by_side([unique.agg(F.count(F.lit(1)).alias("articles_scanned")), rows.agg(F.count(F.lit(1)).alias("startups_found"))])
+    return V1Result(
+        upsert_by_key(startups, rows, ["company_name"]), rows.select("company_name", run_ts.alias("run_ts"), "momentum_score", "data_confidence"),
+        counted.select(run_ts.alias("run_ts"), "articles_scanned", "startups_found"),
+    )

@@ -15,6 +15,11 @@ CLAIM = (
     " event_type string, value string, investors string, evidence_excerpt string,"
     " source_index int, confidence double, status string, notes string"
 )
+#: A record of the older extraction.
+STARTUP_RECORD = (
+    "company_name string, business_idea string, industry string, location string, funding_stage string, funding_amount string,"
+    " investors string, founder_name string, year_founded string, source_index int"
+)
 IDENTITY_COLUMNS = [
     "company_id", "canonical_name", "normalized_name", "primary_domain", "headquarters_country", "description",
 ]
