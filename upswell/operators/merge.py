@@ -86,7 +86,7 @@ def merge_into(
     stored = batch.limit(0) if last is None else _table(spark, root, last, touched)
     merged = _with_bucket(upsert_by_key(stored, batch, keys, order, keep, newest), by, buckets)
     # a partition column comes last when it is read back
-    merged.repartition(F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/pending")
+    merged.repartition(F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(f"{root}/pending")
     seq, kind = 0 if last is None else last.seq + 1, merged.schema.json()
     _note(spark, root, seq, False, buckets, kind)
     _overwrite(spark.read.schema(merged.schema).parquet(f"{root}/pending"), root)
