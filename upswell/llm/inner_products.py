@@ -121,6 +121,7 @@ class _Best:
         self.block = block
         self.last_score, self.last_id = block.score.copy(), block.id.copy()
         self.q, self.score, self.id, self.uid = (np.zeros(0, np.int64) for _ in range(4))
+        self.seen = 0
         self.turned = block.v @ block.turn
         self.rest = np.sqrt(np.maximum((self.turned[:, block.first :] ** 2).sum(axis=1), 0))
 
@@ -131,8 +132,10 @@ class _Best:
             active = np.flatnonzero(b.norm * norm[at] * (1 + 1e-9) >= self.last_score)
             if not len(active):
                 return
-            to = at + max(64, PRODUCTS // len(active))
+            # few vectors first: without a threshold nothing is pruned
+            to = min(len(uid), at + min(max(64, PRODUCTS // len(active)), max(64, self.seen)))
             self._chunk(active, uid[at:to], ids[at:to], v[at:to], norm[at:to])
+            self.seen += to - at
             at = to
 
     def _chunk(self, active, uid, ids, v, norm) -> None:
