@@ -42,7 +42,7 @@ def rows():
 
 
 def test_every_query_of_the_list_is_there():
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
 
 
 # --- language -------------------------------------------------------------------------------
@@ -68,6 +68,33 @@ def test_language_without_labels_and_empty(spark, rows):
     assert language.accepted(none).count() == 0
 
 
+def test_language_scores_are_those_of_plain_naive_bayes(spark, rows):
+    """Rows that repeat and a very long text included."""
+    from upswell.llm import grams
+
+    docs = [*rows, rows[5], (400, "a", "fr", "rivière et maison " * 20_000)]
+    size = 1 << language.BITS
+    gram_counts = lambda t: Counter(grams.char_grams(grams.code_points([t])[0], language.LONGEST, language.BITS)[0].tolist())
+    learned = [(lang, gram_counts(t)) for d, _, lang, t in docs if t is not None and lang is not None and zlib.crc32(str(d).encode()) % 3 != 1]
+    langs = sorted({lang for lang, _ in learned})
+    total = {x: sum((c for lang, c in learned if lang == x), Counter()) for x in langs}
+    all_of = {x: sum(total[x].values()) + 0.5 * size for x in langs}
+    frame_ = frame(spark, docs)
+    got = defaultdict(list)
+    for r in language.predict(frame_, language.fit_on(frame_), F.col("doc_id")).collect():
+        got[r.doc_id].append((r.lang_pred, r.score))
+    for d, _, _, t in docs:
+        counts = gram_counts(t or "")
+        if not counts:
+            assert got[d][0] == ("und", 0.0)
+            continue
+        score = [np.log(sum(lang == x for lang, _ in learned) / len(learned)) + sum(n * np.log((total[x][b] + 0.5) / all_of[x]) for b, n in counts.items()) for x in langs]
+        p = np.exp(np.array(score) - max(score))
+        p /= p.sum()
+        for pred, value in got[d]:
+            assert pred == langs[int(p.argmax())] and abs(value - p.max()) < 1e-3
+
+
 # --- packing --------------------------------------------------------------------------------
 
 

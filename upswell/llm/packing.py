@@ -9,8 +9,8 @@ fits it at all, sequences are opened for it. Supersteps repeat until all is plac
 Documents of one length are interchangeable, and so are gaps of one size. The sorted lists are therefore runs: of documents one per
 length, of gaps a list of runs per size. A superstep moves whole runs, on the driver, as their number does not grow with the corpus:
 for lengths that fall off, are even, or are mostly long there were 1700 to 19,200 of them (0.1 to 0.4 s) for ten thousand pieces as for
-twenty billion, and `tests/llm` holds them below 30,000. As Spark jobs every superstep, of which there are
-thousands, would shuffle a few hundred numbers. What grows with the data is distributed: token counting, counting of lengths, the rank of every piece within its length, and the look-up of its
+twenty billion, and `tests/llm` holds them below 30,000. There are 1000 to 15,700 supersteps, each over at most about
+1160 runs of gaps: a Spark job for each would move a few kilobytes. What grows with the data is distributed: token counting, counting of lengths, the rank of every piece within its length, and the look-up of its
 place. A length that holds a third of all pieces is ranked in hashed parts of bounded size.
 
 The ids are those of the given tokenizer file. For byte-level BPE files whose ids follow their merges, `tiktoken` computes them
