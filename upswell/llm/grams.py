@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters worked on at once; a longer text is a batch of its own.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 _MIX = np.uint32(2654435761)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_BASE), -1, 2**64))

@@ -100,12 +100,12 @@ def _stretches(places: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
-def predict(docs: DataFrame, model: LanguageModel, *keep: Column) -> DataFrame:
-    """``keep`` columns with lang_pred and score; only the text is looked at."""
+def predict(docs: DataFrame, model: LanguageModel, *keep: Column, with_text: bool = False) -> DataFrame:
+    """``keep`` columns (and the text as ``__text``) with lang_pred and score; only the text is looked at."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     rows = docs.select(*keep, F.col("text").alias("__text"))
-    schema = rows.drop("__text").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    schema = (rows if with_text else rows.drop("__text")).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,8 +114,9 @@ def predict(docs: DataFrame, model: LanguageModel, *keep: Column) -> DataFrame:
                 a, b = score_texts(shared.value, texts)
                 langs += a
                 scores.append(b)
-            rest = [batch.column(i) for i in range(batch.num_columns - 1)]
-            names = [*batch.schema.names[:-1], "lang_pred", "score"]
+            own = batch.num_columns - (not with_text)
+            rest = [batch.column(i) for i in range(own)]
+            names = [*batch.schema.names[:own], "lang_pred", "score"]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names)
 
     return rows.mapInArrow(run, schema)
@@ -138,5 +139,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is found with at least this probability; all their columns."""
     names = docs.columns
-    scored = predict(docs, fit_on(docs), F.struct(*[docs[f"`{c}`"] for c in names]).alias("__row"))
-    return scored.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*[F.col("__row")[c].alias(c) for c in names])
+    # the text goes through the tasks once, beside the other columns
+    others = F.struct(F.lit(0).alias("__none"), *[docs[f"`{c}`"] for c in names if c != "text"]).alias("__row")
+    scored = predict(docs, fit_on(docs), others, with_text=True).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return scored.select(*[(F.col("__text") if c == "text" else F.col("__row")[c]).alias(c) for c in names])
