@@ -23,7 +23,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write once as Parquet in the shared folder and read back: lineage is cut there, and
     an executor lost later costs no recomputation."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -45,12 +45,19 @@ def rows_of(docs: DataFrame, keepers: DataFrame) -> DataFrame:
     match null ids. All columns of ``docs`` are returned, whatever their names.
     """
     names = docs.columns
-    wide = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), docs["doc_id"].alias("d_id"), text_key(docs["text"]).alias("d_text"))
-    on = F.col("d_id").eqNullSafe(F.col("k_id")) & (F.col("d_text") == F.col("k_text"))
-    kept = wide.join(keepers, on, "left_semi").dropDuplicates(["d_id", "d_text"])
+    wide = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), *row_key(docs["doc_id"], text_key(docs["text"])))
+    kept = wide.join(keepers.select(*row_key(F.col("k_id"), F.col("k_text"))), KEY, "left_semi").dropDuplicates(KEY)
     return kept.select(*[F.col("row")[c].alias(c) for c in names])
 
 
+KEY = ["key_none", "key_id", "key_text"]
+
+
+def row_key(doc_id: Column, key: Column) -> list[Column]:
+    """A document's id, null or not, and its ``text_key`` as the columns ``KEY``, never null: joins and duplicates by them share one shuffle."""
+    return [doc_id.isNull().alias(KEY[0]), F.coalesce(doc_id, F.lit(0)).cast("long").alias(KEY[1]), key.alias(KEY[2])]
+
+
 def text_key(text: Column) -> Column:
     """64-bit key of a text, with null unlike the empty text; used only together with doc_id."""
     return F.xxhash64(text.isNull(), text)

@@ -38,13 +38,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from upswell.llm import octets
-from upswell.llm.common import rows_of, store, text_key
+from upswell.llm.common import KEY, row_key, rows_of, store, text_key
 from upswell.llm.components import components
 
 #: Shingles that one task holds at once in the second step, about.
 BLOCK = 1_000_000
 #: Bytes of text that are described together.
-DESCRIBE_BYTES = 2_000_000
+DESCRIBE_BYTES = 500_000
 PIVOTS = 8
 LEAF = 24
 #: Shingles by which an agreement is taken without a look at the counts by bucket.
@@ -214,6 +214,21 @@ def stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return key[first], node[first], pairs
 
 
+def _packed_owners(owner: np.ndarray) -> bytes:
+    """Owners of consecutive keys: number of runs, their nodes and lengths; as they are after a 0 where that is shorter."""
+    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    if 12 * len(first) >= 8 * len(owner):
+        return np.int64(0).tobytes() + owner.tobytes()
+    return np.int64(len(first)).tobytes() + owner[first].tobytes() + np.diff(np.append(first, len(owner))).astype(np.uint32).tobytes()
+
+
+def _owners(data: bytes) -> np.ndarray:
+    runs = int(np.frombuffer(data, np.int64, 1)[0])
+    if not runs:
+        return np.frombuffer(data, np.int64, offset=8)
+    return np.repeat(np.frombuffer(data, np.int64, runs, 8), np.frombuffer(data, np.uint32, runs, 8 + 8 * runs))
+
+
 def _describe(width: int, percent: int, parts: int):
     """Rows of three kinds: 0 a document (doc_id, text_key, set, counts by bucket), 1 keys of one part of the shuffle, 2 edges found in the batch."""
 
@@ -238,12 +253,13 @@ def _describe(width: int, percent: int, parts: int):
                 key, owner, pairs = stars(key[~weak], owner[~weak])
                 key, owner = np.concatenate([key, few]), np.concatenate([owner, of_few])
                 part = ((key >> np.uint64(1)) % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part.astype(np.int32), kind="stable")
+                # keys of one set together: its number is then written once
+                order = np.lexsort((owner, part))
                 key, owner, part = key[order], owner[order], part[order]
                 n, used = batch.num_rows, np.flatnonzero(np.bincount(part, minlength=parts)) if len(part) else np.zeros(0, np.int64)
                 cut = np.searchsorted(part, [*used, parts])
                 packed = [key[a:b].tobytes() for a, b in zip(cut, cut[1:])]
-                owners = [owner[a:b].tobytes() for a, b in zip(cut, cut[1:])]
+                owners = [_packed_owners(owner[a:b]) for a, b in zip(cut, cut[1:])]
                 m = len(used)
                 e = 1 if len(pairs) else 0
                 yield pa.RecordBatch.from_arrays(
@@ -274,7 +290,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, nodes = [], []
     for batch in batches:
         keys += [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("data")]
-        nodes += [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("owners")]
+        nodes += [_owners(x.as_buffer()) for x in batch.column("owners")]
     if keys:
         key, node = np.concatenate(keys), np.concatenate(nodes)
         del keys, nodes
@@ -559,10 +575,9 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90, block: int = BLO
     cells = store(components(strong.unionByName(weak_links(members, components(strong), counted, percent))), "cells")
 
     one = sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.max("n").alias("n"))
-    members = one.join(cells, "node").select(F.col("root").alias("cell"), "node", "n", F.col("one.doc_id").alias("m_id"), F.col("one.text_key").alias("m_key"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
-    on = texts["doc_id"].eqNullSafe(members["m_id"]) & (texts["text_key"] == members["m_key"])
-    members = texts.join(members, on).dropDuplicates(["doc_id", "text_key"]).select("cell", "node", "n", "text")
+    members = one.join(cells, "node").select(F.col("root").alias("cell"), "node", "n", *row_key(F.col("one.doc_id"), F.col("one.text_key")))
+    texts = docs.select(*row_key(F.col("doc_id"), text_key(F.col("text"))), F.col("text").cast("string").alias("text"))
+    members = texts.join(members, KEY).dropDuplicates(KEY).select("cell", "node", "n", "text")
     roots = components(cell_links(store(members, "cell-texts"), width, percent, block))
     out = sets.join(roots, "node", "left")
     return store(out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("root")), "classes")
