@@ -2,7 +2,7 @@
 
 Each input is one SELECT in the part of SQL that Spark and DuckDB share, so the
 same text feeds the Spark query and its SQL check. ``{name}`` is a given table or
-another input. Three small macros cover what the dialects write differently.
+another input. Small macros cover what the dialects write differently.
 """
 
 from __future__ import annotations
@@ -21,12 +21,15 @@ TABLES = ["customer", "nation", "region", "supplier", "orders", "events", "docum
 MACROS = {
     "spark": {
         "ts": "timestamp_seconds({0})",
+        # Spark's round drops the sign of a zero, which shows in text
+        "tenths": "abs(round({0}, 1)) * signum({0})",
         "line": "substring_index({0}, chr(10), 1)",
         "rfc": "date_format({0}, 'EEE, dd MMM yyyy HH:mm:ss') || ' GMT'",
         "iso": "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
     },
     "duckdb": {
         "ts": "make_timestamp(({0}) * 1000000)",
+        "tenths": "round({0}, 1)",
         "line": "split_part({0}, chr(10), 1)",
         "rfc": "strftime({0}, '%a, %d %b %Y %H:%M:%S') || ' GMT'",
         "iso": "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')",
@@ -96,7 +99,7 @@ SELECT o_orderkey, cast(o_custkey AS string) AS company_id,
     WHEN 4 THEN 'acquired the firm for' WHEN 5 THEN 'launched a new fund of' WHEN 6 THEN 'called off a raise of' WHEN 7 THEN 'has a total addressable market of'
     WHEN 8 THEN 'closed new funding of' WHEN 9 THEN 'praised worthy' ELSE 'spent' END || ' '
     || CASE o_orderkey % 10 WHEN 0 THEN '$' WHEN 1 THEN '€' WHEN 2 THEN '£' WHEN 3 THEN '₹' WHEN 4 THEN 'Rs. ' WHEN 5 THEN 'INR ' WHEN 6 THEN '¥' WHEN 7 THEN 'US$ ' WHEN 8 THEN 'SGD' ELSE '' END
-    || cast(round(o_totalprice / 1000, 1) AS string)
+    || cast(@tenths[o_totalprice / 1000] AS string)
     || CASE o_orderkey % 7 WHEN 0 THEN 'K' WHEN 1 THEN 'M' WHEN 2 THEN ' million' WHEN 3 THEN ' crore' WHEN 4 THEN 'bn' WHEN 5 THEN ' lakh' ELSE '' END
     || CASE WHEN o_orderkey % 13 = 0 THEN ' EUR' ELSE '' END || ' on 1,250 terms' AS evidence_text,
   o_orderpriority, o_orderdate
@@ -277,7 +280,7 @@ SELECT CASE WHEN c_custkey % 9 = 0 THEN upper(c_name) || '.' ELSE c_name END AS
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS industry, c_mktsegment AS sector,
   cast(1990 + c_custkey % 30 AS string) AS year_founded, CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'A. Founder' END AS founder_name,
   CASE c_custkey % 7 WHEN 0 THEN 'Pre-seed' WHEN 1 THEN 'Seed' WHEN 2 THEN 'Series A' WHEN 3 THEN 'Series B' WHEN 4 THEN 'Series E' WHEN 5 THEN NULL ELSE 'bridge' END AS funding_stage,
-  CASE WHEN c_custkey % 8 = 0 THEN NULL WHEN c_custkey % 8 = 1 THEN '$8 million' ELSE '$' || cast(round(c_acctbal / 10, 1) AS string) || CASE c_custkey % 3 WHEN 0 THEN 'K' WHEN 1 THEN 'M' ELSE 'b' END END AS funding_amount,
+  CASE WHEN c_custkey % 8 = 0 THEN NULL WHEN c_custkey % 8 = 1 THEN '$8 million' ELSE '$' || cast(@tenths[c_acctbal / 10] AS string) || CASE c_custkey % 3 WHEN 0 THEN 'K' WHEN 1 THEN 'M' ELSE 'b' END END AS funding_amount,
   CASE WHEN c_custkey % 2 = 0 THEN 'Alpha Capital' ELSE NULL END AS investors,
   CASE WHEN c_custkey % 3 = 0 THEN 'Likely hiring' ELSE 'Unknown' END AS hiring_status,
   CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'a@c.com' END AS contact_email,
