@@ -120,3 +120,25 @@ def test_row_index_is_gap_free_and_ordered(spark):
     rows = with_row_index(df, [F.col("h")]).orderBy("row_index").collect()
     assert [r.row_index for r in rows] == list(range(5000))
     assert [r.h for r in rows] == sorted(r.h for r in rows)
+
+
+def test_a_round_reads_its_own_block_and_few_earlier_keys(spark, monkeypatch):
+    from upswell.operators import independence
+
+    n, block = 1000, 100
+    chain = [("most", f"https://s{(i + 1) // 2}.com/{i}", "x", f"text {i // 2}", i) for i in range(n)]
+    df = spark.createDataFrame(chain, "company_id string, url string, title string, body string, ord long")
+    frames, store = [], independence.stored
+
+    def watched(frame, **how):
+        out = store(frame, **how)
+        frames.append((how.get("by"), set(out.columns), out))
+        return out
+
+    monkeypatch.setattr(independence, "stored", watched)
+    assert independent_sources(df, block).first().independent_sources == n // 2
+    # of what earlier rounds counted only the texts and domains of a later round are kept: in a chain at most one between two blocks
+    kept = [f.count() for _, names, f in frames if "_last" in names]
+    assert len(kept) == 2 + 2 * (n // block - 1) and max(kept[2:]) <= 1
+    parts = [f for by, _, f in frames if by == ["_round"]]
+    assert len(parts) == 1 and parts[0].filter("_round = 3").count() == block

@@ -97,21 +97,23 @@ def _sorted_query(query: Column) -> Column:
     )
     kept = F.filter(decoded, lambda p: ~F.lower(p["k"]).isin(C.TRACKING_QUERY_KEYS))
     return F.array_join(
-        F.transform(F.array_sort(kept), lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&"
+        F.transform(F.sort_array(kept), lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&"
     )
 
 
 def canonical_url(c: Column) -> Column:
     """Scheme and host lower-cased, fragment and tracking keys dropped, the other
-    query pairs sorted, trailing slashes of the path cut (an empty path is ``/``)."""
+    query pairs sorted, trailing slashes of the path cut (an empty path is ``/``).
+
+    Only the query stands in a branch: what is read several times outside of one is computed once a row.
+    """
     whole = F.substring_index(strip(text_or_empty(c)), "#", 1)
     base = F.substring_index(whole, "?", 1)
     head = F.regexp_extract(base, HEAD_PATTERN, 0)
     path = F.rtrim(F.substr(base, F.length(head) + 1), F.lit("/"))
-    path = F.coalesce(null_if_blank(path), F.lit("/"))
-    query = F.when(whole.contains("?"), _sorted_query(F.substr(whole, F.length(base) + 2))).otherwise(F.lit(""))
-    out = F.concat(F.lower(head), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
-    return F.when(text_or_empty(c) == "", F.lit("")).otherwise(out)
+    path = F.when(path != "", path).when(text_or_empty(c) == "", F.lit("")).otherwise(F.lit("/"))
+    query = F.when(whole.contains("?"), F.regexp_replace(_sorted_query(F.substr(whole, F.length(base) + 2)), "(?s)^(?=.)", "?"))
+    return F.concat(F.lower(head), path, F.coalesce(query, F.lit("")))
 
 
 def absolute_links(html: Column) -> Column:

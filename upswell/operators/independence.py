@@ -69,6 +69,12 @@ def _walk(counts_only: bool):
     return run
 
 
+def _spanning(pairs: DataFrame, key: str) -> DataFrame:
+    """The values of ``key`` that a company has in more than one round, with the last of these; most values have one round only."""
+    last = F.max("_round").alias("_last")
+    return stored(pairs.filter(F.col(key).isNotNull()).groupBy("company_id", key).agg(F.min("_round").alias("_first"), last).filter("_last > _first").drop("_first"))
+
+
 def independent_sources(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     """``company_id, independent_sources`` from ``company_id, url, title, body, ord``.
 
@@ -76,28 +82,34 @@ def independent_sources(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     domain was seen on a counted one. Each source depends on all earlier ones, so the walk is in order, but in blocks: block k of every
     company is walked in round k, all companies at once, after the pairs that share a text or domain with what earlier rounds counted are taken out.
     There are as many rounds as the largest company has blocks of distinct (text, domain) pairs, one for up to ``block`` of them, and no
-    task holds more than a block of one company.
+    task holds more than a block of one company. A round reads its own pairs, and of the texts and domains counted before only those that
+    some pair of this or a later round has.
     """
     pairs = stored(source_pairs(sources))
     most = pairs.groupBy("company_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first().n or 0
     rounds = max(1, -(-most // block))
+    used: dict[str, DataFrame | None] = {"text_hash": None, "site": None}
+    spanning: dict[str, DataFrame] = {}
     if rounds > 1:
         numbered = running_totals(pairs.withColumn("_one", F.lit(1)), ["company_id"], ["pos"], "_one")
-        pairs = stored(numbered.withColumn("_round", F.floor((F.col("_upto") - 1) / block)).drop("_one", "_upto", "_total"))
+        pairs = stored(numbered.withColumn("_round", F.floor((F.col("_upto") - 1) / block).cast("int")).drop("_one", "_upto", "_total"), by=["_round"])
+        spanning = {key: _spanning(pairs, key) for key in used}
     else:
         pairs = pairs.withColumn("_round", F.lit(0))
-    used, counted = None, None
+    counted = None
     for k in range(rounds):
         live = pairs.filter(F.col("_round") == k)
-        if used is not None:
-            live = live.join(used.select("company_id", "text_hash").distinct(), ["company_id", "text_hash"], "left_anti")
-            live = live.join(used.filter("site IS NOT NULL").select("company_id", "site").distinct(), ["company_id", "site"], "left_anti")
+        for key, seen in used.items():
+            if seen is not None:
+                live = live.join(seen.select("company_id", key), ["company_id", key], "left_anti")
         rows = live.select("company_id", "pos", "text_hash", "site").repartition("company_id").sortWithinPartitions("company_id", "pos").drop("pos")
         last = k == rounds - 1
         chosen = rows.mapInArrow(_walk(last), "company_id string" if last else "company_id string, text_hash string, site string")
         if not last:
             chosen = stored(chosen)
-            used = chosen if used is None else used.unionAll(chosen)
+            for key, seen in used.items():
+                new = spanning[key].filter(F.col("_last") > k).join(chosen.select("company_id", key), ["company_id", key], "left_semi")
+                used[key] = stored(new if seen is None else seen.filter(F.col("_last") > k).unionByName(new))
         ids = chosen.select("company_id")
         counted = ids if counted is None else counted.unionAll(ids)
     return counted.groupBy("company_id").agg(F.count(F.lit(1)).cast("int").alias("independent_sources"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,10 +55,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write once as Parquet in the shared folder and read back: lineage is cut there, and later reads take only the columns they need."""
+def stored(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Write once as Parquet in the shared folder and read back: lineage is cut there, and later reads take only the columns they need, and
+    of a frame stored in parts ``by`` some columns only the parts they ask for."""
     path = f"{shared_folder(df.sparkSession)}/frames/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
