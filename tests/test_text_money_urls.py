@@ -157,3 +157,20 @@ def test_amounts_in_sentences(column):
     assert [tuple(r) for r in column(read, texts)] == [
         (4.2e6, "USD"), (50.0, "USD"), (5e6, "USD"), (3.5e6, "EUR"), (1e8, "INR"), (5e6, "EUR"), (None, None), (None, None),
     ]
+
+
+def test_overlap_finds_the_words_of_each_text_once(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from upswell.functions.text import evidence_overlap
+
+    texts = ["", None, "a b a", "É x1", "...", "A,b", "x1 É b", "b..a", "-"]
+    pairs = spark.createDataFrame([(q, s) for q in texts for s in texts], "q string, s string")
+    rows = pairs.select("q", "s", evidence_overlap(F.col("q"), F.col("s")).alias("got"))
+    words = lambda t: set(re.findall("[a-z0-9]+", (t or "").lower()))
+    for r in rows.collect():
+        assert r.got == (len(words(r.q) & words(r.s)) / len(words(r.q)) if words(r.q) else 0.0)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("split(") == 1

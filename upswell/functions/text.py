@@ -117,11 +117,14 @@ def word_tokens(c: Column) -> Column:
 
 
 def evidence_overlap(excerpt: Column, source: Column) -> Column:
-    """Share of the excerpt's distinct words that also occur in the source; 0 when it has none."""
-    quoted = word_tokens(excerpt)
-    n = F.size(quoted)
-    shared = F.size(F.array_intersect(quoted, word_tokens(source)))
-    return F.when(n == 0, F.lit(0.0)).otherwise(shared / n)
+    """Share of the excerpt's distinct words that also occur in the source; 0 when it has none.
+
+    The source is cut at what is not in a word, which is quicker than to find each word, and is not made distinct: the intersection is.
+    """
+    quoted = F.array(word_tokens(excerpt))
+    words = F.split(F.lower(text_or_empty(source)), "[^a-z0-9]+")
+    share = lambda q: F.when(F.size(q) == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(q, words)) / F.size(q))
+    return F.transform(quoted, share).getItem(0)
 
 
 def blank_tokens(c: Column) -> Column:
