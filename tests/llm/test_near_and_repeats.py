@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +123,31 @@ def test_one_of_each_keeps_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(expected)
 
 
+def test_keys_are_written_by_the_shuffle_only(spark, monkeypatch):
+    """Nothing as large as the texts is stored before the cells, and no shuffle file outlives the write it served."""
+    rnd, names = random.Random(6), []
+    rows = [(i, " ".join(f"w{rnd.randrange(10**6)}" for _ in range(400))) for i in range(120)]
+    stored = jaccard_join.store
+
+    def watched(df, name):
+        out = stored(df, name)
+        names.append((name, sum(os.path.getsize(f[len("file:") :].replace("//", "")) for f in out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "store", watched)
+    folders = [str(f) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in folders for _, _, fs in os.walk(d) for f in fs if f.endswith(".data")}
+    before = files()
+    jaccard_join.agreements(frame(spark, rows), 5, 80)
+    jaccard_join.described(frame(spark, rows), 5)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert {n for n, _ in names} == {"met", "shingles"} and sum(n for _, n in names) < sum(len(t) for _, t in rows) / 5
+
+
 def test_pairs_within_the_difference_share_a_key():
     rng = np.random.default_rng(1)
     for size in (1, 2, 5, 9, 15, 30, 77, 300):

@@ -12,6 +12,8 @@ from upswell.session import shared_folder
 #: The six white-space characters of the contracts: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Deletes the shuffle files of a query when it ends, instead of after a garbage collection of the driver.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -21,10 +23,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write once as Parquet in the shared folder and read back: lineage is cut there, and
-    an executor lost later costs no recomputation."""
-    path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    an executor lost later costs no recomputation. The shuffles of that write end with it: nothing reads them again."""
+    spark = df.sparkSession
+    path, before = new_folder(spark, name), spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def squeezed(text: Column) -> Column:

@@ -229,17 +229,34 @@ def _owners(data: bytes) -> np.ndarray:
     return np.repeat(np.frombuffer(data, np.int64, runs, 8), np.frombuffer(data, np.uint32, runs, 8 + 8 * runs))
 
 
-def _describe(width: int, percent: int, parts: int):
-    """Rows of three kinds: 0 a document (doc_id, text_key, set, counts by bucket), 1 keys of one part of the shuffle, 2 edges found in the batch."""
+def _describe(width: int):
+    """A row a document: doc_id, text_key, number of shingles, counts by bucket and set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in octets.chunks(whole, "text", DESCRIBE_BYTES):
-                data, offsets = octets.octets(batch.column("text"))
-                value, at = shingles(data, offsets, width)
-                prints = fingerprints(value, at)
+                value, at = _sets(batch, width)
+                node = fingerprints(value, at)[:, 0].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(at), pa.int64()), pa.array(as_bytes(histograms(value, at)), pa.binary()), pa.array(node, pa.int64())],
+                    ["doc_id", "text_key", "n", "counts", "node"],
+                )
+
+    return run
+
+
+DESCRIBED = "doc_id long, text_key long, n long, counts binary, node long"
+
+
+def _keys(width: int, percent: int, parts: int):
+    """Rows of two kinds: keys of one part of the shuffle with their sets, and, without ``owners``, edges found in the batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in octets.chunks(whole, "text", DESCRIBE_BYTES):
+                value, at = _sets(batch, width)
                 sizes = np.diff(at)
-                node = prints[:, 0].view(np.int64)
+                node = fingerprints(value, at)[:, 0].view(np.int64)
                 _, once = np.unique(node, return_index=True)
                 once = np.sort(once[sizes[once] > 0])
                 pick = np.zeros(len(sizes), bool)
@@ -256,41 +273,43 @@ def _describe(width: int, percent: int, parts: int):
                 # keys of one set together: its number is then written once
                 order = np.lexsort((owner, part))
                 key, owner, part = key[order], owner[order], part[order]
-                n, used = batch.num_rows, np.flatnonzero(np.bincount(part, minlength=parts)) if len(part) else np.zeros(0, np.int64)
+                used = np.flatnonzero(np.bincount(part, minlength=parts)) if len(part) else np.zeros(0, np.int64)
                 cut = np.searchsorted(part, [*used, parts])
                 packed = [key[a:b].tobytes() for a, b in zip(cut, cut[1:])]
                 owners = [_packed_owners(owner[a:b]) for a, b in zip(cut, cut[1:])]
-                m = len(used)
-                e = 1 if len(pairs) else 0
+                edges = [pairs.tobytes()] if len(pairs) else []
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([0] * n + [1] * m + [2] * e, pa.int32()),
-                        pa.concat_arrays([batch.column("doc_id"), pa.nulls(m + e, pa.int64())]),
-                        pa.concat_arrays([batch.column("text_key"), pa.nulls(m + e, pa.int64())]),
-                        pa.array([*sizes.tolist(), *used.tolist(), *[0] * e], pa.int64()),
-                        pa.array([*as_bytes(prints), *packed, *[pairs.tobytes()] * e], pa.binary()),
-                        pa.array([*as_bytes(histograms(value, at)), *owners, *[None] * e], pa.binary()),
-                        pa.concat_arrays([pa.array(node, pa.int64()), pa.nulls(m + e, pa.int64())]),
+                        pa.array([*used.tolist(), *[int(p[0]) % parts for p in pairs[:1]]], pa.int64()),
+                        pa.array([*packed, *edges], pa.binary()),
+                        pa.array([*owners, *[None] * len(edges)], pa.binary()),
                     ],
-                    ["kind", "doc_id", "text_key", "number", "data", "owners", "node"],
+                    ["number", "data", "owners"],
                 )
 
     return run
 
 
-DESCRIBED = "kind int, doc_id long, text_key long, number long, data binary, owners binary, node long"
+KEYS = "number long, data binary, owners binary"
 
 
-def _edges_of(pairs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+def _agreements(pairs: np.ndarray, weak: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64()), pa.array([weak] * len(pairs), pa.bool_())], ["a", "b", "weak"])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between sets that share a strong key, and (set, key) where sets share a weak one; all rows of a key are in this task."""
+    """Edges between sets that share a strong key, and (set, key) where sets share a weak one; all rows of a key are in this task.
+
+    Edges that a batch of texts has found pass unchanged.
+    """
     keys, nodes = [], []
     for batch in batches:
-        keys += [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("data")]
-        nodes += [_owners(x.as_buffer()) for x in batch.column("owners")]
+        for data, owners in zip(batch.column("data"), batch.column("owners")):
+            if owners.is_valid:
+                keys.append(np.frombuffer(data.as_buffer(), np.uint64))
+                nodes.append(_owners(owners.as_buffer()))
+            else:
+                yield _agreements(np.frombuffer(data.as_buffer(), np.int64).reshape(-1, 2), False)
     if keys:
         key, node = np.concatenate(keys), np.concatenate(nodes)
         del keys, nodes
@@ -305,8 +324,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same = key[1:] == key[:-1]
         shared = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(key) else np.zeros(0, bool)
         members = np.stack([node[shared], key[shared].view(np.int64)], axis=1)
-        for rows, kind in ((pairs, False), (members, True)):
-            yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0], pa.int64()), pa.array(rows[:, 1], pa.int64()), pa.array([kind] * len(rows), pa.bool_())], ["a", "b", "weak"])
+        yield _agreements(pairs, False)
+        yield _agreements(members, True)
 
 
 def _weak_edges(percent: int):
@@ -376,12 +395,6 @@ def weak_links(members: DataFrame, strong: DataFrame, sets: DataFrame, percent:
     return links.unionByName(within).unionByName(across)
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for x in batch.column("data"):
-            yield _edges_of(np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2))
-
-
 # --- step 2: regions ------------------------------------------------------------------------
 
 
@@ -516,11 +529,20 @@ def _join_cells(width: int, percent: int):
     return run
 
 
-def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
+
+
+def described(docs: DataFrame, width: int) -> DataFrame:
     """Stored rows of ``_describe``."""
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
-    return store(rows.mapInArrow(_describe(width, percent, parts), DESCRIBED), "shingles")
+    return store(_texts(docs).mapInArrow(_describe(width), DESCRIBED), "shingles")
+
+
+def agreements(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Stored rows of ``_meet``. The keys are about as large as the texts: they go from the batches straight through the shuffle and are written nowhere else."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = _texts(docs).select("text").mapInArrow(_keys(width, percent, 4 * parts), KEYS)
+    return store(keys.repartition(parts, "number").drop("number").mapInArrow(_meet, f"{LINK}, weak boolean"), "met")
 
 
 def _join(rows: DataFrame, by: list[str], width: int, percent: int) -> DataFrame:
@@ -563,16 +585,13 @@ def cell_links(members: DataFrame, width: int, percent: int, block: int = BLOCK)
 
 def classes(docs: DataFrame, width: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
     """doc_id, text_key, n_shingles and root (a number of the class; null without shingles) of every document."""
-    rows = described(docs, width, percent)
-    sets = rows.filter("kind = 0").select("doc_id", "text_key", F.col("number").alias("n"), "node")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = rows.filter("kind = 1").select("number", "data", "owners").repartition(parts, "number").drop("number").mapInArrow(_meet, f"{LINK}, weak boolean")
-    met = store(met, "met")
-    local = rows.filter("kind = 2").select("data").mapInArrow(_unpack, LINK)
-    strong = store(met.filter("NOT weak").drop("weak").unionByName(local), "strong")
-    counted = rows.filter("kind = 0 AND number > 0").groupBy("node").agg(F.max("number").alias("n"), F.max("owners").alias("counts"))
+    rows = described(docs, width)
+    sets = rows.drop("counts")
+    met = agreements(docs, width, percent)
+    known = met.filter("NOT weak").drop("weak")
+    counted = rows.filter("n > 0").groupBy("node").agg(F.max("n").alias("n"), F.max("counts").alias("counts"))
     members = met.filter("weak").select(F.col("a").alias("node"), F.col("b").alias("key"))
-    cells = store(components(strong.unionByName(weak_links(members, components(strong), counted, percent))), "cells")
+    cells = store(components(known.unionByName(weak_links(members, components(known), counted, percent))), "cells")
 
     one = sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.max("n").alias("n"))
     members = one.join(cells, "node").select(F.col("root").alias("cell"), "node", "n", *row_key(F.col("one.doc_id"), F.col("one.text_key")))
