@@ -123,6 +123,18 @@ def test_one_of_each_keeps_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(expected)
 
 
+def test_large_sets_by_finer_counts():
+    """Unlike sets of 5000 shingles that share a weak key are kept apart, linked ones joined, also where their bucket numbers differ."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(1, 2**63, 8200).astype(np.uint64)
+    sets = [base, base[:8190], np.append(base[:7900], base[:90] + np.uint64(1)), rng.integers(1, 2**63, 8000).astype(np.uint64), rng.integers(1, 2**63, 8195).astype(np.uint64)]
+    counts = jaccard_join.fine_histograms(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])]))
+    assert len(counts[0]) == 2 * len(counts[1]) and (jaccard_join.folded(np.frombuffer(counts[0], np.uint8), len(counts[1])).sum() == 8200)
+    rows = pa.table({"key": [1] * 5, "node": range(5), "root": range(5), "n": [len(x) for x in sets], "counts": counts})
+    found = jaccard_join._weak_edges(80)(rows)
+    assert {x for p in zip(*found.to_pydict().values()) for x in p} == {0, 1, 2} and found.num_rows >= 2
+
+
 def test_keys_are_written_by_the_shuffle_only(spark, monkeypatch):
     """Nothing as large as the texts is stored before the cells, and no shuffle file outlives the write it served."""
     rnd, names = random.Random(6), []

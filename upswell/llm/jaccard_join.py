@@ -8,7 +8,7 @@ region. The join therefore has two steps, both exact.
    universe of shingles is hashed into more than ``d / 2`` parts, so two such sets differ in at most one shingle in at least one part.
    Each part has three thirds: one difference leaves two thirds that agree completely. Sets that agree in two thirds of a part
    with ``STRONG`` shingles or more are joined to the first of them. Fewer shingles may agree by a short common passage: there two sets are
-   joined only if the counts of their shingles by bucket do not differ by more than ``d`` altogether, as they cannot in linked sets.
+   joined only if the counts of their shingles by bucket (more buckets for larger sets) do not differ by more than ``d`` altogether, as they cannot in linked sets.
    Connected sets form a cell; no link leaves a cell. Sizes are
    classed so that sets of one or of neighbouring classes meet. Thirds that are empty do not count; a (small) set that has more
    parts with such thirds than were added for that also meets others by the pairs of its smallest hashes, of which linked sets share one.
@@ -104,6 +104,22 @@ def histograms(value: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 255).astype(np.uint8).reshape(n, BUCKETS)
 
 
+def fine_histograms(value: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """``histograms`` with at least a bucket for 8 shingles: unlike sets of very many shingles differ too little in few buckets."""
+    sizes, out = np.diff(offsets), as_bytes(histograms(value, offsets))
+    scrambled = octets.mix(value ^ np.uint64(0x2B7E151628AED2A6))
+    for i in np.flatnonzero(sizes > 8 * BUCKETS).tolist():
+        buckets = BUCKETS << int(np.ceil(np.log2(sizes[i] / (8 * BUCKETS))))
+        counts = np.bincount((scrambled[offsets[i] : offsets[i + 1]] % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+        out[i] = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return out
+
+
+def folded(counts: np.ndarray, buckets: int) -> np.ndarray:
+    """Counts by bucket in fewer buckets, as ``histograms`` has them there."""
+    return np.minimum(counts.reshape(-1, buckets).sum(axis=0, dtype=np.int64), 255)
+
+
 LINK = "a long, b long"
 
 
@@ -238,7 +254,7 @@ def _describe(width: int):
                 value, at = _sets(batch, width)
                 node = fingerprints(value, at)[:, 0].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(at), pa.int64()), pa.array(as_bytes(histograms(value, at)), pa.binary()), pa.array(node, pa.int64())],
+                    [batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(at), pa.int64()), pa.array(fine_histograms(value, at), pa.binary()), pa.array(node, pa.int64())],
                     ["doc_id", "text_key", "n", "counts", "node"],
                 )
 
@@ -338,12 +354,19 @@ def _weak_edges(percent: int):
         table = table.combine_chunks().sort_by("key")
         key, node, root, n = (table.column(c).to_numpy() for c in ("key", "node", "root", "n"))
         side = table.column("side").to_numpy() if "side" in table.column_names else None
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+        fine = [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()]
+        counts = np.array([folded(x, BUCKETS) for x in fine], np.int16).reshape(-1, BUCKETS)
+        large = np.array([len(x) > BUCKETS for x in fine], bool)
 
         def near(i, j) -> np.ndarray:
             """Whether sets i and j may be linked."""
-            apart = np.abs(counts[i] - counts[j]).sum(axis=1, dtype=np.int64)
-            return (apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)) | (root[i] == root[j])
+            may, same = (n[i] + n[j]) * (100 - percent), root[i] == root[j]
+            ok = np.abs(counts[i] - counts[j]).sum(axis=1, dtype=np.int64) * (100 + percent) <= may
+            for k in np.flatnonzero(ok & ~same & large[i] & large[j]):
+                a, b = fine[i[k]], fine[j[k]]
+                buckets = min(len(a), len(b))
+                ok[k] = np.abs(folded(a, buckets) - folded(b, buckets)).sum() * (100 + percent) <= may[k]
+            return ok | same
 
         cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
         two = cuts[:-1][np.diff(cuts) == 2]
