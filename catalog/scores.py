@@ -260,8 +260,8 @@ def momentum_stored_weights(t: Tables):
     return G.momentum_score(scored(t), weights).select("company_id", "momentum_score")
 
 
-def scored(t: Tables):
-    return score(t("companies"), t("company_events"), C.stage_thresholds_frame(t.spark), t.now)
+def scored(t: Tables, gate: C.EligibilityConfig | None = None):
+    return score(t("companies"), t("company_events"), C.stage_thresholds_frame(t.spark), t.now, gate=gate)
 
 
 @query(
@@ -320,7 +320,8 @@ def why_ranked(t: Tables):
 
 
 def ranked(t: Tables):
-    return G.rank_regions(G.eligibility_gate(scored(t)).filter("eligible"))
+    gate = C.EligibilityConfig()
+    return G.rank_regions(G.eligibility_gate(scored(t, gate), gate).filter("eligible"))
 
 
 @query(

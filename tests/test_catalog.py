@@ -50,6 +50,31 @@ def test_an_upsert_query_covers_all_companies(spark):
     assert companies in [entry.queries()[n](spark, SF).select("company_id").distinct().count() for n in upserts]
 
 
+def test_a_ranking_reads_the_sources_of_companies_that_may_pass(spark, monkeypatch):
+    from catalog import scores
+    from upswell import config as C
+    from upswell.operators import ranking as G
+    from upswell.plans import ranking
+
+    read, count = [], ranking.independent_sources
+
+    def watched(sources, **how):
+        read.append({r.company_id for r in sources.select("company_id").distinct().collect()})
+        return count(sources, **how)
+
+    monkeypatch.setattr(ranking, "independent_sources", watched)
+    tables = entry.Tables(spark, SF)
+    # the second gate leans on the number of sources, most companies pass the third
+    for cfg in (C.EligibilityConfig(), C.EligibilityConfig(min_sources=4, event_window_days=9999), C.EligibilityConfig(min_confidence=0, min_sources=0, event_window_days=9999)):
+        whole = G.eligibility_gate(scores.scored(tables), cfg).filter("eligible")
+        early = G.eligibility_gate(scores.scored(tables, cfg), cfg).filter("eligible").select(*whole.columns)
+        want = _rows(whole.columns, [tuple(r) for r in whole.collect()])
+        assert want and _rows(early.columns, [tuple(r) for r in early.collect()]) == want
+        every, some = read[-2:]
+        passed = {r.company_id for r in whole.select("company_id").collect()}
+        assert some < every and passed & every <= some
+
+
 def test_uncapped_scans_return_all_items(spark):
     tables, queries = entry.Tables(spark, SF), entry.queries()
     assert queries["scan_feed_items_all"](spark, SF).count() == tables("feed_raw").count()

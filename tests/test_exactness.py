@@ -69,6 +69,28 @@ def test_a_long_chain_of_copies(spark):
         assert got == {"most": n // 2, "few": 1, None: 1}
 
 
+def test_companies_of_few_sources_take_no_rounds(spark, monkeypatch):
+    from upswell.operators import independence
+
+    df, want = _sources(spark, 60, 60, 12, 12, 11)
+    frames, store = [], independence.stored
+
+    def watched(frame, **how):
+        frames.append(store(frame, **how))
+        return frames[-1]
+
+    monkeypatch.setattr(independence, "stored", watched)
+    got = {r.company_id: r.independent_sources for r in independent_sources(df).collect()}
+    # nothing but the list of companies of many sources, here none, is written before the walk
+    assert got == want and [f.columns for f in frames] == [["_many"]] and frames[0].count() == 0
+    # some companies go either way; so does a missing company
+    monkeypatch.setattr(independence, "SHORT", 30)
+    rows = [(None, f"https://s{i}.com/{i % 5}", "x", f"t{i // 2}", i) for i in range(40)]
+    both = df.unionByName(spark.createDataFrame(rows, df.schema))
+    got = {r.company_id: r.independent_sources for r in independent_sources(both).collect()}
+    assert got == {**want, None: 20} and 1 < frames[1].count() < 60
+
+
 def test_percentile_over_many_slices(spark):
     rng = random.Random(5)
     rows = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,23 +16,29 @@ from upswell.session import stored
 
 # Distinct (text, domain) pairs of one company that one task walks at a time.
 BLOCK = 1_000_000
+# Sources up to which a company is walked as it is, without those pairs.
+SHORT = 100_000
 
 
-def source_pairs(sources: DataFrame) -> DataFrame:
-    """First position of each distinct (company, text hash, domain).
-
-    A source whose canonical URL came earlier never counts, and of two sources
-    with the same text and domain only the first can, so both steps lose nothing.
-    They are plain grouped minima and combine before the shuffle.
-    """
+def keyed_sources(sources: DataFrame) -> DataFrame:
     domain = F.col("domain") if "domain" in sources.columns else F.lit(None).cast("string")
-    keyed = sources.select(
+    return sources.select(
         "company_id",
         canonical_url(F.col("url")).alias("link"),
         fingerprint(F.col("title"), F.col("body")).alias("text_hash"),
         F.coalesce(domain, registrable_domain(F.col("url"))).alias("site"),
         F.col("ord"),
     )
+
+
+def source_pairs(sources: DataFrame) -> DataFrame:
+    """First position of each distinct (company, text hash, domain).
+
+    A source whose canonical URL came earlier never counts, and of two sources
+    with the same text and domain only the first can, so both steps lose nothing.
+    They are plain grouped minima and combine before the shuffle.
+    """
+    keyed = keyed_sources(sources)
     first_use = keyed.groupBy("company_id", "link").agg(
         F.min(F.struct("ord", "text_hash", "site")).alias("_first")
     )
@@ -43,17 +50,22 @@ def source_pairs(sources: DataFrame) -> DataFrame:
 def _walk(counts_only: bool):
     """The ordered walk over rows sorted by company and position: the pairs that count, or how many per company.
 
-    What was used is kept for the company at hand only.
+    What was used is kept for the company at hand only. Rows with a ``link`` are whole sources: of each link only the first is looked at.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        company, texts, sites = None, set(), set()
+        company, links, texts, sites = None, set(), set(), set()
         for batch in batches:
             names, hashes, places = (batch.column(c).to_pylist() for c in ("company_id", "text_hash", "site"))
+            urls = batch.column("link").to_pylist() if "link" in batch.schema.names else repeat(None)
             kept = []
-            for i, (name, text, site) in enumerate(zip(names, hashes, places)):
+            for i, (name, text, site, url) in enumerate(zip(names, hashes, places, urls)):
                 if name != company:
-                    company, texts, sites = name, set(), set()
+                    company, links, texts, sites = name, set(), set(), set()
+                if url is not None:
+                    if url in links:
+                        continue
+                    links.add(url)
                 if text in texts or site in sites:
                     continue
                 texts.add(text)
@@ -79,7 +91,32 @@ def independent_sources(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     """``company_id, independent_sources`` from ``company_id, url, title, body, ord``.
 
     Walks a company's sources in ``ord`` order; one counts unless its URL, text or
-    domain was seen on a counted one. Each source depends on all earlier ones, so the walk is in order, but in blocks: block k of every
+    domain was seen on a counted one. Companies of few sources, as nearly all are, are walked after one shuffle; the others go
+    through ``_in_rounds``.
+    """
+    many = sources.groupBy("company_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > min(block, SHORT))
+    many = stored(many.select(F.col("company_id").alias("_many")))
+    has_many = F.col("company_id").eqNullSafe(F.col("_many"))
+    if many.isEmpty():
+        return _counts(_walked(keyed_sources(sources), True))
+    few = _walked(keyed_sources(sources.join(many, has_many, "left_anti")), True)
+    return _counts(few.unionAll(_in_rounds(sources.join(many, has_many, "left_semi"), block)))
+
+
+def _counts(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("company_id").agg(F.count(F.lit(1)).cast("int").alias("independent_sources"))
+
+
+def _walked(rows: DataFrame, counts_only: bool) -> DataFrame:
+    order = [c for c in ("company_id", "ord", "pos", "link", "text_hash", "site") if c in rows.columns]
+    ordered = rows.repartition("company_id").sortWithinPartitions(*order).drop("ord", "pos")
+    return ordered.mapInArrow(_walk(counts_only), "company_id string" if counts_only else "company_id string, text_hash string, site string")
+
+
+def _in_rounds(sources: DataFrame, block: int) -> DataFrame:
+    """``company_id`` once for each source that counts, of companies of any size.
+
+    Each source depends on all earlier ones, so the walk is in order, but in blocks: block k of every
     company is walked in round k, all companies at once, after the pairs that share a text or domain with what earlier rounds counted are taken out.
     There are as many rounds as the largest company has blocks of distinct (text, domain) pairs, one for up to ``block`` of them, and no
     task holds more than a block of one company. A round reads its own pairs, and of the texts and domains counted before only those that
@@ -102,9 +139,8 @@ def independent_sources(sources: DataFrame, block: int = BLOCK) -> DataFrame:
         for key, seen in used.items():
             if seen is not None:
                 live = live.join(seen.select("company_id", key), ["company_id", key], "left_anti")
-        rows = live.select("company_id", "pos", "text_hash", "site").repartition("company_id").sortWithinPartitions("company_id", "pos").drop("pos")
         last = k == rounds - 1
-        chosen = rows.mapInArrow(_walk(last), "company_id string" if last else "company_id string, text_hash string, site string")
+        chosen = _walked(live.select("company_id", "pos", "text_hash", "site"), last)
         if not last:
             chosen = stored(chosen)
             for key, seen in used.items():
@@ -112,4 +148,4 @@ def independent_sources(sources: DataFrame, block: int = BLOCK) -> DataFrame:
                 used[key] = stored(new if seen is None else seen.filter(F.col("_last") > k).unionByName(new))
         ids = chosen.select("company_id")
         counted = ids if counted is None else counted.unionAll(ids)
-    return counted.groupBy("company_id").agg(F.count(F.lit(1)).cast("int").alias("independent_sources"))
+    return counted
